@@ -23,6 +23,26 @@ from ..session import scratch_path
 from .features import feature_names
 
 
+ROWS_PER_TASK = 50_000
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Round-robin repartition for a multi-pass fit, only when ``df`` has
+    fewer partitions than the cluster has task slots (e.g. one big file with
+    a single row group, read as one task).  Then the rows are counted and at
+    most one partition per ``rows_per_task`` rows is made, so a small table
+    stays in one partition (per-task overhead would dominate).  An input
+    that is already spread, as any table at scale is, keeps its
+    partitioning: no count and no shuffle are added."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= target:
+        return df
+    want = min(target, max(1, df.count() // rows_per_task))
+    return df.repartition(want) if want > have else df
+
+
 @contextlib.contextmanager
 def cached(df: DataFrame):
     """Persist ``df`` (memory, spilling to disk) for the duration of an
@@ -37,6 +57,54 @@ def cached(df: DataFrame):
             df.unpersist()
 
 
+@contextlib.contextmanager
+def prepared(df: DataFrame, cols=None):
+    """Pin a job's prepared input for its several passes (index fit, split,
+    fits, evaluations): project the columns used, spread it when it is
+    under-partitioned, persist it (memory, spilling to disk) and release it
+    when the job is done.  Without this every pass re-runs the scan and the
+    joins that produced the table."""
+    data = df.select(*cols) if cols else df
+    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
+def small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Materialise a bounded report table (metrics, leaderboards, tree
+    rules) so it outlives the cached inputs it was computed from.  Refuses
+    anything over ``max_rows``: data never goes through the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+@contextlib.contextmanager
+def fit_input(df: DataFrame, cols, iterative: bool = True):
+    """The input of an iterative fit: only the columns the estimator reads,
+    spread over the task slots.  Spark ML persists its own instance RDD for
+    the iterations when the input is not cached, so no second copy is kept
+    here; callers that fit several models on one table wrap it in
+    :func:`cached` once."""
+    if df.is_cached:
+        yield df
+        return
+    data = df.select(*cols)
+    yield spread(data) if iterative else data
+
+
+def _cols(est) -> list[str]:
+    cols = [est.getFeaturesCol()]
+    if est.hasParam("labelCol"):
+        cols.append(est.getLabelCol())
+    if est.hasParam("weightCol") and est.isDefined("weightCol") and est.getWeightCol():
+        cols.append(est.getWeightCol())
+    return cols
+
+
 def fit_linear(df: DataFrame, features: str = "features", label: str = "label",
                reg: float = 0.0, enet: float = 0.0, max_iter: int = 100,
                solver: str = "auto", tol: float = 1e-6, standardize: bool = True):
@@ -44,8 +112,10 @@ def fit_linear(df: DataFrame, features: str = "features", label: str = "label",
     est = LinearRegression(featuresCol=features, labelCol=label, regParam=reg,
                            elasticNetParam=enet, maxIter=max_iter, solver=solver,
                            tol=tol, standardization=standardize)
-    with cached(df):
-        return est.fit(df)
+    # the normal equations are one aggregate pass; only L-BFGS / OWL-QN iterate
+    iterative = solver == "l-bfgs" or (solver == "auto" and reg > 0 and enet > 0)
+    with fit_input(df, _cols(est), iterative) as d:
+        return est.fit(d)
 
 
 def fit_logistic(df: DataFrame, features: str = "features", label: str = "label",
@@ -54,8 +124,8 @@ def fit_logistic(df: DataFrame, features: str = "features", label: str = "label"
     """elastic-net logistic regression."""
     est = LogisticRegression(featuresCol=features, labelCol=label, regParam=reg,
                              elasticNetParam=enet, maxIter=max_iter, tol=tol, family=family)
-    with cached(df):
-        return est.fit(df)
+    with fit_input(df, _cols(est)) as d:
+        return est.fit(d)
 
 
 def check_bins(df: DataFrame, features: str, max_bins: int) -> None:
@@ -75,8 +145,8 @@ def fit_tree(df: DataFrame, features: str = "features", label: str = "label",
     check_bins(df, features, max_bins)
     est = DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth,
                                  maxBins=max_bins, seed=seed)
-    with cached(df):
-        return est.fit(df)
+    with fit_input(df, _cols(est)) as d:
+        return est.fit(d)
 
 
 def fit_forest(df: DataFrame, features: str = "features", label: str = "label",
@@ -85,8 +155,8 @@ def fit_forest(df: DataFrame, features: str = "features", label: str = "label",
     check_bins(df, features, max_bins)
     est = RandomForestClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth,
                                  numTrees=num_trees, maxBins=max_bins, seed=seed)
-    with cached(df):
-        return est.fit(df)
+    with fit_input(df, _cols(est)) as d:
+        return est.fit(d)
 
 
 def fit_tree_regressor(df: DataFrame, features: str = "features", label: str = "label",
@@ -95,16 +165,16 @@ def fit_tree_regressor(df: DataFrame, features: str = "features", label: str = "
     check_bins(df, features, max_bins)
     est = DecisionTreeRegressor(featuresCol=features, labelCol=label, maxDepth=max_depth,
                                 maxBins=max_bins, seed=seed)
-    with cached(df):
-        return est.fit(df)
+    with fit_input(df, _cols(est)) as d:
+        return est.fit(d)
 
 
 def fit_kmeans(df: DataFrame, k: int = 3, features: str = "features", seed: int = 1,
                max_iter: int = 20, init_mode: str = "k-means||"):
     """F8: k-means (k-means|| initialisation, distributed Lloyd steps)."""
     est = KMeans(k=k, featuresCol=features, seed=seed, maxIter=max_iter, initMode=init_mode)
-    with cached(df):
-        return est.fit(df)
+    with fit_input(df, _cols(est)) as d:
+        return est.fit(d)
 
 
 def coefficients(model, df: DataFrame, features: str = "features") -> DataFrame:

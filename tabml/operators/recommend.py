@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import dense_index
-from .models import cached
 
 INT_MAX = 2 ** 31 - 1
 BLOCK_ROWS = 2048  # rows per side of one scored block (2048^2 doubles = 32 MB)
@@ -52,8 +51,9 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
               regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
               checkpointInterval=10, **kw)
-    with cached(ratings):
-        return als.fit(ratings)
+    # ALS reads the ratings once, hash-partitions them into user/item blocks
+    # and persists those blocks itself; the input needs no cache of its own.
+    return als.fit(ratings)
 
 
 def top_k(model, k: int = 5, user: str | None = None, item: str | None = None) -> DataFrame:
@@ -72,6 +72,26 @@ def _block_count(n: int, target: int = BLOCK_ROWS) -> int:
     return max(1, math.ceil(n / target))
 
 
+def _top_k_cells(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of each row's top k by (score desc, column asc), exactly.
+
+    Columns are in item-id order.  ``np.partition`` finds each row's k-th
+    score t in linear time; every score > t is kept and scores == t fill the
+    remaining places from the left (smaller ids first)."""
+    n_items = S.shape[1]
+    kk = min(k, n_items)
+    if kk == n_items:
+        sel = np.ones_like(S, dtype=bool)
+    else:
+        t = -np.partition(-S, kk - 1, axis=1)[:, kk - 1][:, None]
+        gt = S > t
+        eq = S == t
+        need = kk - gt.sum(axis=1, keepdims=True)
+        sel = gt | (eq & (np.cumsum(eq, axis=1) <= need))
+    rows, cols = np.nonzero(sel)
+    return rows, cols
+
+
 def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
                        user_id: str = "id", user_vec: str = "features",
                        item_id: str = "id", item_vec: str = "features",
@@ -102,11 +122,7 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
         U = np.stack(up["v"].to_numpy()).astype(np.float64)
         I = np.stack(ip["v"].to_numpy()).astype(np.float64)
         S = U @ I.T
-        kk = min(k, S.shape[1])
-        # stable sort on -score over items in id order = (score desc, id asc)
-        top = np.argsort(-S, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(S.shape[0]), kk)
-        cols = top.reshape(-1)
+        rows, cols = _top_k_cells(S, k)
         return pd.DataFrame({"uid": up["uid"].to_numpy()[rows],
                              "iid": ip["iid"].to_numpy()[cols],
                              "score": S[rows, cols]})

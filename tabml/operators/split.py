@@ -42,6 +42,15 @@ def split_column(key: str, weights: Sequence[float], names: Sequence[str] | None
     return expr
 
 
+def with_split(df: DataFrame, key: str, weights: Sequence[float],
+               names: Sequence[str] = ("train", "test"), out: str = "part",
+               buckets: int = BUCKETS) -> DataFrame:
+    """S3 as a column: tag each row with its part once (e.g. before a table
+    is cached), so later passes filter on a stored value instead of hashing
+    the key again."""
+    return df.withColumn(out, split_column(key, weights, names, buckets))
+
+
 def hash_split(df: DataFrame, key: str, weights: Sequence[float],
                buckets: int = BUCKETS) -> list[DataFrame]:
     """S3: disjoint, complete parts by key hash.  Map-only (no shuffle); each

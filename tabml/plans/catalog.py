@@ -66,17 +66,19 @@ def regression_holdout(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     li = prep.ratio(li, "unit_price", "l_extendedprice", "l_quantity")
     li = prep.rename(li, {"l_extendedprice": "label"})
-    train, hold = sp.hash_split(li, "l_orderkey", [0.8, 0.2])
-    stages = fe.feature_stages(["l_returnflag", "l_linestatus"],
-                               ["l_quantity", "l_discount", "l_tax", "unit_price"],
-                               handle_invalid="keep")
-    pm = Pipeline(stages=stages).fit(train)
-    tr = pm.transform(train).select("label", "features")
-    model = mo.fit_linear(tr, solver="normal")
-    out = (me.metrics_long(me.regression_metrics(model.transform(tr)), "train")
-           .unionByName(me.metrics_long(
-               me.regression_metrics(model.transform(pm.transform(hold))), "holdout")))
-    return out.select("dataset", "metric", _r("value").alias("value"))
+    cat, num = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax", "unit_price"]
+    stages = fe.feature_stages(cat, num, handle_invalid="keep")
+    data = sp.with_split(li, "l_orderkey", [0.8, 0.2])
+    with mo.prepared(data, ["part", "label", *cat, *num]) as base:
+        train = base.filter(F.col("part") == "train")
+        hold = base.filter(F.col("part") == "test")
+        pm = Pipeline(stages=stages).fit(train)
+        tr = pm.transform(train).select("label", "features")
+        model = mo.fit_linear(tr, solver="normal")
+        out = (me.metrics_long(me.regression_metrics(model.transform(tr)), "train")
+               .unionByName(me.metrics_long(
+                   me.regression_metrics(model.transform(pm.transform(hold))), "holdout")))
+        return mo.small(out.select("dataset", "metric", _r("value").alias("value")))
 
 
 query("regression_holdout")(regression_holdout)
@@ -673,10 +675,10 @@ def job_classifier_rates(spark, d):
 
 @query("job_compare_trees")
 def job_compare_trees(spark, d):
-    _, rules = jobs.compare_trees(_tree_data(spark, d), "label",
-                                  ["l_discount", "l_tax", "l_extendedprice"], "brand_group",
-                                  key="l_orderkey")
-    return rules
+    _, tree = jobs.compare_trees(_tree_data(spark, d), "label",
+                                 ["l_discount", "l_tax", "l_extendedprice"], "brand_group",
+                                 key="l_orderkey")
+    return mo.tree_nodes(tree, spark)
 
 
 @query("job_segment")

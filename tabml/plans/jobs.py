@@ -46,28 +46,30 @@ def in_sample_regression(df: DataFrame, label: str, numeric: Sequence[str],
 
 def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.2,
-                     train_ratio: float = 0.8, seed: int = 42, parallelism: int = 4,
+                     train_ratio: float = 0.8, seed: int = 42, parallelism: int = 9,
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
     train/validation search, checked on a key-hash holdout.  Returns
     ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    train, hold = sp.hash_split(t, key, [1 - holdout, holdout])
     lr = LinearRegression(maxIter=50)
     search = tu.tune(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism)
     stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
-    with mo.cached(train):
+    spark = df.sparkSession
+    data = sp.with_split(t, key, [1 - holdout, holdout])
+    with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
+        train = base.filter(F.col("part") == "train")
+        hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
-    best = tu.best_model(pm)
-    scored_train = pm.transform(train)
-    scored_hold = pm.transform(hold)
-    metrics = (me.metrics_long(me.regression_metrics(scored_train), "train")
-               .unionByName(me.metrics_long(me.regression_metrics(scored_hold), "holdout"))
-               .unionByName(df.sparkSession.createDataFrame(
-                   [("best", "regParam", float(best.getRegParam())),
-                    ("best", "elasticNetParam", float(best.getElasticNetParam()))],
-                   "dataset string, metric string, value double")))
-    return metrics, tu.leaderboard(df.sparkSession, pm)
+        best = tu.best_model(pm)
+        metrics = mo.small(
+            me.metrics_long(me.regression_metrics(pm.transform(train)), "train")
+            .unionByName(me.metrics_long(me.regression_metrics(pm.transform(hold)), "holdout"))
+            .unionByName(spark.createDataFrame(
+                [("best", "regParam", float(best.getRegParam())),
+                 ("best", "elasticNetParam", float(best.getElasticNetParam()))],
+                "dataset string, metric string, value double")))
+    return metrics, tu.leaderboard(spark, pm)
 
 
 def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
@@ -79,18 +81,19 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
     the reference's regression R^2), checked on a key-hash holdout.
     Returns ``(metrics, class_rates, confusion)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    train, hold = sp.hash_split(t, key, [1 - holdout, holdout])
     lr = LogisticRegression(maxIter=50)
     search = tu.tune(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism)
     stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
-    with mo.cached(train):
+    data = sp.with_split(t, key, [1 - holdout, holdout])
+    with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
+        train = base.filter(F.col("part") == "train")
+        hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
-    scored_train = pm.transform(train)
-    scored_hold = pm.transform(hold)
-    acc = (me.metrics_long(me.accuracy(scored_train), "train")
-           .unionByName(me.metrics_long(me.accuracy(scored_hold), "holdout")))
-    rates = me.class_rates(scored_hold)
-    cm = me.confusion(scored_hold)
+        scored_hold = pm.transform(hold)
+        acc = mo.small(me.metrics_long(me.accuracy(pm.transform(train)), "train")
+                       .unionByName(me.metrics_long(me.accuracy(scored_hold), "holdout")))
+        rates = mo.small(me.class_rates(scored_hold))
+        cm = mo.small(me.confusion(scored_hold))
     return acc, rates, cm
 
 
@@ -98,18 +101,26 @@ def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: s
                   key: str, holdout: float = 0.2, seed: int = 42, max_depth: int = 3,
                   num_trees: int = 20):
     """Decision tree vs random forest on the same key-hash split.  Returns
-    ``(accuracy (model, n, accuracy), tree rules as rows)``."""
+    ``(accuracy (model, n, accuracy), fitted tree)``; the tree's rules as
+    rows come from :func:`tabml.operators.models.tree_nodes`.
+
+    The category index is fitted in one pass over the input; the assembled
+    ``(label, features, part)`` table is then pinned once and both fits and
+    both evaluations read it."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    idx = fe.indexer([category], [f"{category}_idx"], handle_invalid="keep").fit(t).transform(t)
+    idx = fe.indexer([category], [f"{category}_idx"], handle_invalid="keep").fit(t)
     asm = VectorAssembler(inputCols=[f"{category}_idx"] + list(numeric), outputCol="features")
-    data = asm.transform(idx).select(key, "label", "features")
-    train, hold = sp.hash_split(data, key, [1 - holdout, holdout])
-    with mo.cached(train):
+    data = sp.with_split(asm.transform(idx.transform(t)), key, [1 - holdout, holdout])
+    with mo.prepared(data, ["label", "features", "part"]) as base:
+        train = base.filter(F.col("part") == "train")
+        hold = base.filter(F.col("part") == "test")
         tree = mo.fit_tree(train, max_depth=max_depth, seed=seed)
         forest = mo.fit_forest(train, max_depth=max_depth, num_trees=num_trees, seed=seed)
-    acc = (me.accuracy(tree.transform(hold)).withColumn("model", F.lit("tree"))
-           .unionByName(me.accuracy(forest.transform(hold)).withColumn("model", F.lit("forest"))))
-    return acc.select("model", "n", "accuracy"), mo.tree_nodes(tree, df.sparkSession)
+        acc = mo.small(
+            me.accuracy(tree.transform(hold)).withColumn("model", F.lit("tree"))
+            .unionByName(me.accuracy(forest.transform(hold)).withColumn("model", F.lit("forest")))
+            .select("model", "n", "accuracy"))
+    return acc, tree
 
 
 def segment(df: DataFrame, features: str, k: int = 3, seed: int = 1):
