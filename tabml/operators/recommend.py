@@ -45,9 +45,10 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
     iterations, lambda 0.1, rank 10).  Ids must be non-negative ints; use
     :func:`id_map` first for wider keys.  ``cold_start='drop'`` removes rows
     with unknown user or item from ``transform`` output."""
-    kw = {}
-    if blocks:
-        kw = {"numUserBlocks": blocks, "numItemBlocks": blocks}
+    # Spark's default is 10 user and 10 item blocks whatever the cluster;
+    # each ALS stage has one task per block, so follow the task slots.
+    blocks = blocks or max(2, ratings.sparkSession.sparkContext.defaultParallelism)
+    kw = {"numUserBlocks": blocks, "numItemBlocks": blocks}
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
               regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
               checkpointInterval=10, **kw)
