@@ -202,9 +202,10 @@ def tree_nodes(model, spark) -> DataFrame:
     impurity, gain, n)``.
 
     The model is written with Spark ML's own writer below the shared
-    checkpoint folder and its node table read back as a DataFrame, so no
-    text is parsed.  Depth is found by walking parent -> child edges, one
-    small join per level (at most the tree's depth).
+    checkpoint folder and its node table read back, so no text is parsed.
+    A fitted tree already lives in driver memory and has at most
+    2^(maxDepth+1) - 1 nodes, so depth is assigned by walking parent ->
+    child links over that bounded table.
     """
     path = scratch_path(spark, "tree")
     model.write().overwrite().save(path)
@@ -213,30 +214,54 @@ def tree_nodes(model, spark) -> DataFrame:
         nodes = raw.select(F.col("treeID").alias("tree"), "nodeData.*")
     else:
         nodes = raw.select(F.lit(0).alias("tree"), "*")
+    inner = F.col("leftChild") >= 0
     split = F.col("split")
     flat = nodes.select(
-        "tree", F.col("id").alias("node"),
-        F.when(F.col("leftChild") >= 0, split["featureIndex"]).alias("feature"),
-        F.when((F.col("leftChild") >= 0) & (split["numCategories"] < 0),
+        F.col("tree").cast("int").alias("tree"), F.col("id").alias("node"),
+        F.when(inner, split["featureIndex"]).alias("feature"),
+        F.when(inner & (split["numCategories"] < 0),
                split["leftCategoriesOrThreshold"][0]).alias("threshold"),
-        F.when(F.col("leftChild") >= 0, F.col("leftChild")).alias("left"),
-        F.when(F.col("rightChild") >= 0, F.col("rightChild")).alias("right"),
-        "prediction", "impurity",
-        F.when(F.col("leftChild") >= 0, F.col("gain")).alias("gain"),
+        F.when(inner, F.col("leftChild")).alias("left"),
+        F.when(inner, F.col("rightChild")).alias("right"),
+        "prediction", "impurity", F.when(inner, F.col("gain")).alias("gain"),
         F.col("rawCount").alias("n"))
-    flat = flat.persist()
-    depth = flat.filter(F.col("node") == 0).select("tree", "node", F.lit(0).alias("depth"))
-    frontier = depth
-    for d in range(1, model_depth(model) + 1):
-        kids = (frontier.join(flat.select("tree", "node", "left", "right"), ["tree", "node"])
-                .select("tree", F.explode(F.array("left", "right")).alias("node"))
-                .filter(F.col("node").isNotNull())
-                .withColumn("depth", F.lit(d)))
-        depth = depth.unionByName(kids)
-        frontier = kids
-    return flat.join(depth, ["tree", "node"]).select(
-        "tree", "node", "depth", "feature", "threshold", "left", "right",
-        "prediction", "impurity", "gain", "n")
+    limit = sum(2 ** (t.depth + 1) - 1 for t in getattr(model, "trees", [model]))
+    rows = flat.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError("node table larger than the model's depth allows")
+    kids = {(r["tree"], r["node"]): (r["left"], r["right"]) for r in rows}
+    depth, todo = {}, [(t, 0, 0) for t in {r["tree"] for r in rows}]
+    while todo:
+        t, nd, dp = todo.pop()
+        depth[(t, nd)] = dp
+        for c in kids.get((t, nd), (None, None)):
+            if c is not None:
+                todo.append((t, c, dp + 1))
+    schema = ("tree int, node int, depth int, feature int, threshold double, left int, "
+              "right int, prediction double, impurity double, gain double, n long")
+    out = [(r["tree"], r["node"], depth.get((r["tree"], r["node"])), r["feature"],
+            r["threshold"], r["left"], r["right"], r["prediction"], r["impurity"],
+            r["gain"], r["n"]) for r in rows]
+    return spark.createDataFrame(out, schema)
+
+
+def debug_string(model) -> str:
+    """Spark's readable rendering of a tree or forest."""
+    return model.toDebugString
+
+
+def training_summary(model, spark) -> DataFrame:
+    """H1: the fit's own training summary ``(metric, value)`` (R^2, RMSE,
+    MAE, MSE for a linear model; accuracy and rates for a logistic one)."""
+    sm = model.summary
+    names = ("r2", "rootMeanSquaredError", "meanAbsoluteError", "meanSquaredError",
+             "accuracy", "weightedTruePositiveRate", "weightedFalsePositiveRate",
+             "weightedPrecision", "weightedRecall")
+    rows = []
+    for n in names:
+        if hasattr(type(sm), n):
+            rows.append((n, float(getattr(sm, n))))
+    return spark.createDataFrame(rows, "metric string, value double")
 
 
 def model_depth(model) -> int:

@@ -685,3 +685,71 @@ def job_compare_trees(spark, d):
 def job_segment(spark, d):
     _, quality, _ = jobs.segment(_embeddings(spark, d), "features", k=3, seed=1)
     return quality
+
+
+# ------------------------------------------------ Spark's own ML read-outs
+@query("ols_training_summary", f"""
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b,
+                  regr_intercept(l_extendedprice, l_quantity) AS a,
+                  regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem),
+     e AS (SELECT l_extendedprice - (a + b * l_quantity) AS err, r2 FROM lineitem, f)
+SELECT 'r2' AS metric, round(max(r2), 8) AS value FROM e
+UNION ALL SELECT 'rootMeanSquaredError', round(sqrt(avg(err * err)), {R}) FROM e
+UNION ALL SELECT 'meanAbsoluteError', round(avg(abs(err)), {R}) FROM e
+""")
+def ols_training_summary(spark, d):
+    """H1: R^2 / RMSE / MAE from the fitted model's training summary."""
+    li = table(spark, d, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    s = mo.training_summary(mo.fit_linear(data, solver="normal"), spark)
+    s = s.filter(F.col("metric").isin("r2", "rootMeanSquaredError", "meanAbsoluteError"))
+    return s.select("metric", F.when(F.col("metric") == "r2", _r("value", 8))
+                    .otherwise(_r("value")).alias("value"))
+
+
+@query("evaluator_accuracy", f"""
+SELECT 'accuracy' AS metric, round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), {R}) AS value
+FROM labels
+UNION ALL
+SELECT 'weightedRecall', round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), {R}) FROM labels
+""")
+def evaluator_accuracy(spark, d):
+    """H6: Spark's MulticlassClassificationEvaluator on stored guesses."""
+    lab = table(spark, d, "labels").select(F.col("quality").cast("double").alias("label"),
+                                           F.col("toxic").cast("double").alias("prediction"))
+    rows = [(m, float(tu.evaluator(m).evaluate(lab))) for m in ("accuracy", "weightedRecall")]
+    return spark.createDataFrame(rows, "metric string, value double").select(
+        "metric", _r("value").alias("value"))
+
+
+@query("indexer_numeric", """
+SELECT p_size, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(p_size AS VARCHAR)) - 1 AS DOUBLE)
+       AS size_index
+FROM part GROUP BY p_size
+""")
+def indexer_numeric(spark, d):
+    """E1b with Spark's StringIndexer: a numeric column indexed by its text."""
+    p = table(spark, d, "part").select("p_size")
+    idx = fe.indexer(["p_size"], ["size_index"]).fit(p).transform(p)
+    return prep.distinct_values(idx, "p_size", "size_index")
+
+
+@query("stream_level_counts", """
+SELECT date_trunc('day', ts) AS window_start,
+       date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type AS level, count(*) AS n
+FROM events GROUP BY 1, 2, 3
+""")
+def stream_level_counts(spark, d):
+    """L2 as a Structured Streaming query: the events file read as a stream,
+    windowed counts with a 1-hour watermark in complete mode, run to the end
+    of the available input (availableNow) into a memory table."""
+    from ..session import scratch_path
+    ensure_utc(spark)
+    schema = table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    name = "tabml_level_counts_" + scratch_path(spark, "s").rsplit("-", 1)[-1]
+    q = ls.start_level_counts(spark, stream, scratch_path(spark, "stream-ckpt"), name=name,
+                              level="event_type", mode="complete")
+    q.awaitTermination()
+    return spark.table(name)
