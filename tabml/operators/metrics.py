@@ -59,7 +59,9 @@ def class_rates(df: DataFrame, label: str = "label", prediction: str = "predicti
     printed the specificity of class 0 as "false positives"; here both are
     reported under their own names.
     """
-    cm = confusion(df, label, prediction).persist()
+    # the five uses of ``cm`` sit in one plan, where Spark reuses the single
+    # confusion-count exchange; nothing needs to be cached
+    cm = confusion(df, label, prediction)
     total = cm.agg(F.sum("n"))
     correct = cm.filter(F.col("label") == F.col("prediction")).agg(F.sum("n"))
     actual = cm.groupBy(F.col("label").alias("class")).agg(F.sum("n").alias("_a"))
