@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import dense_index
+from .models import cached
 
 INT_MAX = 2 ** 31 - 1
 BLOCK_ROWS = 2048  # rows per side of one scored block (2048^2 doubles = 32 MB)
@@ -52,9 +53,11 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
               regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
               checkpointInterval=10, **kw)
-    # ALS reads the ratings once, hash-partitions them into user/item blocks
-    # and persists those blocks itself; the input needs no cache of its own.
-    return als.fit(ratings)
+    # ALS scans its input twice before it builds (and persists) its own
+    # user/item rating blocks; keep the input for the fit only, so the joins
+    # that produced the ratings run once.
+    with cached(ratings.select(user, item, rating)) as r:
+        return als.fit(r)
 
 
 def top_k(model, k: int = 5, user: str | None = None, item: str | None = None) -> DataFrame:
