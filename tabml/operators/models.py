@@ -216,6 +216,7 @@ def tree_nodes(model, spark) -> DataFrame:
         nodes = raw.select(F.lit(0).alias("tree"), "*")
     inner = F.col("leftChild") >= 0
     split = F.col("split")
+    impurity = _impurity(model.getImpurity(), F.col("impurityStats"))
     flat = nodes.select(
         F.col("tree").cast("int").alias("tree"), F.col("id").alias("node"),
         F.when(inner, split["featureIndex"]).alias("feature"),
@@ -223,7 +224,7 @@ def tree_nodes(model, spark) -> DataFrame:
                split["leftCategoriesOrThreshold"][0]).alias("threshold"),
         F.when(inner, F.col("leftChild")).alias("left"),
         F.when(inner, F.col("rightChild")).alias("right"),
-        "prediction", "impurity", F.when(inner, F.col("gain")).alias("gain"),
+        "prediction", impurity.alias("impurity"), F.when(inner, F.col("gain")).alias("gain"),
         F.col("rawCount").alias("n"))
     limit = sum(2 ** (t.depth + 1) - 1 for t in getattr(model, "trees", [model]))
     rows = flat.limit(limit + 1).collect()
@@ -245,6 +246,25 @@ def tree_nodes(model, spark) -> DataFrame:
     return spark.createDataFrame(out, schema)
 
 
+def _impurity(kind: str, stats):
+    """Node impurity from its stored statistics (class counts, or count /
+    sum / sum of squares for regression).  Spark stores -1 as the impurity of
+    a node it found no valid split for; the statistics are always there."""
+    zero = F.lit(0.0).cast("double")
+    if kind == "variance":
+        n, sm, sq = stats[0], stats[1], stats[2]
+        return F.when(n > 0, sq / n - (sm / n) * (sm / n))
+    total = F.aggregate(stats, zero, lambda a, c: a + c)
+    if kind == "gini":
+        return F.when(total > 0, F.lit(1.0) - F.aggregate(
+            stats, zero, lambda a, c: a + (c / total) * (c / total)))
+    if kind == "entropy":
+        return F.when(total > 0, -F.aggregate(
+            stats, zero, lambda a, c: a + F.when(c > 0, (c / total) * F.log2(c / total))
+            .otherwise(zero)))
+    raise ValueError(f"unknown impurity {kind!r}")
+
+
 def debug_string(model) -> str:
     """Spark's readable rendering of a tree or forest."""
     return model.toDebugString

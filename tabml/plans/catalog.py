@@ -362,10 +362,34 @@ def tree_stump(spark, d):
     return st.count_by(model.transform(data), "prediction")
 
 
-@query("tree_rules")
+@query("tree_rules", f"""
+WITH t AS (SELECT CASE WHEN l_quantity >= 20 THEN 1 ELSE 0 END AS x,
+                  CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END AS y FROM lineitem),
+     r AS (SELECT count(*) AS n, avg(y) AS p FROM t),
+     c AS (SELECT x, count(*) AS n, avg(y) AS p FROM t GROUP BY x),
+     g AS (SELECT 1 - p * p - (1 - p) * (1 - p) AS imp, n, p, x FROM c),
+     root AS (SELECT r.n, r.p, 1 - r.p * r.p - (1 - r.p) * (1 - r.p) AS imp,
+                     (1 - r.p * r.p - (1 - r.p) * (1 - r.p))
+                     - sum(g.n * g.imp) / r.n AS gain
+              FROM r, g GROUP BY r.n, r.p)
+SELECT 0 AS tree, 0 AS node, 0 AS depth, 0 AS feature, CAST(0.5 AS DOUBLE) AS threshold,
+       1 AS "left", 2 AS "right", CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+       round(imp, {R}) AS impurity, round(gain, {R}) AS gain, n
+FROM root
+UNION ALL
+SELECT 0, CAST(1 + x AS INTEGER), 1, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE),
+       CAST(NULL AS INTEGER), CAST(NULL AS INTEGER),
+       CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS DOUBLE), round(imp, {R}), CAST(NULL AS DOUBLE), n
+FROM g
+""")
 def tree_rules(spark, d):
+    """A depth-3 tree on one 0/1 feature has one split (at the
+    midpoint 0.5) and two leaves, so its node table has a closed form."""
     data = _stump_data(spark, d)
-    return mo.tree_nodes(mo.fit_tree(data, max_depth=3), spark)
+    nodes = mo.tree_nodes(mo.fit_tree(data, max_depth=3), spark)
+    return nodes.select("tree", "node", "depth", "feature", "threshold", "left", "right",
+                        "prediction", _r("impurity").alias("impurity"),
+                        _r("gain").alias("gain"), "n")
 
 
 def _tree_data(spark, d):

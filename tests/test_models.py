@@ -87,3 +87,14 @@ def test_ols_matches_closed_form(spark):
     met = me.regression_metrics(m.transform(data)).head()
     assert abs(met["r2"] - m.summary.r2) < 1e-9
     assert abs(met["rmse"] - m.summary.rootMeanSquaredError) < 1e-6
+
+
+def test_tree_nodes_impurity_from_stats(spark):
+    df = spark.createDataFrame([(float(x), float(x * x % 7)) for x in range(50)], "x double, label double")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    m = mo.fit_tree_regressor(data, max_depth=2)
+    nodes = {n.node: n for n in mo.tree_nodes(m, spark).collect()}
+    var = df.agg(F.var_pop("label")).head()[0]
+    assert abs(nodes[0].impurity - var) < 1e-9
+    assert all(n.impurity >= 0 for n in nodes.values())
+    assert sum(n.n for n in nodes.values() if n.left is None) == 50
