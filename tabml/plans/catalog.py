@@ -777,3 +777,27 @@ def stream_level_counts(spark, d):
                               level="event_type", mode="complete")
     q.awaitTermination()
     return spark.table(name)
+
+
+@query("id_map_users", """
+SELECT o_custkey, CAST(row_number() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS id
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+""")
+def id_map_users(spark, d):
+    """F9 prerequisite: dense 32-bit ids for (possibly 64-bit) user keys,
+    numbered by a distributed sort, not one task."""
+    return rc.id_map(table(spark, d, "orders"), "o_custkey", "id")
+
+
+@query("centers_by_label", f"""
+WITH e AS (SELECT label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+     u AS (SELECT label, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS dim FROM e)
+SELECT label AS cluster, CAST(dim AS INTEGER) AS dim, round(avg(v), {R}) AS value
+FROM u GROUP BY label, dim
+""")
+def centers_by_label(spark, d):
+    """H9 long form for clusters given by a label: the mean vector per
+    cluster as ``(cluster, dim, value)`` rows."""
+    c = me.cluster_means(table(spark, d, "embeddings"), "embedding", "label")
+    return c.select("cluster", F.posexplode("center").alias("dim", "value")).select(
+        "cluster", "dim", _r("value").alias("value"))
