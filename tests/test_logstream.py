@@ -59,3 +59,18 @@ def test_level_share_sums_to_one(spark):
     s2 = {r.level: r.n for r in ls.level_share(c, "level", weight="n").collect()}
     s1 = {r.level: r.n for r in ls.level_share(ev, "event_type").collect()}
     assert s1 == s2
+
+
+def test_stream_parquet_sink_foreach_batch(spark):
+    src = "/root/testdata/sf0.001"
+    schema = spark.read.parquet(f"{src}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(src)
+    base = tempfile.mkdtemp(prefix="tabml-sink-")
+    out = os.path.join(base, "out")
+    q = ls.start_level_counts(spark, stream, os.path.join(base, "ck"), sink="parquet", path=out,
+                              level="event_type", mode="update")
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert set(got.columns) >= {"window_start", "level", "n", "epoch"}
+    batch = ls.level_counts(spark.read.parquet(f"{src}/events.parquet"), "ts", "event_type")
+    assert got.agg(F.sum("n")).head()[0] == batch.agg(F.sum("n")).head()[0]
