@@ -17,7 +17,6 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_bucket
 from ..operators import (features as fe, metrics as me, models as mo, prep,
                          recommend as rc, split as sp, stats as st, tuning as tu)
 from ..session import ensure_utc
@@ -697,6 +696,13 @@ def job_classifier_rates(spark, d):
     return rates
 
 
+@query("job_classifier_confusion")
+def job_classifier_confusion(spark, d):
+    _, _, cm = jobs.tuned_classifier(_subscribers(spark, d), "label", ["acctbal"],
+                                     ["o_orderpriority", "c_mktsegment"], key="o_orderkey")
+    return cm
+
+
 @query("job_compare_trees")
 def job_compare_trees(spark, d):
     _, tree = jobs.compare_trees(_tree_data(spark, d), "label",

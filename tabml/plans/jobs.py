@@ -50,7 +50,9 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
     train/validation search, checked on a key-hash holdout.  Returns
-    ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``."""
+    ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``:
+    train and holdout R^2 / RMSE / MAE, the winning lambda and alpha, and the
+    winner's coefficients and intercept by feature name."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LinearRegression(maxIter=50)
     search = tu.tune(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism)
@@ -62,13 +64,18 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
         best = tu.best_model(pm)
+        scored_train = pm.transform(train)
+        coefs = mo.coefficients(best, scored_train).select(
+            F.lit("coefficient").alias("dataset"), F.col("feature").alias("metric"),
+            F.col("coefficient").alias("value"))
         metrics = mo.small(
-            me.metrics_long(me.regression_metrics(pm.transform(train)), "train")
+            me.metrics_long(me.regression_metrics(scored_train), "train")
             .unionByName(me.metrics_long(me.regression_metrics(pm.transform(hold)), "holdout"))
             .unionByName(spark.createDataFrame(
                 [("best", "regParam", float(best.getRegParam())),
                  ("best", "elasticNetParam", float(best.getElasticNetParam()))],
-                "dataset string, metric string, value double")))
+                "dataset string, metric string, value double"))
+            .unionByName(coefs))
     return metrics, tu.leaderboard(spark, pm)
 
 
