@@ -74,3 +74,36 @@ def test_stream_parquet_sink_foreach_batch(spark):
     assert set(got.columns) >= {"window_start", "level", "n", "epoch"}
     batch = ls.level_counts(spark.read.parquet(f"{src}/events.parquet"), "ts", "event_type")
     assert got.agg(F.sum("n")).head()[0] == batch.agg(F.sum("n")).head()[0]
+
+
+def test_late_line_is_dropped_after_watermark(spark):
+    """Append mode: once the watermark has passed a window, a line for that
+    window arriving later does not change its count."""
+    base = tempfile.mkdtemp(prefix="tabml-late-")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    rows1 = [("INFO", dt.datetime(2026, 1, 1, 10)), ("INFO", dt.datetime(2026, 1, 1, 11)),
+             ("WARN", dt.datetime(2026, 1, 5, 12))]
+    spark.createDataFrame(rows1, "level string, ts timestamp").write.parquet(os.path.join(src, "a"))
+    schema = "level string, ts timestamp"
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+        q = ls.start_level_counts(spark, stream, ck, sink="parquet", path=out, mode="append",
+                                  window="1 day", watermark="1 hour")
+        q.awaitTermination(120)
+
+    run()
+    late = [("INFO", dt.datetime(2026, 1, 1, 12))]       # day 1 closed long ago
+    spark.createDataFrame(late, schema).write.parquet(os.path.join(src, "b"))
+    run()
+    got = {(r.window_start.date().isoformat(), r.level): r.n
+           for r in spark.read.parquet(out).collect()}
+    assert got[("2026-01-01", "INFO")] == 2
+
+
+def test_class_rates_empty_class(spark):
+    from tabml.operators import metrics as me
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (1.0, 0.0)], "label double, prediction double")
+    r = {x["class"]: x for x in me.class_rates(df).collect()}
+    assert r[1.0]["tp"] == 0 and r[1.0]["precision"] is None and r[1.0]["tpr"] == 0.0
+    assert r[0.0]["precision"] == 1 / 3 and r[0.0]["accuracy"] == 1 / 3
