@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row in partition
 
 
@@ -30,6 +32,7 @@ def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index") -> D
     The sorted table is checkpointed to the shared checkpoint folder so both
     uses read the same rows and a lost executor does not change them.
     """
+    ensure_checkpoint_dir(df.sparkSession)       # the cluster's folder when it names one
     ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
