@@ -22,7 +22,15 @@ from .features import dense_index
 from .models import cached
 
 INT_MAX = 2 ** 31 - 1
-BLOCK_ROWS = 2048  # rows per side of one scored block (2048^2 doubles = 32 MB)
+# Block sizes of the factor top-k.  Every user is copied once per item block
+# and every item once per user block, so the shuffle is about
+# U*I*(1/ITEM_BLOCK + 1/USER_BLOCK) rows: blocks are made large, and memory is
+# bounded by scoring a block in USER_CHUNK x ITEM_CHUNK pieces (32 MB of
+# scores) while each user keeps a running top k.
+USER_BLOCK = 4096
+ITEM_BLOCK = 65536
+USER_CHUNK = 1024
+ITEM_CHUNK = 4096
 
 
 def id_map(df: DataFrame, key: str, out: str = "id") -> DataFrame:
@@ -72,7 +80,7 @@ def top_k(model, k: int = 5, user: str | None = None, item: str | None = None) -
         F.col(f"r.{item}").alias("item"), F.col("r.rating").cast("double").alias("score"))
 
 
-def _block_count(n: int, target: int = BLOCK_ROWS) -> int:
+def _block_count(n: int, target: int) -> int:
     return max(1, math.ceil(n / target))
 
 
@@ -81,7 +89,8 @@ def _top_k_cells(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     Columns are in item-id order.  ``np.partition`` finds each row's k-th
     score t in linear time; every score > t is kept and scores == t fill the
-    remaining places from the left (smaller ids first)."""
+    remaining places from the left (smaller ids first).  Row-major output:
+    each row's min(k, n_cols) cells are contiguous."""
     n_items = S.shape[1]
     kk = min(k, n_items)
     if kk == n_items:
@@ -96,23 +105,64 @@ def _top_k_cells(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, cols
 
 
+def _merge_top_k(best_s, best_i, s, i, k):
+    """Keep each row's k best of (kept, new) candidates, by (score desc, id asc)."""
+    cs = np.concatenate([best_s, s], axis=1)
+    ci = np.concatenate([best_i, i], axis=1)
+    order = np.lexsort((ci, -cs), axis=1)[:, :k]
+    return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
+
+
+def score_block(U: np.ndarray, I: np.ndarray, item_ids: np.ndarray, k: int,
+                user_chunk: int = USER_CHUNK, item_chunk: int = ITEM_CHUNK):
+    """Exact top-k items per user row of ``U`` against ``I`` (items sorted by
+    id).  Returns ``(scores, ids)`` of shape (n_users, min(k, n_items)).
+    Scores are made USER_CHUNK x ITEM_CHUNK at a time; each chunk gives its
+    own exact top k (see :func:`_top_k_cells`) which is merged into the
+    running top k."""
+    n_u, n_i = U.shape[0], I.shape[0]
+    kk = min(k, n_i)
+    out_s = np.empty((n_u, kk))
+    out_i = np.empty((n_u, kk), dtype=np.int64)
+    for u0 in range(0, n_u, user_chunk):
+        Uc = U[u0:u0 + user_chunk]
+        best_s = np.full((Uc.shape[0], 0), -np.inf)
+        best_i = np.zeros((Uc.shape[0], 0), dtype=np.int64)
+        for i0 in range(0, n_i, item_chunk):
+            S = Uc @ I[i0:i0 + item_chunk].T
+            rows, cols = _top_k_cells(S, k)
+            c = min(k, S.shape[1])
+            cols = cols.reshape(S.shape[0], c)
+            best_s, best_i = _merge_top_k(best_s, best_i, np.take_along_axis(S, cols, 1),
+                                          item_ids[i0:i0 + item_chunk][cols], kk)
+        out_s[u0:u0 + user_chunk], out_i[u0:u0 + user_chunk] = best_s, best_i
+    return out_s, out_i
+
+
 def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
                        user_id: str = "id", user_vec: str = "features",
                        item_id: str = "id", item_vec: str = "features",
-                       user_blocks: int | None = None, item_blocks: int | None = None) -> DataFrame:
+                       user_blocks: int | None = None, item_blocks: int | None = None,
+                       user_chunk: int = USER_CHUNK, item_chunk: int = ITEM_CHUNK) -> DataFrame:
     """I2 second form: top-k items per user by dot product of two factor
     tables ``(id, array<double>)``.  Output ``(user, rank, item, score)``;
-    ties go to the smaller item id.  Block counts follow the table sizes
-    (one count per side), so a block pair is at most about
-    BLOCK_ROWS x BLOCK_ROWS scores whatever the data size."""
+    ties go to the smaller item id.
+
+    Both sides are hash-blocked (block counts from one count per side, so a
+    block holds at most USER_BLOCK users / ITEM_BLOCK items whatever the
+    data size); every (user block, item block) pair meets once in a
+    cogroup, where numpy scores it chunk by chunk and only each user's top k
+    leaves the task.  A final per-user top k merges ``item_blocks * k``
+    candidates.  No user x item pair is ever materialised as a row."""
     u = users.select(F.col(user_id).cast("bigint").alias("uid"),
                      F.col(user_vec).cast("array<double>").alias("v"))
     i = items.select(F.col(item_id).cast("bigint").alias("iid"),
                      F.col(item_vec).cast("array<double>").alias("v"))
     if user_blocks is None or item_blocks is None:
-        n = u.agg(F.count(F.lit(1))).head()[0], i.agg(F.count(F.lit(1))).head()[0]
-        user_blocks = user_blocks or _block_count(n[0])
-        item_blocks = item_blocks or _block_count(n[1])
+        n_u = u.agg(F.count(F.lit(1))).head()[0]
+        n_i = i.agg(F.count(F.lit(1))).head()[0]
+        user_blocks = user_blocks or _block_count(n_u, USER_BLOCK)
+        item_blocks = item_blocks or _block_count(n_i, ITEM_BLOCK)
     ub = F.pmod(F.xxhash64("uid"), F.lit(user_blocks)).cast("int")
     ib = F.pmod(F.xxhash64("iid"), F.lit(item_blocks)).cast("int")
     # every user meets every item block once and vice versa
@@ -125,11 +175,9 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
         ip = ip.sort_values("iid", kind="stable")
         U = np.stack(up["v"].to_numpy()).astype(np.float64)
         I = np.stack(ip["v"].to_numpy()).astype(np.float64)
-        S = U @ I.T
-        rows, cols = _top_k_cells(S, k)
-        return pd.DataFrame({"uid": up["uid"].to_numpy()[rows],
-                             "iid": ip["iid"].to_numpy()[cols],
-                             "score": S[rows, cols]})
+        s, ids = score_block(U, I, ip["iid"].to_numpy(), k, user_chunk, item_chunk)
+        return pd.DataFrame({"uid": np.repeat(up["uid"].to_numpy(), s.shape[1]),
+                             "iid": ids.reshape(-1), "score": s.reshape(-1)})
 
     cand = (ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib"))
             .applyInPandas(score, "uid bigint, iid bigint, score double"))

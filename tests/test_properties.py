@@ -26,3 +26,20 @@ def test_split_bounds_partition_the_buckets(weights, buckets):
     assert b[0][0] == 0 and b[-1][1] == buckets
     assert all(lo <= hi for lo, hi in b)
     assert all(b[i][1] == b[i + 1][0] for i in range(len(b) - 1))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 7), st.integers(1, 30), st.integers(1, 6), st.integers(1, 5),
+       st.integers(1, 8), st.integers(0, 10_000))
+def test_score_block_chunked_exact(n_users, n_items, k, uc, ic, seed):
+    from tabml.operators.recommend import score_block
+    rng = np.random.default_rng(seed)
+    U = rng.integers(-2, 3, size=(n_users, 3)).astype(float)
+    I = rng.integers(-2, 3, size=(n_items, 3)).astype(float)
+    ids = np.arange(100, 100 + n_items)
+    s, got = score_block(U, I, ids, k, uc, ic)
+    S = U @ I.T
+    for u in range(n_users):
+        want = sorted(range(n_items), key=lambda j: (-S[u, j], j))[:min(k, n_items)]
+        assert got[u].tolist() == [int(ids[j]) for j in want]
+        assert np.allclose(s[u], [S[u, j] for j in want])

@@ -69,3 +69,18 @@ def test_with_history_long_form(spark):
     assert hist == [(1, 10), (1, 11), (2, 10)]
     seen = {(r.user, r.item): r.seen for r in out if r.source == "recommended"}
     assert seen == {(1, 10): True, (1, 12): False, (2, 11): False}
+
+
+def test_top_k_chunked_scoring_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    users = [(int(i), rng.integers(-2, 3, size=3).astype(float).tolist()) for i in range(23)]
+    items = [(int(500 + i), rng.integers(-2, 3, size=3).astype(float).tolist()) for i in range(41)]
+    U = spark.createDataFrame(users, "id bigint, features array<double>")
+    I = spark.createDataFrame(items, "id bigint, features array<double>")
+    want = _brute(users, items, 4)
+    got = rc.top_k_from_factors(U, I, 4, user_blocks=2, item_blocks=3, user_chunk=5,
+                                item_chunk=3).collect()
+    per = {}
+    for r in sorted(got, key=lambda r: (r.user, r.rank)):
+        per.setdefault(r.user, []).append(r.item)
+    assert per == {u: [i for i, _ in lst] for u, lst in want.items()}
