@@ -26,23 +26,6 @@ from .features import feature_names
 ROWS_PER_TASK = 50_000
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Round-robin repartition for a multi-pass fit, only when ``df`` has
-    fewer partitions than the cluster has task slots (e.g. one big file with
-    a single row group, read as one task).  Then the rows are counted and at
-    most one partition per ``rows_per_task`` rows is made, so a small table
-    stays in one partition (per-task overhead would dominate).  An input
-    that is already spread, as any table at scale is, keeps its
-    partitioning: no count and no shuffle are added."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= target:
-        return df
-    want = min(target, max(1, df.count() // rows_per_task))
-    return df.repartition(want) if want > have else df
-
-
 @contextlib.contextmanager
 def cached(df: DataFrame):
     """Persist ``df`` (memory, spilling to disk) for the duration of an
@@ -58,14 +41,27 @@ def cached(df: DataFrame):
 
 
 @contextlib.contextmanager
-def prepared(df: DataFrame, cols=None):
-    """Pin a job's prepared input for its several passes (index fit, split,
-    fits, evaluations): project the columns used, spread it when it is
-    under-partitioned, persist it (memory, spilling to disk) and release it
-    when the job is done.  Without this every pass re-runs the scan and the
-    joins that produced the table."""
-    data = df.select(*cols) if cols else df
-    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+def prepared(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK):
+    """Pin a job's prepared input for its several passes (index fit, fits,
+    evaluations): project the columns used, persist (memory, spilling to
+    disk), materialise once, and release it when the job is done.  Without
+    this every pass re-runs the scan and the joins that produced the table.
+
+    Only once the table is cached is its partition count looked at (asking an
+    un-cached adaptive plan for it would run its shuffles an extra time).  A
+    table with fewer partitions than task slots, e.g. one file with a single
+    row group read as one task, is spread round-robin to at most one
+    partition per ``rows_per_task`` rows; a table that is already spread, as
+    any table at scale is, is left as it is."""
+    data = (df.select(*cols) if cols else df).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = data.count()
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    want = min(slots, max(1, rows // rows_per_task))
+    if data.rdd.getNumPartitions() < want:
+        spread = data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+        spread.count()
+        data.unpersist()
+        data = spread
     try:
         yield data
     finally:
@@ -83,17 +79,12 @@ def small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 @contextlib.contextmanager
-def fit_input(df: DataFrame, cols, iterative: bool = True):
-    """The input of an iterative fit: only the columns the estimator reads,
-    spread over the task slots.  Spark ML persists its own instance RDD for
-    the iterations when the input is not cached, so no second copy is kept
-    here; callers that fit several models on one table wrap it in
-    :func:`cached` once."""
-    if df.is_cached:
-        yield df
-        return
-    data = df.select(*cols)
-    yield spread(data) if iterative else data
+def fit_input(df: DataFrame, cols):
+    """The input of a fit: only the columns the estimator reads.  Spark ML
+    persists its own instance RDD for the iterations when the input is not
+    cached, so no second copy is kept here; jobs that fit or evaluate several
+    times on one table pin it once with :func:`prepared`."""
+    yield df if df.is_cached else df.select(*cols)
 
 
 def _cols(est) -> list[str]:
@@ -112,9 +103,7 @@ def fit_linear(df: DataFrame, features: str = "features", label: str = "label",
     est = LinearRegression(featuresCol=features, labelCol=label, regParam=reg,
                            elasticNetParam=enet, maxIter=max_iter, solver=solver,
                            tol=tol, standardization=standardize)
-    # the normal equations are one aggregate pass; only L-BFGS / OWL-QN iterate
-    iterative = solver == "l-bfgs" or (solver == "auto" and reg > 0 and enet > 0)
-    with fit_input(df, _cols(est), iterative) as d:
+    with fit_input(df, _cols(est)) as d:
         return est.fit(d)
 
 
