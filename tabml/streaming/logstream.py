@@ -92,8 +92,10 @@ def start_level_counts(spark: SparkSession, stream: DataFrame, checkpoint: str,
                        available_now: bool = True, path: str | None = None) -> StreamingQuery:
     """Run :func:`level_counts` as a Structured Streaming query.  ``append``
     emits a window once the watermark passes its end; ``complete`` /
-    ``update`` emit running counts.  A file sink writes each micro-batch
-    with ``foreachBatch`` (parquet, append)."""
+    ``update`` emit running counts.  The parquet sink writes each
+    micro-batch with ``foreachBatch`` into its own ``epoch=<id>`` folder
+    (read back with ``epoch`` as a column); a retried batch overwrites its
+    folder, so output is exactly once."""
     counts = level_counts(stream, ts=ts, level=level, window=window, watermark=watermark)
     w = counts.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:
@@ -101,7 +103,11 @@ def start_level_counts(spark: SparkSession, stream: DataFrame, checkpoint: str,
     if sink == "memory":
         return w.format("memory").queryName(name).start()
     if sink == "parquet":
+        base = path.rstrip("/")
+
         def write(batch: DataFrame, epoch: int) -> None:
-            batch.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(path)
+            # one folder per micro-batch, overwritten on a retry of that batch:
+            # a replayed epoch replaces its own output instead of duplicating it
+            batch.write.mode("overwrite").parquet(f"{base}/epoch={epoch}")
         return w.foreachBatch(write).start()
     raise ValueError(f"unknown sink {sink!r}")
