@@ -54,7 +54,7 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
     train and holdout R^2 / RMSE / MAE, the winning lambda and alpha, and the
     winner's coefficients and intercept by feature name."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    lr = LinearRegression(maxIter=50)
+    lr = LinearRegression()           # Spark defaults, as in the reference search
     search = tu.tune(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism)
     stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
     spark = df.sparkSession
@@ -88,7 +88,7 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
     the reference's regression R^2), checked on a key-hash holdout.
     Returns ``(metrics, class_rates, confusion)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    lr = LogisticRegression(maxIter=50)
+    lr = LogisticRegression()         # Spark defaults, as in the reference search
     search = tu.tune(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism)
     stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
     data = sp.with_split(t, key, [1 - holdout, holdout])
