@@ -81,7 +81,7 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
 
 def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.1,
-                     train_ratio: float = 0.9, seed: int = 42, parallelism: int = 4,
+                     train_ratio: float = 0.9, seed: int = 42, parallelism: int = 9,
                      metric: str = "areaUnderROC",
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID):
     """Binary logistic regression tuned on the grid (by area under ROC, not
