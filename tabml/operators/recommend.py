@@ -161,7 +161,11 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
     if user_blocks is None or item_blocks is None:
         n_u = u.agg(F.count(F.lit(1))).head()[0]
         n_i = i.agg(F.count(F.lit(1))).head()[0]
-        user_blocks = user_blocks or _block_count(n_u, USER_BLOCK)
+        # enough user blocks to fill the task slots (at least ~USER_CHUNK
+        # users each); at scale the size-based count is the larger one
+        slots = users.sparkSession.sparkContext.defaultParallelism
+        user_blocks = user_blocks or max(_block_count(n_u, USER_BLOCK),
+                                         min(slots, max(1, n_u // USER_CHUNK)))
         item_blocks = item_blocks or _block_count(n_i, ITEM_BLOCK)
     ub = F.pmod(F.xxhash64("uid"), F.lit(user_blocks)).cast("int")
     ib = F.pmod(F.xxhash64("iid"), F.lit(item_blocks)).cast("int")
