@@ -40,12 +40,9 @@ def cached(df: DataFrame):
             df.unpersist()
 
 
-@contextlib.contextmanager
-def prepared(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK):
-    """Pin a job's prepared input for its several passes (index fit, fits,
-    evaluations): project the columns used, persist (memory, spilling to
-    disk), materialise once, and release it when the job is done.  Without
-    this every pass re-runs the scan and the joins that produced the table.
+def pin(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Project, persist (memory, spilling to disk) and materialise ``df``
+    once; the caller unpersists it.
 
     Only once the table is cached is its partition count looked at (asking an
     un-cached adaptive plan for it would run its shuffles an extra time).  A
@@ -62,6 +59,16 @@ def prepared(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK):
         spread.count()
         data.unpersist()
         data = spread
+    return data
+
+
+@contextlib.contextmanager
+def prepared(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK):
+    """Pin a job's prepared input (see :func:`pin`) for its several passes
+    (index fit, fits, evaluations) and release it when the job is done.
+    Without this every pass re-runs the scan and the joins that produced
+    the table."""
+    data = pin(df, cols, rows_per_task)
     try:
         yield data
     finally:

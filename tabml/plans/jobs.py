@@ -111,22 +111,29 @@ def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: s
     ``(accuracy (model, n, accuracy), fitted tree)``; the tree's rules as
     rows come from :func:`tabml.operators.models.tree_nodes`.
 
-    The category index is fitted in one pass over the input; the assembled
-    ``(label, features, part)`` table is then pinned once and both fits and
-    both evaluations read it."""
+    The input is scanned once and pinned; the category index is fitted on
+    it, the assembled ``(label, features, part)`` table is pinned in its
+    place, and both fits and both evaluations read that."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    idx = fe.indexer([category], [f"{category}_idx"], handle_invalid="keep").fit(t)
-    asm = VectorAssembler(inputCols=[f"{category}_idx"] + list(numeric), outputCol="features")
-    data = sp.with_split(asm.transform(idx.transform(t)), key, [1 - holdout, holdout])
-    with mo.prepared(data, ["label", "features", "part"]) as base:
-        train = base.filter(F.col("part") == "train")
-        hold = base.filter(F.col("part") == "test")
+    raw = mo.pin(t, [key, "label", category, *numeric])     # the input is scanned once
+    try:
+        idx = fe.indexer([category], [f"{category}_idx"], handle_invalid="keep").fit(raw)
+        asm = VectorAssembler(inputCols=[f"{category}_idx"] + list(numeric), outputCol="features")
+        data = sp.with_split(asm.transform(idx.transform(raw)), key, [1 - holdout, holdout])
+        assembled = mo.pin(data, ["label", "features", "part"])
+    finally:
+        raw.unpersist()
+    try:
+        train = assembled.filter(F.col("part") == "train")
+        hold = assembled.filter(F.col("part") == "test")
         tree = mo.fit_tree(train, max_depth=max_depth, seed=seed)
         forest = mo.fit_forest(train, max_depth=max_depth, num_trees=num_trees, seed=seed)
         acc = mo.small(
             me.accuracy(tree.transform(hold)).withColumn("model", F.lit("tree"))
             .unionByName(me.accuracy(forest.transform(hold)).withColumn("model", F.lit("forest")))
             .select("model", "n", "accuracy"))
+    finally:
+        assembled.unpersist()
     return acc, tree
 
 
