@@ -773,16 +773,19 @@ FROM events GROUP BY 1, 2, 3
 def stream_level_counts(spark, d):
     """L2 as a Structured Streaming query: the events file read as a stream,
     windowed counts with a 1-hour watermark in complete mode, run to the end
-    of the available input (availableNow) into a memory table."""
+    of the available input (availableNow) into the per-epoch parquet sink
+    below the shared checkpoint folder, then read back."""
     from ..session import scratch_path
     ensure_utc(spark)
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    name = "tabml_level_counts_" + scratch_path(spark, "s").rsplit("-", 1)[-1]
-    q = ls.start_level_counts(spark, stream, scratch_path(spark, "stream-ckpt"), name=name,
-                              level="event_type", mode="complete")
+    out = scratch_path(spark, "stream-out")
+    q = ls.start_level_counts(spark, stream, scratch_path(spark, "stream-ckpt"), sink="parquet",
+                              path=out, level="event_type", mode="complete")
     q.awaitTermination()
-    return spark.table(name)
+    res = spark.read.parquet(out)
+    last = res.agg(F.max("epoch"))                # complete mode: the last epoch has it all
+    return res.filter(F.col("epoch") == last.scalar()).drop("epoch")
 
 
 @query("id_map_users", """

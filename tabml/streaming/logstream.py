@@ -86,13 +86,14 @@ def level_share(df: DataFrame, level: str = "level", weight: str | None = None)
 
 
 def start_level_counts(spark: SparkSession, stream: DataFrame, checkpoint: str,
-                       sink: str = "memory", name: str = "level_counts",
+                       sink: str = "parquet", name: str = "level_counts",
                        mode: str = "complete", ts: str = "ts", level: str = "level",
                        window: str = "1 day", watermark: str = "1 hour",
                        available_now: bool = True, path: str | None = None) -> StreamingQuery:
     """Run :func:`level_counts` as a Structured Streaming query.  ``append``
     emits a window once the watermark passes its end; ``complete`` /
-    ``update`` emit running counts.  The parquet sink writes each
+    ``update`` emit running counts.  ``sink="memory"`` (Spark's debugging
+    sink, collected on the driver) is for tests only.  The parquet sink writes each
     micro-batch with ``foreachBatch`` into its own ``epoch=<id>`` folder
     (read back with ``epoch`` as a column); a retried batch overwrites its
     folder, so output is exactly once."""

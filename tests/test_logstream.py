@@ -37,12 +37,12 @@ def test_stream_equals_batch_and_append_withholds_open_windows(spark):
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .parquet(src))
     ck = tempfile.mkdtemp(prefix="tabml-stream-")
-    q = ls.start_level_counts(spark, stream, os.path.join(ck, "c"), name="lc_complete",
+    q = ls.start_level_counts(spark, stream, os.path.join(ck, "c"), sink="memory", name="lc_complete",
                               level="event_type", mode="complete")
     q.awaitTermination(120)
     got = sorted((r.window_start, r.level, r.n) for r in spark.table("lc_complete").collect())
     assert got == want
-    q2 = ls.start_level_counts(spark, stream, os.path.join(ck, "a"), name="lc_append",
+    q2 = ls.start_level_counts(spark, stream, os.path.join(ck, "a"), sink="memory", name="lc_append",
                                level="event_type", mode="append")
     q2.awaitTermination(120)
     app = spark.table("lc_append").collect()
