@@ -41,9 +41,15 @@ def id_map(df: DataFrame, key: str, out: str = "id") -> DataFrame:
 
 
 def fits_int(df: DataFrame, *cols: str) -> bool:
+    """Whether the id columns are usable as ALS ids (within the 32-bit int
+    range).  Columns typed int/short/byte need no pass over the data; wider
+    ones are checked with one min/max aggregate."""
+    narrow = ("int", "smallint", "tinyint")
+    if all(dict(df.dtypes)[c] in narrow for c in cols):
+        return True
     row = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                  *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).head()
-    return all((row[f"lo{i}"] is None or row[f"lo{i}"] >= 0) and
+    return all((row[f"lo{i}"] is None or row[f"lo{i}"] >= -INT_MAX - 1) and
                (row[f"hi{i}"] is None or row[f"hi{i}"] <= INT_MAX) for i in range(len(cols)))
 
 
