@@ -57,7 +57,7 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
             max_iter: int = 10, reg: float = 0.1, seed: int = 42,
             cold_start: str = "drop", implicit: bool = False, blocks: int | None = None):
     """F9 + I1: explicit-feedback ALS with the reference's settings (10
-    iterations, lambda 0.1, rank 10).  Ids must be non-negative ints; use
+    iterations, lambda 0.1, rank 10).  Ids must fit in a 32-bit int; use
     :func:`id_map` first for wider keys.  ``cold_start='drop'`` removes rows
     with unknown user or item from ``transform`` output."""
     # Spark's default is 10 user and 10 item blocks whatever the cluster;
