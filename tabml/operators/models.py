@@ -2,9 +2,11 @@
 
 Estimators are Spark ML's distributed solvers: the normal-equation and
 L-BFGS/OWL-QN fits are one tree-aggregate per iteration, trees are grown one
-level per aggregate job, k-means is one aggregate per Lloyd step.  Inputs of
-iterative fits are persisted for the fit only (the reference re-read its CSV
-on every pass).  Every random step takes a seed.
+level per aggregate job, k-means is one aggregate per Lloyd step.  Fits read
+only the columns they use, and Spark ML persists its own instance RDD for the
+iterations; jobs that pass over one table several times pin it once with
+:func:`pin` / :func:`prepared` (the reference re-read its CSV on every pass).
+Every random step takes a seed.
 """
 
 from __future__ import annotations
