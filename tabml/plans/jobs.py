@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (features as fe, metrics as me, models as mo, prep,
                          recommend as rc, split as sp, stats as st, tuning as tu)
+from ..session import ensure_checkpoint_dir
 
 
 def screen_fields(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
@@ -159,7 +160,11 @@ def recommend_courses(ratings: DataFrame, user: str, item: str, rating: str,
                       k: int = 5, scale: float = 100.0, seed: int = 42) -> DataFrame:
     """Recommender: scale the rating, fit ALS (10 iterations, lambda 0.1,
     cold start 'drop'), top k per user beside each user's history."""
-    r = prep.scale(ratings, rating, scale)
+    # the ratings (a join and an aggregate upstream) are read by the id check,
+    # the fit and the history rows of the lazily returned result: write them
+    # once to the shared checkpoint folder and cut the lineage there
+    ensure_checkpoint_dir(ratings.sparkSession)
+    r = prep.scale(ratings.select(user, item, rating), rating, scale).checkpoint(eager=True)
     if not rc.fits_int(r, user, item):
         raise ValueError("ids exceed 32 bits; map them with recommend.id_map first")
     model = rc.fit_als(r, user, item, rating, seed=seed)
