@@ -429,8 +429,10 @@ def _embeddings(spark, d):
 
 @query("kmeans_sizes")
 def kmeans_sizes(spark, d):
-    sizes, _, _ = jobs.segment(_embeddings(spark, d), "features", k=3, seed=1)
-    return sizes
+    """F8 + C1: fit k-means, score, rows per cluster."""
+    emb = _embeddings(spark, d)
+    model = mo.fit_kmeans(emb, k=3, seed=1)
+    return st.count_by(model.transform(emb).withColumnRenamed("prediction", "cluster"), "cluster")
 
 
 @query("kmeans_centers")
@@ -566,7 +568,8 @@ def tune_leaderboard(spark, d):
     li = table(spark, d, "lineitem").withColumn(
         "net", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
     _, board = jobs.tuned_regression(li, "net", ["l_extendedprice", "l_discount", "l_tax"],
-                                     ["l_returnflag", "l_linestatus"], key="l_orderkey")
+                                     ["l_returnflag", "l_linestatus"], key="l_orderkey",
+                                     report=False)
     return board
 
 

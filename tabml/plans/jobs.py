@@ -34,26 +34,28 @@ def in_sample_regression(df: DataFrame, label: str, numeric: Sequence[str],
     ``(kind, name, value)`` = coefficients, intercept, R^2, RMSE."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     stages = fe.feature_stages(categorical, numeric, handle_invalid="error")
-    prepared = Pipeline(stages=stages).fit(t).transform(t).select("label", "features")
-    model = mo.fit_linear(prepared, solver="normal")
-    coefs = mo.coefficients(model, prepared).select(
-        F.lit("coefficient").alias("kind"), F.col("feature").alias("name"),
-        F.col("coefficient").alias("value"))
-    scored = model.transform(prepared)
-    fit = me.metrics_long(me.regression_metrics(scored), "train").select(
-        F.lit("metric").alias("kind"), F.col("metric").alias("name"), "value")
+    with mo.prepared(t, ["label", *numeric, *categorical]) as base:
+        data = Pipeline(stages=stages).fit(base).transform(base).select("label", "features")
+        model = mo.fit_linear(data, solver="normal")
+        coefs = mo.coefficients(model, data).select(
+            F.lit("coefficient").alias("kind"), F.col("feature").alias("name"),
+            F.col("coefficient").alias("value"))
+        fit = mo.small(me.metrics_long(me.regression_metrics(model.transform(data)), "train")
+                       .select(F.lit("metric").alias("kind"), F.col("metric").alias("name"),
+                               "value"))
     return coefs.unionByName(fit)
 
 
 def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.2,
                      train_ratio: float = 0.8, seed: int = 42, parallelism: int = 9,
-                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID):
+                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID, report: bool = True):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
     train/validation search, checked on a key-hash holdout.  Returns
     ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``:
     train and holdout R^2 / RMSE / MAE, the winning lambda and alpha, and the
-    winner's coefficients and intercept by feature name."""
+    winner's coefficients and intercept by feature name.  ``report=False``
+    skips the metrics and returns ``(None, leaderboard)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LinearRegression()           # Spark defaults, as in the reference search
     search = tu.tune(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism)
@@ -64,6 +66,8 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
+        if not report:                            # the leaderboard alone
+            return None, tu.leaderboard(spark, pm)
         best = tu.best_model(pm)
         scored_train = pm.transform(train)
         coefs = mo.coefficients(best, scored_train).select(
@@ -140,19 +144,22 @@ def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: s
 
 def segment(df: DataFrame, features: str, k: int = 3, seed: int = 1):
     """k-means segmentation: ``(sizes (cluster, n), quality (metric,
-    value) = SSE and silhouette, centres (cluster, dim, value))``."""
-    model = mo.fit_kmeans(df, k=k, features=features, seed=seed)
-    scored = model.transform(df)
-    sizes = st.count_by(scored.withColumnRenamed("prediction", "cluster"), "cluster")
-    cent = mo.centers(model, df.sparkSession)
-    c_arr = (cent.groupBy("cluster")
-             .agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_s"))
-             .select("cluster", F.col("_s.value").alias("center")))
-    sse = me.sse(scored.withColumnRenamed("prediction", "cluster"), features, "cluster", c_arr)
-    sil = me.silhouette(scored, features, "prediction")
-    quality = (sse.agg(F.sum("sse").alias("value")).select(F.lit("sse").alias("metric"), "value")
-               .unionByName(sil.select(F.lit("silhouette").alias("metric"),
-                                       F.col("silhouette").alias("value"))))
+    value) = SSE and silhouette, centres (cluster, dim, value))``.  The
+    input is pinned for the fit and the three scoring passes."""
+    with mo.prepared(df, [features]) as data:
+        model = mo.fit_kmeans(data, k=k, features=features, seed=seed)
+        scored = model.transform(data).withColumnRenamed("prediction", "cluster")
+        sizes = mo.small(st.count_by(scored, "cluster"))
+        cent = mo.centers(model, df.sparkSession)
+        c_arr = (cent.groupBy("cluster")
+                 .agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_s"))
+                 .select("cluster", F.col("_s.value").alias("center")))
+        sse = me.sse(scored, features, "cluster", c_arr)
+        sil = me.silhouette(scored, features, "cluster")
+        quality = mo.small(
+            sse.agg(F.sum("sse").alias("value")).select(F.lit("sse").alias("metric"), "value")
+            .unionByName(sil.select(F.lit("silhouette").alias("metric"),
+                                    F.col("silhouette").alias("value"))))
     return sizes, quality, cent
 
 
