@@ -17,3 +17,10 @@ def test_csv_and_glob_scan_equal_parquet(spark):
     inferred = read_csv(spark, out)                 # inference only as the fallback
     assert dict(inferred.dtypes)["c_custkey"] in ("int", "bigint")
     assert read_table(spark, out + "/part-*.csv", schema=cust.schema).count() == cust.count()
+
+
+def test_command_line_runner_writes_parquet(spark):
+    from tabml.plans.run import main
+    out = os.path.join(tempfile.mkdtemp(prefix="tabml-run-"), "res")
+    assert main(["level_share", "--sf-dir", "/root/testdata/sf0.001", "--out", out]) == 0
+    assert spark.read.parquet(out).count() == 5
