@@ -60,8 +60,10 @@ def search_model(model) -> TrainValidationSplitModel:
 
 
 def best_model(model):
-    """The winning fitted estimator."""
-    return search_model(model).bestModel
+    """The winning fitted estimator (the last stage when the search was
+    run around a whole pipeline)."""
+    best = search_model(model).bestModel
+    return best.stages[-1] if isinstance(best, PipelineModel) else best
 
 
 def leaderboard(spark: SparkSession, model) -> DataFrame:

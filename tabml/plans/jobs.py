@@ -46,10 +46,27 @@ def in_sample_regression(df: DataFrame, label: str, numeric: Sequence[str],
     return coefs.unionByName(fit)
 
 
+def _search_stages(est, grid, metric, train_ratio, seed, parallelism, categorical, numeric,
+                   whole_pipeline: bool) -> list:
+    """Stages of a tuned model.  By default (as in the reference) the
+    indexers and encoder are fitted once on all training rows and the search
+    runs on the assembled features, so category frequencies of validation
+    rows inform the encoding.  ``whole_pipeline`` runs the search around the
+    whole pipeline instead: every candidate refits the feature stages on its
+    own training split, with no such leakage (and one feature fit per
+    candidate)."""
+    feats = fe.feature_stages(categorical, numeric, handle_invalid="keep")
+    if whole_pipeline:
+        return [tu.tune(Pipeline(stages=feats + [est]), grid, metric, train_ratio, seed,
+                        parallelism)]
+    return feats + [tu.tune(est, grid, metric, train_ratio, seed, parallelism)]
+
+
 def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.2,
                      train_ratio: float = 0.8, seed: int = 42, parallelism: int = 9,
-                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID, report: bool = True):
+                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID, report: bool = True,
+                     whole_pipeline: bool = False):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
     train/validation search, checked on a key-hash holdout.  Returns
     ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``:
@@ -58,8 +75,8 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
     skips the metrics and returns ``(None, leaderboard)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LinearRegression()           # Spark defaults, as in the reference search
-    search = tu.tune(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism)
-    stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
+    stages = _search_stages(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism,
+                            categorical, numeric, whole_pipeline)
     spark = df.sparkSession
     data = sp.with_split(t, key, [1 - holdout, holdout])
     with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
@@ -88,14 +105,15 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.1,
                      train_ratio: float = 0.9, seed: int = 42, parallelism: int = 9,
                      metric: str = "areaUnderROC",
-                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID):
+                     grid: Mapping[str, Sequence] = tu.DEFAULT_GRID,
+                     whole_pipeline: bool = False):
     """Binary logistic regression tuned on the grid (by area under ROC, not
     the reference's regression R^2), checked on a key-hash holdout.
     Returns ``(metrics, class_rates, confusion)``."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LogisticRegression()         # Spark defaults, as in the reference search
-    search = tu.tune(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism)
-    stages = fe.feature_stages(categorical, numeric, handle_invalid="keep") + [search]
+    stages = _search_stages(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism,
+                            categorical, numeric, whole_pipeline)
     data = sp.with_split(t, key, [1 - holdout, holdout])
     with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
         train = base.filter(F.col("part") == "train")

@@ -28,3 +28,18 @@ def test_grid_and_leaderboard(spark):
     # same seed, same winner
     m2 = tu.tune(lr, grid, "r2", 0.8, seed=3, parallelism=2).fit(data)
     assert list(m2.validationMetrics) == list(m.validationMetrics)
+
+
+def test_search_around_whole_pipeline(spark):
+    from tabml.plans import jobs
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn(
+        "net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    metrics, board = jobs.tuned_regression(li, "net", ["l_extendedprice", "l_discount"],
+                                           ["l_returnflag"], key="l_orderkey",
+                                           whole_pipeline=True)
+    rows = board.collect()
+    assert len(rows) == 9 and sum(r.is_best for r in rows) == 1
+    m = {(r.dataset, r.metric): r.value for r in metrics.collect()}
+    best = [r for r in rows if r.is_best][0]
+    assert m[("best", "regParam")] == best.regParam
+    assert m[("holdout", "r2")] > 0.9
