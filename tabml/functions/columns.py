@@ -17,8 +17,15 @@ def hash_bucket(key, buckets: int = 10000) -> Column:
     """Stable bucket of a key: the first 32 bits of md5(key as text), mod
     ``buckets``.  It depends on the key alone, never on partitioning or on a
     random generator, so a split made from it is reproducible, survives task
-    retries, and the same number comes out of any SQL engine with md5."""
-    h = F.conv(F.substring(F.md5(_c(key).cast("string")), 1, 8), 16, 10)
+    retries, and the same number comes out of any SQL engine with md5.
+
+    ``key`` may be a list of columns (joined with a unit separator before
+    hashing), e.g. a row-unique key when one group key is too heavy."""
+    if isinstance(key, (list, tuple)):
+        text = F.concat_ws("\x1f", *[_c(k).cast("string") for k in key])
+    else:
+        text = _c(key).cast("string")
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10)
     return (h.cast("bigint") % F.lit(buckets)).cast("bigint")
 
 

@@ -4,6 +4,11 @@
 on the input partitioning unless the input order is fixed.  ``hash_split`` is
 the reproducible form: a row's part is a function of its key alone, so it is
 the same on any cluster size, after any task retry and in any SQL engine.
+
+A key split keeps all rows of a key on one side (no group straddles train
+and test).  If one key holds a large share of the rows the part sizes follow
+it; pass several columns (a row-unique key) as ``key`` when the proportions
+matter more than keeping groups together.
 """
 
 from __future__ import annotations

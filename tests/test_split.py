@@ -31,3 +31,15 @@ def test_random_split_disjoint_complete(spark):
     a, b = sp.random_split(o, [0.8, 0.2], seed=7)
     ka, kb = {r[0] for r in a.collect()}, {r[0] for r in b.collect()}
     assert not ka & kb and len(ka | kb) == o.count()
+
+
+def test_multi_column_key_splits_a_heavy_group(spark):
+    # one order key holds every row: a split on it puts all rows on one side,
+    # a split on (order, line) spreads them by the weights
+    df = spark.range(0, 4000).select(F.lit(7).alias("k"), F.col("id").alias("line"))
+    a, b = sp.hash_split(df, "k", [0.8, 0.2])
+    assert {a.count(), b.count()} == {0, 4000}
+    a2, b2 = sp.hash_split(df, ["k", "line"], [0.8, 0.2])
+    assert 0.75 < a2.count() / 4000 < 0.85 and a2.count() + b2.count() == 4000
+    tagged = sp.with_split(df, ["k", "line"], [0.8, 0.2])
+    assert tagged.filter(F.col("part") == "train").count() == a2.count()
