@@ -81,12 +81,15 @@ def group_categories(df: DataFrame, col: str, keep: Iterable[str] = (),
     Short lists become one CASE expression.  A large map is given as a
     ``mapping`` table ``(value, group)`` and joined (left, on the value);
     Spark's size-checked broadcast / AQE chooses the join strategy, so a map
-    of any size works.  Unmatched values and NULL become ``other``.
+    of any size works.  A value listed twice keeps its smallest group, so no
+    row is duplicated.  Unmatched values and NULL become ``other``.
     """
     out = out or col
     if mapping is None:
         return df.withColumn(out, category_group(col, keep, groups, other))
-    m = mapping.toDF("_gv", "_gg")
+    # a map must be a function: one group per value (the smallest, so the
+    # choice is deterministic); otherwise the join would duplicate rows
+    m = mapping.toDF("_gv", "_gg").groupBy("_gv").agg(F.min("_gg").alias("_gg"))
     joined = df.join(m, F.col(col) == F.col("_gv"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_gg"), F.lit(other))).drop("_gv", "_gg")
 

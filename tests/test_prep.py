@@ -45,3 +45,10 @@ def test_filters(spark):
     assert [r.k for r in prep.filter_expr(df, "c = FALSE").collect()] == [2]
     assert [r.k for r in prep.filter_key(df, "k", 3).collect()] == [3]
     assert prep.numeric_columns(df) == ["k"]
+
+
+def test_mapping_with_duplicate_value_does_not_duplicate_rows(spark):
+    df = spark.createDataFrame([("GB",), ("DE",)], "k string")
+    mapping = spark.createDataFrame([("GB", "UK"), ("GB", "EU"), ("DE", "EU")], "v string, g string")
+    out = sorted((r.k, r.g) for r in prep.group_categories(df, "k", mapping=mapping, out="g").collect())
+    assert out == [("DE", "EU"), ("GB", "EU")]
