@@ -38,7 +38,10 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None,
 
     One aggregate computes each unordered pair once (a <= b); the mirror
     pairs are emitted from the same value, so the result has n^2 rows (both
-    orders and the diagonal) when ``ordered_pairs`` is set.
+    orders and the diagonal) when ``ordered_pairs`` is set.  Each pair uses
+    the rows where both values are present (pairwise-complete).  Past
+    ``WIDE_CORR`` columns Spark ML's ``Correlation`` is used instead, which
+    needs complete rows: there a row with a NULL in any column is skipped.
     """
     cols = list(cols or numeric_columns(df))
     if len(cols) > WIDE_CORR:
