@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,8 +15,3 @@ def spark():
     s = build_session("local[*]", app="tabml-tests", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-@pytest.fixture()
-def tmpdir_path():
-    return tempfile.mkdtemp(prefix="tabml-test-")
