@@ -98,3 +98,11 @@ def test_tree_nodes_impurity_from_stats(spark):
     assert abs(nodes[0].impurity - var) < 1e-9
     assert all(n.impurity >= 0 for n in nodes.values())
     assert sum(n.n for n in nodes.values() if n.left is None) == 50
+
+
+def test_sse_keeps_rows_without_a_centre(spark):
+    df = spark.createDataFrame([(0, [0.0, 0.0]), (0, [2.0, 0.0]), (1, [5.0, 5.0])],
+                               "c int, x array<double>")
+    cen = spark.createDataFrame([(0, [1.0, 0.0])], "cluster int, center array<double>")
+    out = {r.cluster: (r.n, r.sse) for r in me.sse(df, "x", "c", cen).collect()}
+    assert out == {0: (2, 2.0), 1: (1, None)}
