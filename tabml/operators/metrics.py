@@ -142,7 +142,9 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
     vecs = (per_dim.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("dim", "s"))).alias("_s"))
             .select("_k", F.col("_s.s").alias("sum_vec")))
     sizes = x.groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.sum("_nx").alias("sq"))
-    clusters = sizes.join(vecs, "_k")
+    # NULL is a cluster of its own here, so match keys NULL-safely
+    clusters = (sizes.join(vecs, sizes["_k"].eqNullSafe(vecs["_k"]))
+                .select(sizes["_k"], "n", "sq", "sum_vec"))
     table = clusters.agg(F.collect_list(F.struct("_k", "n", "sq", "sum_vec")).alias("cl"))
     scored = x.withColumn("cl", table.scalar())
 
@@ -150,8 +152,8 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
         return (F.col("_nx") + c["sq"] / c["n"]
                 - F.lit(2.0) * dot("_x", c["sum_vec"]) / c["n"])
 
-    own = F.filter("cl", lambda c: c["_k"] == F.col("_k"))[0]
-    others = F.transform(F.filter("cl", lambda c: c["_k"] != F.col("_k")), mean_dist)
+    own = F.try_element_at(F.filter("cl", lambda c: c["_k"].eqNullSafe(F.col("_k"))), F.lit(1))
+    others = F.transform(F.filter("cl", lambda c: ~c["_k"].eqNullSafe(F.col("_k"))), mean_dist)
     a = F.when(own["n"] > 1, mean_dist(own) * own["n"] / (own["n"] - 1))
     b = F.array_min(others)
     s = (F.when(own["n"] <= 1, F.lit(0.0))

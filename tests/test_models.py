@@ -106,3 +106,11 @@ def test_sse_keeps_rows_without_a_centre(spark):
     cen = spark.createDataFrame([(0, [1.0, 0.0])], "cluster int, center array<double>")
     out = {r.cluster: (r.n, r.sse) for r in me.sse(df, "x", "c", cen).collect()}
     assert out == {0: (2, 2.0), 1: (1, None)}
+
+
+def test_silhouette_null_cluster_is_a_cluster(spark):
+    rows = [(None, [0.0, 0.0]), (None, [0.1, 0.0]), (1, [5.0, 5.0]), (1, [5.1, 5.0])]
+    df = spark.createDataFrame(rows, "c int, x array<double>")
+    got = me.silhouette(df, "x", "c").head()
+    filled = me.silhouette(df.fillna(0, ["c"]), "x", "c").head()
+    assert got["n"] == 4 and abs(got["silhouette"] - filled["silhouette"]) < 1e-12
