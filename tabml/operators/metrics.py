@@ -117,9 +117,11 @@ def sse(df: DataFrame, features: str, cluster: str, centers: DataFrame | None =
     if centers is None:
         centers = cluster_means(df, features, cluster)
     x = _as_array(df, features).select(F.col(cluster).alias("cluster"), "_x")
-    # left join: rows of a cluster missing from ``centers`` stay counted and
-    # give a NULL sse instead of silently dropping out
-    return (x.join(centers, "cluster", "left")
+    c = centers.select(F.col("cluster").alias("_ck"), "center")
+    # left join, NULL-safe: rows of a cluster missing from ``centers`` stay
+    # counted and give a NULL sse instead of silently dropping out, and a
+    # NULL cluster label meets its own centre
+    return (x.join(c, x["cluster"].eqNullSafe(c["_ck"]), "left")
             .groupBy("cluster")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.sum(sq_dist("_x", F.col("center").cast("array<double>"))).alias("sse")))

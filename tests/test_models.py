@@ -114,3 +114,9 @@ def test_silhouette_null_cluster_is_a_cluster(spark):
     got = me.silhouette(df, "x", "c").head()
     filled = me.silhouette(df.fillna(0, ["c"]), "x", "c").head()
     assert got["n"] == 4 and abs(got["silhouette"] - filled["silhouette"]) < 1e-12
+
+
+def test_sse_null_cluster_meets_its_centre(spark):
+    df = spark.createDataFrame([(None, [0.0]), (None, [2.0]), (1, [5.0])], "c int, x array<double>")
+    out = {r.cluster: (r.n, r.sse) for r in me.sse(df, "x", "c").collect()}
+    assert out == {None: (2, 2.0), 1: (1, 0.0)}
