@@ -27,3 +27,24 @@ def test_summarize_and_pivot(spark):
     assert s["v"]["count"] == 4 and s["v"]["mean"] == 2.5 and s["v"]["max"] == 4.0
     p = {r.u: r for r in st.pivot_sum(df, "u", "k", "v").collect()}
     assert p["u1"]["a"] == 1.0 and p["u2"]["a"] == 7.0 and p["u2"]["b"] is None
+
+
+def test_pivot_refuses_too_many_values(spark):
+    df = spark.range(0, 50).selectExpr("id % 2 AS u", "CAST(id AS STRING) AS k", "1.0 AS v")
+    try:
+        st.pivot_sum(df, "u", "k", "v", max_values=10)
+        raised = False
+    except ValueError:
+        raised = True
+    assert raised
+
+
+def test_small_refuses_large_reports(spark):
+    from tabml.operators.models import small
+    assert small(spark.range(5)).count() == 5
+    try:
+        small(spark.range(20), max_rows=10)
+        raised = False
+    except ValueError:
+        raised = True
+    assert raised
