@@ -68,7 +68,13 @@ def class_rates(df: DataFrame, label: str = "label", prediction: str = "predicti
     predicted = cm.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("_p"))
     tp = (cm.filter(F.col("label") == F.col("prediction"))
           .select(F.col("label").alias("class"), F.col("n").alias("tp")))
-    t = (actual.join(predicted, "class", "full").join(tp, "class", "left")
+    a = actual.withColumnRenamed("class", "_ca")
+    p = predicted.withColumnRenamed("class", "_cp")
+    # NULL-safe keys: a NULL label / guess is one class of its own
+    t = (a.join(p, a["_ca"].eqNullSafe(p["_cp"]), "full")
+         .select(F.coalesce("_ca", "_cp").alias("class"), "_a", "_p")
+         .join(tp.withColumnRenamed("class", "_ct"),
+               F.col("class").eqNullSafe(F.col("_ct")), "left").drop("_ct")
          .na.fill(0, ["_a", "_p", "tp"])
          .withColumn("_t", total.scalar()))
     return t.select(

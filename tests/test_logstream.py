@@ -107,3 +107,14 @@ def test_class_rates_empty_class(spark):
     r = {x["class"]: x for x in me.class_rates(df).collect()}
     assert r[1.0]["tp"] == 0 and r[1.0]["precision"] is None and r[1.0]["tpr"] == 0.0
     assert r[0.0]["precision"] == 1 / 3 and r[0.0]["accuracy"] == 1 / 3
+
+
+def test_class_rates_null_class_is_one_row(spark):
+    from tabml.operators import metrics as me
+    df = spark.createDataFrame([(None, 1.0), (1.0, None), (1.0, 1.0), (0.0, 0.0)],
+                               "label double, prediction double")
+    rows = me.class_rates(df).collect()
+    assert len(rows) == 3
+    r = {x["class"]: x for x in rows}
+    assert r[None]["tp"] == 0 and r[None]["fn"] == 1 and r[None]["fp"] == 1
+    assert r[1.0]["tp"] == 1 and r[0.0]["tp"] == 1
