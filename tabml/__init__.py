@@ -6,4 +6,12 @@ Spark ML model).  No Python UDF sits on a hot path: the heavy lifting is left
 to Catalyst, whole-stage codegen and Spark ML's distributed solvers.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the workers by value, so only the driver
+# needs it on its path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"
