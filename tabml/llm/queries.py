@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, fingerprint, warc
+
+
+def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +29,27 @@ def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, payload=False) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op2_multiset_hash": op2_multiset_hash,
     "op3_byte_bpe": op3_byte_bpe,
     "op8_positional_index": op8_positional_index,
+    "op10_warc_dictionary": op10_warc_dictionary,
 }
 
 ORACLE_SQL = {
+    "op10_warc_dictionary": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+heads AS (SELECT html, max(page_id) AS head FROM p WHERE size >= 1000 GROUP BY html)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < head THEN head END AS refers_to
+FROM p LEFT JOIN heads ON p.html = heads.html""",
     "op8_positional_index": r"""
 WITH toks AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
