@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import bpe, decontaminate, fingerprint, warc
+from . import bpe, decontaminate, fingerprint, language, linear, quality, toxicity, warc
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,32 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN, keep=["doc_id"], ids=False)
 
 
+def _held_out(divisor: int, remainder: int):
+    """Rows never learnt from; rows without an id are among them."""
+    return F.coalesce(linear.remainder("doc_id", divisor) == remainder, F.lit(True))
+
+
+def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~_held_out(3, 1))
+    return toxicity.score(docs, weights, ["doc_id"]) \
+        .select("doc_id", _held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+def op6_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~_held_out(5, 0))
+    return quality.score(docs, model, ["doc_id"]) \
+        .select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+def op7_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~_held_out(5, 0))
+    return language.predict(docs, model, ["doc_id"]) \
+        .select("doc_id", _held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -38,6 +64,9 @@ def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_multiset_hash": op2_multiset_hash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_ftrl_toxicity": op5_ftrl_toxicity,
+    "op6_nbsvm_quality": op6_nbsvm_quality,
+    "op7_language_hierarchy": op7_language_hierarchy,
     "op8_positional_index": op8_positional_index,
     "op10_warc_dictionary": op10_warc_dictionary,
 }

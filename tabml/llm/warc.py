@@ -102,9 +102,11 @@ def parse(raw: bytes) -> dict:
 def train(records: DataFrame) -> bytes:
     """A dictionary from the records with the smallest id hashes.  With too few
     of them to train on, their own bytes are the dictionary."""
-    rows = records.select("page_id", "url", "digest", "refers_to", F.xxhash64("page_id", "digest").alias("h"),
-                          F.substring(F.encode("payload", "UTF-8"), 1, SAMPLE_BYTES).alias("payload")) \
-        .orderBy("h").limit(SAMPLE_RECORDS).collect()
+    hashed = records.withColumn("h", F.xxhash64("page_id", "digest"))
+    last = hashed.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
+    rows = hashed.filter(F.col("h") <= F.lit(last)).select(
+        "page_id", "url", "digest", "refers_to", F.substring(F.encode("payload", "UTF-8"), 1, SAMPLE_BYTES).alias("payload")) \
+        .limit(SAMPLE_RECORDS).collect() if last is not None else []
     samples = [record(r.page_id, r.url, bytes(r.payload), r.digest, r.refers_to) for r in rows]
     if len(samples) >= 32:
         try:
