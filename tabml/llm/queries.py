@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import bpe, decontaminate, fingerprint, language, linear, quality, toxicity, warc
+from . import bpe, decontaminate, fingerprint, language, linear, quality, suffix_dedup, toxicity, warc
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_bucket_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.archive(table(spark, sf_dir, "pages"))
     return warc.read_archives(archives, payload=False) \
@@ -68,6 +73,7 @@ QUERIES = {
     "op6_nbsvm_quality": op6_nbsvm_quality,
     "op7_language_hierarchy": op7_language_hierarchy,
     "op8_positional_index": op8_positional_index,
+    "op9_bucket_pointer": op9_bucket_pointer,
     "op10_warc_dictionary": op10_warc_dictionary,
 }
 
