@@ -43,11 +43,6 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def column_or_null(df: DataFrame, name: str, kind: str):
-    """The named column cast to ``kind``."""
-    return df[name].cast(kind)
-
-
 # ---------------------------------------------------------------- Arrow buffers
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all values, offsets of each value).  Null is empty."""
@@ -177,3 +172,23 @@ def grams(h: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
 def run_starts(key: np.ndarray) -> np.ndarray:
     """Index of the first row of each run of equal neighbours."""
     return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+
+
+def whole_groups(batches, column: str):
+    """Batches sorted by an integer column, as tables of whole groups."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(batch.schema.get_field_index(column)).to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        if held and last != key[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+        last = key[-1]
+    if held:
+        yield pa.Table.from_batches(held)

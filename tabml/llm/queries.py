@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import bpe, decontaminate, fingerprint, language, linear, quality, suffix_dedup, toxicity, warc
+from . import bpe, chaining, decontaminate, fingerprint, jaccard_join, language, linear, quality, suffix_dedup, toxicity, warc
+
+
+def op1_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +26,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN, keep=["doc_id"], ids=False)
 
 
+def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _held_out(divisor: int, remainder: int):
     """Rows never learnt from; rows without an id are among them."""
     return F.coalesce(linear.remainder("doc_id", divisor) == remainder, F.lit(True))
@@ -67,8 +75,10 @@ def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_collinear_chaining": op1_collinear_chaining,
     "op2_multiset_hash": op2_multiset_hash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_chosen_path_join": op4_chosen_path_join,
     "op5_ftrl_toxicity": op5_ftrl_toxicity,
     "op6_nbsvm_quality": op6_nbsvm_quality,
     "op7_language_hierarchy": op7_language_hierarchy,

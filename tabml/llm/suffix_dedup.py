@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, run_starts, slices, stored, text_buffers
+from .common import mix, run_starts, slices, stored, text_buffers, whole_groups
 
 LENGTH, GRAM = 100, 32
 #: Anchors of one bucket that a task refines by itself.
@@ -209,24 +209,10 @@ def repeats(src: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def judge(batches):
         """Repeated spans, bucket by bucket (rows sorted by bucket)."""
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            bucket = batch.column(0).to_numpy()
-            cut_at = int(np.searchsorted(bucket, bucket[-1])) if len(bucket) else 0
-            if held and len(bucket) and held[-1].column(0)[-1].as_py() != bucket[0]:
-                yield from spans(held)
-                held, size = [], 0
-            if cut_at:
-                yield from spans([*held, batch.slice(0, cut_at)])
-                held, size = [], 0
-            held.append(batch.slice(cut_at))
-        yield from spans(held)
-
-    def spans(held):
-        if not held:
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
+        for t in whole_groups(batches, "bucket"):
+            yield from spans(t.combine_chunks())
+
+    def spans(t):
         bucket = t.column("bucket").to_numpy().view(np.uint64)
         lo = 0
         data, off = text_buffers(t.column("context"))
