@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What a NULL key is hashed as.
+NULL_KEY = "\x1eNULL"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -20,11 +24,15 @@ def hash_bucket(key, buckets: int = 10000) -> Column:
     retries, and the same number comes out of any SQL engine with md5.
 
     ``key`` may be a list of columns (joined with a unit separator before
-    hashing), e.g. a row-unique key when one group key is too heavy."""
+    hashing), e.g. a row-unique key when one group key is too heavy.  A NULL
+    key is hashed as a fixed text, so it has a bucket like any other."""
+    def text_of(k):
+        return F.coalesce(_c(k).cast("string"), F.lit(NULL_KEY))
+
     if isinstance(key, (list, tuple)):
-        text = F.concat_ws("\x1f", *[_c(k).cast("string") for k in key])
+        text = F.concat_ws("\x1f", *[text_of(k) for k in key])
     else:
-        text = _c(key).cast("string")
+        text = text_of(key)
     h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10)
     return (h.cast("bigint") % F.lit(buckets)).cast("bigint")
 
@@ -59,10 +67,6 @@ def category_group(c, keep: Iterable[str], groups: Mapping[str, Iterable[str]] |
     return expr.otherwise(F.lit(other))
 
 
-def to_double_array(c) -> Column:
-    return _c(c).cast("array<double>")
-
-
 def dot(a, b) -> Column:
     """Inner product of two equal-length numeric arrays (higher-order
     functions, evaluated in the JVM)."""

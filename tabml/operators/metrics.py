@@ -8,7 +8,8 @@ per-cluster sums (O(n k), never O(n^2) pairs).
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,21 +18,28 @@ from ..functions.columns import dot, sq_dist, sq_norm
 
 def regression_metrics(df: DataFrame, label: str = "label",
                        prediction: str = "prediction") -> DataFrame:
-    """H1 / H2 / H3: one row ``(n, r2, rmse, mse, mae)`` from one pass.
+    """H1 / H2 / H3: one row ``(n, r2, rmse, mse, mae)`` from one pass over the
+    complete pairs; ``n`` counts those.  Rows without a label or a prediction
+    are counted by :func:`incomplete_pairs`.
 
     R^2 = 1 - SSE / SST with SST = n * var_pop(y), Spark's definition when an
     intercept is fitted.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    e = y - p
-    agg = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"),
-                 F.sum(F.abs(e)).alias("_sae"), F.var_pop(y).alias("_vy"))
+    e = y - p                                   # NULL unless both are present
+    agg = df.agg(F.count(e).alias("n"), F.sum(e * e).alias("_sse"),
+                 F.sum(F.abs(e)).alias("_sae"), F.var_pop(F.when(p.isNotNull(), y)).alias("_vy"))
     return agg.select(
         "n",
         (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("n") * F.col("_vy"))).alias("r2"),
-        F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
-        (F.col("_sse") / F.col("n")).alias("mse"),
-        (F.col("_sae") / F.col("n")).alias("mae"))
+        F.sqrt(F.try_divide(F.col("_sse"), F.col("n"))).alias("rmse"),
+        F.try_divide(F.col("_sse"), F.col("n")).alias("mse"),
+        F.try_divide(F.col("_sae"), F.col("n")).alias("mae"))
+
+
+def incomplete_pairs(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Rows that a regression metric cannot use, one row ``(incomplete)``."""
+    return df.agg(F.count_if(F.col(label).isNull() | F.col(prediction).isNull()).alias("incomplete"))
 
 
 def metrics_long(metrics_row: DataFrame, dataset: str) -> DataFrame:
@@ -57,16 +65,17 @@ def class_rates(df: DataFrame, label: str = "label", prediction: str = "predicti
     One pass over the data (the confusion counts); everything else runs on
     that table of at most classes^2 rows.  ``tpr`` is recall.  The reference
     printed the specificity of class 0 as "false positives"; here both are
-    reported under their own names.
+    reported under their own names.  NULL is a class like any other: a NULL
+    label guessed NULL is right, and every rate counts all rows.
     """
     # the five uses of ``cm`` sit in one plan, where Spark reuses the single
     # confusion-count exchange; nothing needs to be cached
     cm = confusion(df, label, prediction)
     total = cm.agg(F.sum("n"))
-    correct = cm.filter(F.col("label") == F.col("prediction")).agg(F.sum("n"))
+    correct = cm.filter(F.col("label").eqNullSafe(F.col("prediction"))).agg(F.sum("n"))
     actual = cm.groupBy(F.col("label").alias("class")).agg(F.sum("n").alias("_a"))
     predicted = cm.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("_p"))
-    tp = (cm.filter(F.col("label") == F.col("prediction"))
+    tp = (cm.filter(F.col("label").eqNullSafe(F.col("prediction")))
           .select(F.col("label").alias("class"), F.col("n").alias("tp")))
     a = actual.withColumnRenamed("class", "_ca")
     p = predicted.withColumnRenamed("class", "_cp")
@@ -87,12 +96,13 @@ def class_rates(df: DataFrame, label: str = "label", prediction: str = "predicti
         F.try_divide(F.col("tp"), F.col("_p")).alias("precision"),
         F.try_divide(F.col("_t") - F.col("_a") - F.col("_p") + F.col("tp"),
                      F.col("_t") - F.col("_a")).alias("specificity"),
-        F.try_divide(correct.scalar(), F.col("_t")).alias("accuracy"))
+        F.try_divide(F.coalesce(correct.scalar(), F.lit(0)), F.col("_t")).alias("accuracy"))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """H4 / H6: one row ``(n, accuracy)``."""
-    hit = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("double")
+    """H4 / H6: one row ``(n, accuracy)`` over all rows.  As in
+    :func:`class_rates`, NULL is a class: it is hit by NULL alone."""
+    hit = F.col(label).cast("double").eqNullSafe(F.col(prediction).cast("double")).cast("double")
     return df.agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
 
 
@@ -105,32 +115,34 @@ def _as_array(df: DataFrame, features: str) -> DataFrame:
 
 def cluster_means(df: DataFrame, features: str, cluster: str) -> DataFrame:
     """Mean vector per cluster ``(cluster, center array<double>)``: one
-    aggregate over the long form (row, dim); the partial aggregation combines
-    map-side, so a cluster holding most rows is still summed in parallel."""
+    vector summarizer per cluster, whose buffers are combined map-side, so a
+    cluster holding most rows is still summed in parallel."""
+    x = _as_vector(df, features)
+    return x.groupBy(F.col(cluster).alias("cluster")).agg(
+        vector_to_array(Summarizer.mean(F.col("_v"))).alias("center"))
+
+
+def _as_vector(df: DataFrame, features: str) -> DataFrame:
     x = _as_array(df, features)
-    long = x.select(F.col(cluster).alias("cluster"), F.posexplode("_x").alias("dim", "v"))
-    per_dim = long.groupBy("cluster", "dim").agg(F.avg("v").alias("m"))
-    return (per_dim.groupBy("cluster")
-            .agg(F.array_sort(F.collect_list(F.struct("dim", "m"))).alias("_s"))
-            .select("cluster", F.col("_s.m").alias("center")))
+    return x.withColumn("_v", array_to_vector("_x"))
 
 
 def sse(df: DataFrame, features: str, cluster: str, centers: DataFrame | None = None) -> DataFrame:
     """H8: within-cluster sum of squared distances per cluster
     ``(cluster, n, sse)``.  ``centers`` is ``(cluster, center)``; by default
-    the mean of each cluster.  The centre table has one row per cluster; the
-    join is planned by Spark from its size."""
+    the mean of each cluster.  The k centres are carried as a scalar subquery,
+    so no vector is shuffled."""
     if centers is None:
         centers = cluster_means(df, features, cluster)
     x = _as_array(df, features).select(F.col(cluster).alias("cluster"), "_x")
-    c = centers.select(F.col("cluster").alias("_ck"), "center")
-    # left join, NULL-safe: rows of a cluster missing from ``centers`` stay
-    # counted and give a NULL sse instead of silently dropping out, and a
-    # NULL cluster label meets its own centre
-    return (x.join(c, x["cluster"].eqNullSafe(c["_ck"]), "left")
+    table = centers.agg(F.collect_list(F.struct(
+        F.col("cluster").alias("k"), F.col("center").cast("array<double>").alias("c"))))
+    # NULL-safe: rows of a cluster missing from ``centers`` stay counted and
+    # give a NULL sse, and a NULL cluster label meets its own centre
+    own = F.try_element_at(F.filter("_cl", lambda c: c["k"].eqNullSafe(F.col("cluster"))), F.lit(1))
+    return (x.withColumn("_cl", table.scalar()).withColumn("_own", own["c"])
             .groupBy("cluster")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(sq_dist("_x", F.col("center").cast("array<double>"))).alias("sse")))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(sq_dist("_x", F.col("_own"))).alias("sse")))
 
 
 def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction") -> DataFrame:
@@ -141,18 +153,14 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
     ||x||^2 + S_C / n_C - 2 x . m_C with S_C = sum ||y||^2 and m_C the mean,
     so only per-cluster sums are needed (k rows, gathered once as a scalar
     subquery), never pairs of points.  The own-cluster mean is rescaled by
-    n_C / (n_C - 1) to leave the point itself out; a singleton scores 0.
+    n_C / (n_C - 1) to leave the point itself out; a singleton scores 0.  With
+    fewer than two clusters the metric is undefined, and NULL.  The number of
+    clusters must be that of a model (their sums are one row).
     """
-    x = _as_array(df, features).select(F.col(cluster).cast("double").alias("_k"), "_x")
+    x = _as_vector(df, features).select(F.col(cluster).cast("double").alias("_k"), "_x", "_v")
     x = x.withColumn("_nx", sq_norm("_x"))
-    per_dim = (x.select("_k", F.posexplode("_x").alias("dim", "v"))
-               .groupBy("_k", "dim").agg(F.sum("v").alias("s")))
-    vecs = (per_dim.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("dim", "s"))).alias("_s"))
-            .select("_k", F.col("_s.s").alias("sum_vec")))
-    sizes = x.groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.sum("_nx").alias("sq"))
-    # NULL is a cluster of its own here, so match keys NULL-safely
-    clusters = (sizes.join(vecs, sizes["_k"].eqNullSafe(vecs["_k"]))
-                .select(sizes["_k"], "n", "sq", "sum_vec"))
+    clusters = x.groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.sum("_nx").alias("sq"),
+                                   vector_to_array(Summarizer.sum(F.col("_v"))).alias("sum_vec"))
     table = clusters.agg(F.collect_list(F.struct("_k", "n", "sq", "sum_vec")).alias("cl"))
     scored = x.withColumn("cl", table.scalar())
 
@@ -164,7 +172,8 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
     others = F.transform(F.filter("cl", lambda c: ~c["_k"].eqNullSafe(F.col("_k"))), mean_dist)
     a = F.when(own["n"] > 1, mean_dist(own) * own["n"] / (own["n"] - 1))
     b = F.array_min(others)
-    s = (F.when(own["n"] <= 1, F.lit(0.0))
+    s = (F.when(F.size("cl") < 2, F.lit(None).cast("double"))
+         .when(own["n"] <= 1, F.lit(0.0))
          .when(a < b, F.lit(1.0) - a / b)
          .when(a > b, b / a - F.lit(1.0))
          .otherwise(F.lit(0.0)))

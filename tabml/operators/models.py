@@ -25,9 +25,6 @@ from ..session import scratch_path
 from .features import feature_names
 
 
-ROWS_PER_TASK = 50_000
-
-
 @contextlib.contextmanager
 def cached(df: DataFrame):
     """Persist ``df`` (memory, spilling to disk) for the duration of an
@@ -42,49 +39,38 @@ def cached(df: DataFrame):
             df.unpersist()
 
 
-def pin(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def pin(df: DataFrame, cols=None, partitions: int | None = None) -> DataFrame:
     """Project, persist (memory, spilling to disk) and materialise ``df``
-    once; the caller unpersists it.
-
-    Only once the table is cached is its partition count looked at (asking an
-    un-cached adaptive plan for it would run its shuffles an extra time).  A
-    table with fewer partitions than task slots, e.g. one file with a single
-    row group read as one task, is spread round-robin to at most one
-    partition per ``rows_per_task`` rows; a table that is already spread, as
-    any table at scale is, is left as it is."""
-    data = (df.select(*cols) if cols else df).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = data.count()
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    want = min(slots, max(1, rows // rows_per_task))
-    if data.rdd.getNumPartitions() < want:
-        spread = data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-        spread.count()
-        data.unpersist()
-        data = spread
+    once; the caller unpersists it.  The scan's partitioning is kept unless
+    the caller asks for ``partitions``, e.g. for a file of one row group that
+    is read by one task; then every row is dealt round-robin before it is
+    kept, so there is one copy."""
+    data = df.select(*cols) if cols else df
+    if partitions:
+        data = data.repartition(partitions)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data.foreachPartition(lambda rows: None)
     return data
 
 
 @contextlib.contextmanager
-def prepared(df: DataFrame, cols=None, rows_per_task: int = ROWS_PER_TASK):
+def prepared(df: DataFrame, cols=None, partitions: int | None = None):
     """Pin a job's prepared input (see :func:`pin`) for its several passes
     (index fit, fits, evaluations) and release it when the job is done.
     Without this every pass re-runs the scan and the joins that produced
     the table."""
-    data = pin(df, cols, rows_per_task)
+    data = pin(df, cols, partitions)
     try:
         yield data
     finally:
         data.unpersist()
 
 
-def small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Materialise a bounded report table (metrics, leaderboards, tree
-    rules) so it outlives the cached inputs it was computed from.  Refuses
-    anything over ``max_rows``: data never goes through the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def small(df: DataFrame) -> DataFrame:
+    """Materialise a report table (metrics, class rates, confusion counts:
+    its size follows from classes and metrics, not from rows) so it outlives
+    the cached inputs it was computed from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 @contextlib.contextmanager
@@ -196,8 +182,10 @@ def centers(model, spark) -> DataFrame:
 
 def tree_nodes(model, spark) -> DataFrame:
     """A tree (or every tree of a forest) as rows
-    ``(tree, node, depth, feature, threshold, left, right, prediction,
-    impurity, gain, n)``.
+    ``(tree, node, depth, feature, threshold, left_categories, left, right,
+    prediction, impurity, gain, n)``.  A split on a number sends values up to
+    ``threshold`` to the left, one on a category those of
+    ``left_categories`` (category indices; the other of the two is NULL).
 
     The model is written with Spark ML's own writer below the shared
     checkpoint folder and its node table read back, so no text is parsed.
@@ -220,14 +208,13 @@ def tree_nodes(model, spark) -> DataFrame:
         F.when(inner, split["featureIndex"]).alias("feature"),
         F.when(inner & (split["numCategories"] < 0),
                split["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner & (split["numCategories"] >= 0),
+               split["leftCategoriesOrThreshold"]).alias("left_categories"),
         F.when(inner, F.col("leftChild")).alias("left"),
         F.when(inner, F.col("rightChild")).alias("right"),
         "prediction", impurity.alias("impurity"), F.when(inner, F.col("gain")).alias("gain"),
         F.col("rawCount").alias("n"))
-    limit = sum(2 ** (t.depth + 1) - 1 for t in getattr(model, "trees", [model]))
-    rows = flat.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("node table larger than the model's depth allows")
+    rows = flat.collect()                       # the model itself lives on the driver
     kids = {(r["tree"], r["node"]): (r["left"], r["right"]) for r in rows}
     depth, todo = {}, [(t, 0, 0) for t in {r["tree"] for r in rows}]
     while todo:
@@ -236,10 +223,11 @@ def tree_nodes(model, spark) -> DataFrame:
         for c in kids.get((t, nd), (None, None)):
             if c is not None:
                 todo.append((t, c, dp + 1))
-    schema = ("tree int, node int, depth int, feature int, threshold double, left int, "
+    schema = ("tree int, node int, depth int, feature int, threshold double, "
+              "left_categories array<double>, left int, "
               "right int, prediction double, impurity double, gain double, n long")
     out = [(r["tree"], r["node"], depth.get((r["tree"], r["node"])), r["feature"],
-            r["threshold"], r["left"], r["right"], r["prediction"], r["impurity"],
+            r["threshold"], r["left_categories"], r["left"], r["right"], r["prediction"], r["impurity"],
             r["gain"], r["n"]) for r in rows]
     return spark.createDataFrame(out, schema)
 
@@ -280,9 +268,3 @@ def training_summary(model, spark) -> DataFrame:
         if hasattr(type(sm), n):
             rows.append((n, float(getattr(sm, n))))
     return spark.createDataFrame(rows, "metric string, value double")
-
-
-def model_depth(model) -> int:
-    if hasattr(model, "trees"):
-        return max(t.depth for t in model.trees)
-    return model.depth

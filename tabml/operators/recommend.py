@@ -146,6 +146,7 @@ def score_block(U: np.ndarray, I: np.ndarray, item_ids: np.ndarray, k: int,
         best_i = np.zeros((Uc.shape[0], 0), dtype=np.int64)
         for i0 in range(0, n_i, item_chunk):
             S = Uc @ I[i0:i0 + item_chunk].T
+            S = np.where(np.isnan(S), -np.inf, S)         # a NaN score ranks last
             rows, cols = _top_k_cells(S, k)
             c = min(k, S.shape[1])
             cols = cols.reshape(S.shape[0], c)
@@ -155,6 +156,12 @@ def score_block(U: np.ndarray, I: np.ndarray, item_ids: np.ndarray, k: int,
     return out_s, out_i
 
 
+def usable_vectors(df: DataFrame, vec: str = "v") -> DataFrame:
+    """Rows with a vector that has no NULL in it.  The others cannot be scored:
+    count them with ``df.exceptAll(usable_vectors(df, vec))``."""
+    return df.filter(F.col(vec).isNotNull() & ~F.exists(vec, lambda x: x.isNull()))
+
+
 def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
                        user_id: str = "id", user_vec: str = "features",
                        item_id: str = "id", item_vec: str = "features",
@@ -169,11 +176,13 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
     data size); every (user block, item block) pair meets once in a
     cogroup, where numpy scores it chunk by chunk and only each user's top k
     leaves the task.  A final per-user top k merges ``item_blocks * k``
-    candidates.  No user x item pair is ever materialised as a row."""
+    candidates.  No user x item pair is ever materialised as a row.  Rows
+    without a usable vector are left out; a NaN score ranks last."""
     u = users.select(F.col(user_id).cast("bigint").alias("uid"),
                      F.col(user_vec).cast("array<double>").alias("v"))
     i = items.select(F.col(item_id).cast("bigint").alias("iid"),
                      F.col(item_vec).cast("array<double>").alias("v"))
+    u, i = usable_vectors(u), usable_vectors(i)
     if user_blocks is None or item_blocks is None:
         n_u = u.agg(F.count(F.lit(1))).head()[0]
         n_i = i.agg(F.count(F.lit(1))).head()[0]

@@ -10,21 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .prep import numeric_columns
 
-# Above this many columns the n(n+1)/2 aggregate buffers of one Aggregate
-# node get wide; Spark ML's Correlation (a treeAggregate of the Gram matrix)
-# is the better plan there.
-WIDE_CORR = 40
-
 
 def corr_expr(a: str, b: str) -> Column:
-    """Pearson correlation that is NULL (not an error) on a constant
+    """Pearson correlation over the rows where both values are present
+    (each side is masked by the other), NULL and not an error on a constant
     column: cov_pop / (sd_pop(a) * sd_pop(b)) with a guarded divide."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    a_, b_ = F.col(a).cast("double"), F.col(b).cast("double")
+    if a == b:
+        x = y = a_
+    else:
+        x, y = F.when(b_.isNotNull(), a_), F.when(a_.isNotNull(), b_)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -34,47 +36,55 @@ def _unpivot_one_row(row_df: DataFrame, structs: list[Column]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None,
                 ordered_pairs: bool = True) -> DataFrame:
-    """C4: all-pairs correlation in long form ``(col_a, col_b, corr)``.
-
-    One aggregate computes each unordered pair once (a <= b); the mirror
-    pairs are emitted from the same value, so the result has n^2 rows (both
-    orders and the diagonal) when ``ordered_pairs`` is set.  Each pair uses
-    the rows where both values are present (pairwise-complete).  Past
-    ``WIDE_CORR`` columns Spark ML's ``Correlation`` is used instead, which
-    needs complete rows: there a row with a NULL in any column is skipped.
+    """C4: all-pairs correlation in long form ``(col_a, col_b, corr)``: n^2
+    rows (both orders and the diagonal), or one per pair without
+    ``ordered_pairs``.  Each pair uses the rows where both values are present,
+    at any number of columns; a pair with a constant side is NULL.
+
+    One pass gives the column means (shifts that keep the sums accurate), a
+    second the masked Gram matrices of every Arrow batch: counts, sums, squares
+    and products of all pairs are four matrix products.  A task emits one row
+    per pair, which Spark adds up, so nothing grows with the rows, and the plan
+    does not grow with the columns.
     """
     cols = list(cols or numeric_columns(df))
-    if len(cols) > WIDE_CORR:
-        return _corr_matrix_ml(df, cols, ordered_pairs)
-    aggs, names = [], {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            n = f"_c{i}_{j}"
-            names[(i, j)] = n
-            aggs.append(corr_expr(a, b).alias(n))
-    row = df.agg(*aggs)
-    structs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if not ordered_pairs and j < i:
-                continue
-            n = names[(min(i, j), max(i, j))]
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                    F.col(n).alias("corr")))
-    return _unpivot_one_row(row, structs)
-
-
-def _corr_matrix_ml(df: DataFrame, cols: list[str], ordered_pairs: bool) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double") for c in cols]))
-    m = Correlation.corr(vec, "_v").head()[0].toArray()  # n x n, bounded by column count
-    rows = [(a, b, None if m[i][j] != m[i][j] else float(m[i][j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if ordered_pairs or j >= i]
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    shift = [v or 0.0 for v in x.agg(*[F.avg(f"_{i}") for i in range(len(cols))]).first()]
+
+    def gram(batches):
+        m = len(cols)
+        total = np.zeros((6, m, m))
+        for batch in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1) - shift
+            for lo in range(0, len(v), 65536):
+                part = v[lo:lo + 65536]
+                here = ~np.isnan(part)
+                w, y = here.astype(np.float64), np.where(here, part, 0.0)
+                sx, sxx = y.T @ w, (y * y).T @ w
+                total += np.stack([w.T @ w, sx, sx.T, sxx, sxx.T, y.T @ y])
+        i, j = np.triu_indices(m)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]],
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    sums = x.mapInArrow(gram, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double") \
+        .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    names = F.array(*[F.lit(c) for c in cols])
+    means = F.array(*[F.lit(float(v)) for v in shift])
+
+    def spread(total, square, index):
+        """Population variance; 0 within rounding of a constant's square."""
+        var = square / F.col("n") - F.pow(total / F.col("n"), F.lit(2))
+        return F.when(var > F.lit(1e-18) * F.pow(F.get(means, F.col(index)), F.lit(2)), var)
+
+    corr = F.when(F.col("n") > 0, F.try_divide(
+        F.col("sxy") / F.col("n") - F.col("sx") * F.col("sy") / F.pow("n", F.lit(2)),
+        F.sqrt(spread(F.col("sx"), F.col("sxx"), "i") * spread(F.col("sy"), F.col("syy"), "j"))))
+    out = sums.select("i", "j", corr.alias("corr"))
+    if ordered_pairs:
+        both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(
+            F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+        out = out.select(F.inline(both), "corr")
+    return out.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), "corr")
 
 
 def summarize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -96,19 +106,16 @@ def summarize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def pivot_sum(df: DataFrame, row: str, col: str, value: str,
-              values: Sequence | None = None, max_values: int = 10000) -> DataFrame:
+              values: Sequence | None = None) -> DataFrame:
     """``row x col`` table of ``sum(value)``.
 
-    Passing ``values`` saves the distinct job Spark otherwise runs to learn
-    the pivot columns; without them the distinct values are fetched once and
-    their number is checked against ``max_values`` (each becomes a column).
+    Without ``values`` every value of ``col`` becomes a column, NULL among
+    them (named ``null``); Spark learns them in a job of its own and refuses
+    more than ``spark.sql.pivotMaxValues``.  Passing ``values`` saves that job
+    and keeps just those columns.
     """
-    if values is None:
-        vals = [r[0] for r in df.select(col).distinct().limit(max_values + 1).collect()]
-        if len(vals) > max_values:
-            raise ValueError(f"{col} has more than {max_values} values; not a pivot")
-        values = sorted(v for v in vals if v is not None)
-    return df.groupBy(row).pivot(col, list(values)).agg(F.sum(value))
+    pivoted = df.groupBy(row).pivot(col) if values is None else df.groupBy(row).pivot(col, list(values))
+    return pivoted.agg(F.sum(value))
 
 
 def count_by(df: DataFrame, *cols: str, name: str = "n") -> DataFrame:

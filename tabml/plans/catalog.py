@@ -55,7 +55,9 @@ LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEEP_NATIONS = ["NATION_0", "NATION_1", "NATION_2", "NATION_3"]
 GROUPED_NATIONS = ["NATION_5", "NATION_6", "NATION_7", "NATION_8",
                    "NATION_9", "NATION_10", "NATION_11", "NATION_12"]
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+# The test tables are files of one row group, read by one task: multi-pass
+# jobs are asked to deal them to this many partitions.
+SPREAD = 8
 
 
 # --------------------------------------------------------------- flagship
@@ -68,7 +70,7 @@ def regression_holdout(spark: SparkSession, d: str) -> DataFrame:
     cat, num = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax", "unit_price"]
     stages = fe.feature_stages(cat, num, handle_invalid="keep")
     data = sp.with_split(li, "l_orderkey", [0.8, 0.2])
-    with mo.prepared(data, ["part", "label", *cat, *num]) as base:
+    with mo.prepared(data, ["part", "label", *cat, *num], SPREAD) as base:
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
@@ -244,13 +246,13 @@ def summarize(spark, d):
     return s.select("column", "count", *[_r(c).alias(c) for c in ("mean", "stddev", "min", "max")])
 
 
-@query("pivot_sum", "SELECT user_id, " + ", ".join(
-    f"round(sum(value) FILTER (WHERE event_type = '{v}'), {R}) AS {v}" for v in EVENT_TYPES)
-    + " FROM events GROUP BY user_id")
+@query("pivot_sum", f"""
+PIVOT (SELECT user_id, event_type, value FROM events) ON event_type
+USING round(sum(value), {R}) GROUP BY user_id
+""")
 def pivot_sum(spark, d):
-    ev = table(spark, d, "events")
-    p = st.pivot_sum(ev, "user_id", "event_type", "value", values=EVENT_TYPES)
-    return p.select("user_id", *[_r(v).alias(v) for v in EVENT_TYPES])
+    p = st.pivot_sum(table(spark, d, "events"), "user_id", "event_type", "value")
+    return p.select("user_id", *[_r(c).alias(c) for c in p.columns if c != "user_id"])
 
 
 @query("count_by_pair", """
@@ -407,7 +409,7 @@ def _tree_data(spark, d):
 def forest_accuracy(spark, d):
     acc, _ = jobs.compare_trees(_tree_data(spark, d), "label",
                                 ["l_discount", "l_tax", "l_extendedprice"], "brand_group",
-                                key="l_orderkey")
+                                key="l_orderkey", partitions=SPREAD)
     return acc
 
 
@@ -569,7 +571,7 @@ def tune_leaderboard(spark, d):
         "net", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
     _, board = jobs.tuned_regression(li, "net", ["l_extendedprice", "l_discount", "l_tax"],
                                      ["l_returnflag", "l_linestatus"], key="l_orderkey",
-                                     report=False)
+                                     report=False, partitions=SPREAD)
     return board
 
 
@@ -656,7 +658,7 @@ def job_screen_fields(spark, d):
 @query("job_in_sample_regression")
 def job_in_sample_regression(spark, d):
     return jobs.in_sample_regression(table(spark, d, "lineitem"), "l_extendedprice",
-                                     ["l_quantity", "l_discount", "l_tax"], ["l_linestatus"])
+                                     ["l_quantity", "l_discount", "l_tax"], ["l_linestatus"], SPREAD)
 
 
 @query("job_tuned_regression")
@@ -668,7 +670,7 @@ def job_tuned_regression(spark, d):
     j = prep.fill_zero(j, ["price_ratio"])
     metrics, _ = jobs.tuned_regression(j, "l_extendedprice", ["l_quantity", "price_ratio"],
                                        ["l_returnflag", "l_linestatus", "p_brand"],
-                                       key="l_orderkey")
+                                       key="l_orderkey", partitions=SPREAD)
     return metrics
 
 
@@ -685,19 +687,12 @@ def _subscribers(spark, d):
     return j
 
 
-_CLASSIFIER_RUNS: dict = {}
-
-
 def _classifier_reports(spark, d):
-    """The tuned classifier job's three bounded reports (accuracy, class
-    rates, confusion), run once per session and data folder: they are small
-    materialised tables, so the three queries below share one search."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _CLASSIFIER_RUNS:
-        _CLASSIFIER_RUNS[key] = jobs.tuned_classifier(
-            _subscribers(spark, d), "label", ["acctbal"], ["o_orderpriority", "c_mktsegment"],
-            key="o_orderkey")
-    return _CLASSIFIER_RUNS[key]
+    """The tuned classifier job's three reports: accuracy, class rates,
+    confusion."""
+    return jobs.tuned_classifier(
+        _subscribers(spark, d), "label", ["acctbal"], ["o_orderpriority", "c_mktsegment"],
+        key="o_orderkey", partitions=SPREAD)
 
 
 @query("job_tuned_classifier")
@@ -719,13 +714,13 @@ def job_classifier_confusion(spark, d):
 def job_compare_trees(spark, d):
     _, tree = jobs.compare_trees(_tree_data(spark, d), "label",
                                  ["l_discount", "l_tax", "l_extendedprice"], "brand_group",
-                                 key="l_orderkey")
+                                 key="l_orderkey", partitions=SPREAD)
     return mo.tree_nodes(tree, spark)
 
 
 @query("job_segment")
 def job_segment(spark, d):
-    _, quality, _ = jobs.segment(_embeddings(spark, d), "features", k=3, seed=1)
+    _, quality, _ = jobs.segment(_embeddings(spark, d), "features", k=3, seed=1, partitions=SPREAD)
     return quality
 
 
@@ -822,3 +817,242 @@ def centers_by_label(spark, d):
     c = me.cluster_means(table(spark, d, "embeddings"), "embedding", "label")
     return c.select("cluster", F.posexplode("center").alias("dim", "value")).select(
         "cluster", "dim", _r("value").alias("value"))
+
+
+# ------------------------------------------- the same statistics on NULLs
+# NULLs made by rule on both sides: discount 0 and the highest tax are absent.
+_NULLS = ("SELECT l_orderkey, l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, "
+          "CASE WHEN l_tax < 0.08 THEN l_tax END AS l_tax FROM lineitem")
+
+
+def _with_nulls(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_quantity", "l_extendedprice",
+                     F.nullif(F.col("l_discount"), F.lit(0)).alias("l_discount"),
+                     F.when(F.col("l_tax") < 0.08, F.col("l_tax")).alias("l_tax"))
+
+
+@query("corr_matrix_nulls", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), {R}) AS corr FROM ({_NULLS})"
+    for a in LINE_NUMERIC for b in LINE_NUMERIC))
+def corr_matrix_nulls(spark, d):
+    m = st.corr_matrix(_with_nulls(spark, d), LINE_NUMERIC)
+    return m.select("col_a", "col_b", _r("corr").alias("corr"))
+
+
+WIDE = 45
+
+
+@query("corr_matrix_wide", f"""
+WITH t AS ({_NULLS})
+SELECT 'c' || i AS col_a, 'l_discount' AS col_b,
+       round(corr(CASE WHEN l_orderkey % 47 <> i THEN l_quantity * (i + 1) + l_extendedprice / 1000 END, l_discount), {R}) AS corr
+FROM t, (SELECT unnest(range({WIDE})) AS i) GROUP BY i
+""")
+def corr_matrix_wide(spark, d):
+    """45 more columns with NULLs of their own: no pair changes with the
+    number of columns."""
+    t = _with_nulls(spark, d)
+    t = t.select("l_discount", *[F.when(F.col("l_orderkey") % 47 != i, F.col("l_quantity") * (i + 1) + F.col("l_extendedprice") / 1000)
+                                 .alias(f"c{i}") for i in range(WIDE)])
+    m = st.corr_matrix(t).filter("col_b = 'l_discount' AND col_a <> 'l_discount'")
+    return m.select("col_a", "col_b", _r("corr").alias("corr"))
+
+
+@query("regression_metrics_nulls", f"""
+WITH t AS (SELECT l_extendedprice AS y, l_quantity * 1500.0 + 0 * l_discount AS p FROM ({_NULLS})),
+     c AS (SELECT * FROM t WHERE y IS NOT NULL AND p IS NOT NULL)
+SELECT count(*) AS n, round(1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), {R}) AS r2,
+       round(sqrt(avg((y - p) * (y - p))), {R}) AS rmse, round(avg((y - p) * (y - p)), {R}) AS mse,
+       round(avg(abs(y - p)), {R}) AS mae, (SELECT count(*) FROM t) - count(*) AS incomplete
+FROM c
+""")
+def regression_metrics_nulls(spark, d):
+    t = _with_nulls(spark, d).select(F.col("l_extendedprice").alias("label"),
+                                     (F.col("l_quantity") * 1500.0 + F.col("l_discount") * 0).alias("prediction"))
+    return me.regression_metrics(t).select("n", *[_r(c).alias(c) for c in ("r2", "rmse", "mse", "mae")]) \
+        .crossJoin(me.incomplete_pairs(t))          # one row each
+
+
+_LABEL_NULLS = ("SELECT CAST(nullif(quality, 0) AS DOUBLE) AS l, "
+                "CAST(CASE WHEN doc_id % 3 > 0 THEN nullif(toxic, 0) END AS DOUBLE) AS p FROM labels")
+
+
+def _labels_with_nulls(spark, d):
+    return table(spark, d, "labels").select(
+        F.nullif(F.col("quality"), F.lit(0)).alias("quality"),
+        F.when(F.col("doc_id") % 3 > 0, F.nullif(F.col("toxic"), F.lit(0))).alias("toxic"))
+
+
+@query("accuracy_nulls", f"""
+SELECT count(*) AS n, round(avg(CASE WHEN l IS NOT DISTINCT FROM p THEN 1.0 ELSE 0.0 END), {R}) AS accuracy
+FROM ({_LABEL_NULLS})
+""")
+def accuracy_nulls(spark, d):
+    return me.accuracy(_labels_with_nulls(spark, d), "quality", "toxic").select("n", _r("accuracy").alias("accuracy"))
+
+
+@query("class_rates_nulls", f"""
+WITH c AS ({_LABEL_NULLS}), k AS (SELECT l AS class FROM c UNION SELECT p FROM c),
+     s AS (SELECT class,
+                  count(*) FILTER (WHERE l IS NOT DISTINCT FROM class AND p IS NOT DISTINCT FROM class) AS tp,
+                  count(*) FILTER (WHERE l IS NOT DISTINCT FROM class) AS a,
+                  count(*) FILTER (WHERE p IS NOT DISTINCT FROM class) AS pr,
+                  count(*) AS t, count(*) FILTER (WHERE l IS NOT DISTINCT FROM p) AS ok
+           FROM k, c GROUP BY class)
+SELECT class, tp, a - tp AS fn, pr - tp AS fp, t - a - pr + tp AS tn,
+       round(tp / a, {R}) AS tpr, round((pr - tp) / (t - a), {R}) AS fpr, round(tp / pr, {R}) AS precision,
+       round((t - a - pr + tp) / (t - a), {R}) AS specificity, round(ok / t, {R}) AS accuracy
+FROM s
+""")
+def class_rates_nulls(spark, d):
+    r = me.class_rates(_labels_with_nulls(spark, d), "quality", "toxic")
+    rates = ("tpr", "fpr", "precision", "specificity", "accuracy")
+    return r.select("class", "tp", "fn", "fp", "tn", *[_r(c).alias(c) for c in rates])
+
+
+@query("hash_split_null_key", """
+SELECT CASE WHEN ('0x' || substr(md5(coalesce(nullif(o_orderpriority, '5-LOW'), chr(30) || 'NULL')), 1, 8))::BIGINT % 10000 < 8000
+            THEN 'train' ELSE 'test' END AS part, count(*) AS n
+FROM orders GROUP BY 1
+""")
+def hash_split_null_key(spark, d):
+    """S3 on a key with NULLs: the parts hold every row."""
+    o = table(spark, d, "orders").select(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("key"))
+    return sp.with_split(o, "key", [0.8, 0.2]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("random_split_report", """
+SELECT (SELECT count(*) FROM orders) AS total, CAST(0 AS BIGINT) AS shared, CAST(0 AS BIGINT) AS missing
+""")
+def random_split_report(spark, d):
+    """The parts of a random split share no row and miss none."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    a, b = (x.withColumn("n", F.lit(1)) for x in sp.random_split(o, [0.8, 0.2], seed=42))
+    per = o.withColumn("n", F.lit(0)).unionByName(a).unionByName(b).groupBy("o_orderkey").agg(F.sum("n").alias("n"))
+    return per.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("n") > 1).alias("shared"),
+                   F.count_if(F.col("n") < 1).alias("missing"))
+
+
+# ------------------------------------------------ closed forms of the fits
+_ENET = [(lam, a) for lam in (0.3, 2000.0, 20000.0) for a in (0.0, 0.5, 0.8, 1.0)]
+
+
+@query("linear_enet_closed_form", f"""
+WITH s AS (SELECT stddev_pop(l_quantity) AS sx, stddev_pop(l_extendedprice) AS sy, corr(l_quantity, l_extendedprice) AS r,
+                  avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem),
+     g AS (SELECT * FROM (VALUES {", ".join(f"({lam}, {a})" for lam, a in _ENET)}) v(lam, a)),
+     b AS (SELECT lam, a, sign(r) * greatest(abs(r) - lam / sy * a, 0) / (1 + lam / sy * (1 - a)) * sy / sx AS b, mx, my FROM s, g)
+SELECT CAST(lam AS DOUBLE) AS lam, CAST(a AS DOUBLE) AS alpha, round(b, 3) AS slope, round(my - b * mx, 2) AS intercept FROM b
+""")
+def linear_enet_closed_form(spark, d):
+    """Elastic net on one feature over several penalties."""
+    li = table(spark, d, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    rows = []
+    for lam, a in _ENET:
+        m = mo.fit_linear(data, reg=lam, enet=a, tol=1e-12, max_iter=500)
+        rows.append((lam, a, float(m.coefficients[0]), float(m.intercept)))
+    out = spark.createDataFrame(rows, "lam double, alpha double, slope double, intercept double")
+    return out.select("lam", "alpha", _r("slope", 3).alias("slope"), _r("intercept", 2).alias("intercept"))
+
+
+@query("forest_stump", ORACLE_SQL["tree_stump"])
+def forest_stump(spark, d):
+    """trees on one 0/1 feature all split there, so they vote as one."""
+    data = _stump_data(spark, d)
+    return st.count_by(mo.fit_forest(data, max_depth=1).transform(data), "prediction")
+
+
+@query("tree_regressor_stump", f"""
+SELECT CAST(CASE WHEN l_quantity >= 20 THEN 1 ELSE 0 END AS DOUBLE) AS x, round(avg(l_extendedprice), {R}) AS prediction,
+       count(*) AS n
+FROM lineitem GROUP BY 1
+""")
+def tree_regressor_stump(spark, d):
+    """a depth-1 regression tree on a 0/1 feature gives the two means."""
+    li = prep.threshold_label(table(spark, d, "lineitem"), "x", "l_quantity", 20)
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        li.select(F.col("x").cast("double").alias("x"), F.col("l_extendedprice").alias("label")))
+    t = mo.fit_tree_regressor(data, max_depth=1).transform(data)
+    return t.groupBy("x", _r("prediction").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("kmeans_two_points", """
+SELECT CASE WHEN l_quantity >= 20 THEN 10.0 ELSE -10.0 END::DOUBLE AS center, count(*) AS n, CAST(0 AS DOUBLE) AS sse
+FROM lineitem GROUP BY 1
+""")
+def kmeans_two_points(spark, d):
+    """F8 / H9: two distinct points are the two centres, at no cost."""
+    li = table(spark, d, "lineitem").select(F.when(F.col("l_quantity") >= 20, 10.0).otherwise(-10.0).alias("x"))
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(li)
+    model = mo.fit_kmeans(data, k=2, seed=1)
+    s = me.sse(model.transform(data), "features", "prediction")
+    c = mo.centers(model, spark).select("cluster", F.col("value").alias("center"))
+    return s.join(c, "cluster").select(_r("center").alias("center"), "n", _r("sse").alias("sse"))
+
+
+@query("tree_rules_categorical", """
+SELECT 0 AS node, [0.0, 2.0]::DOUBLE[] AS left_categories, count(*) AS n FROM lineitem
+UNION ALL SELECT 1, NULL, count(*) FROM lineitem WHERE l_orderkey % 4 IN (0, 2)
+UNION ALL SELECT 2, NULL, count(*) FROM lineitem WHERE l_orderkey % 4 IN (1, 3)
+""")
+def tree_rules_categorical(spark, d):
+    """A category decides the label; its split names the left set."""
+    from pyspark.ml.feature import VectorIndexer
+    li = table(spark, d, "lineitem").select((F.col("l_orderkey") % 4).cast("double").alias("c"))
+    data = VectorAssembler(inputCols=["c"], outputCol="raw").transform(li) \
+        .withColumn("label", (F.col("c").isin(1.0, 3.0)).cast("double"))
+    data = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=4).fit(data).transform(data)
+    nodes = mo.tree_nodes(mo.fit_tree(data, max_depth=2), spark)
+    return nodes.select("node", F.array_sort("left_categories").alias("left_categories"), "n")
+
+
+@query("als_shape", """
+WITH r AS (SELECT DISTINCT o_custkey AS u FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT count(*) AS users, CAST(5 AS BIGINT) AS least, CAST(5 AS BIGINT) AS most, CAST(0 AS BIGINT) AS odd FROM r
+""")
+def als_shape(spark, d):
+    """I2 on ALS: five distinct items of ranks 1 to 5 for each user."""
+    per = als_top_k(spark, d).groupBy("user").agg(
+        F.count_distinct("item").alias("n"), F.sort_array(F.collect_list("rank")).alias("ranks"))
+    return per.agg(F.count(F.lit(1)).alias("users"), F.min("n").alias("least"), F.max("n").alias("most"),
+                   F.count_if(F.col("ranks").cast("array<int>") != F.array(*[F.lit(i) for i in range(1, 6)])).alias("odd"))
+
+
+@query("recs_history_side", f"""
+SELECT o_custkey AS "user", l_partkey AS item, round(avg(l_quantity) / 50.0 * 100, {R}) AS score
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+""")
+def recs_history_side(spark, d):
+    """The history rows beside the recommendations."""
+    out = jobs.recommend_courses(_ratings(spark, d), "user", "item", "rating", k=5)
+    return out.filter("source = 'history'").select("user", "item", _r("score").alias("score"))
+
+
+@query("csv_parts", "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_parts(spark, d):
+    """A1 / A2: a table written as several CSV files below the shared folder
+    and read back by a glob with a schema."""
+    from ..session import scratch_path
+    from ..sources import read_csv
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    path = scratch_path(spark, "csv")
+    c.repartition(4, "c_custkey").write.option("header", True).csv(path)
+    return read_csv(spark, f"{path}/part-*.csv", schema=c.schema)
+
+
+@query("bad_lines", """
+SELECT CASE event_id % 5 WHEN 1 THEN 'no separator' WHEN 2 THEN 'bad level' ELSE 'bad date' END AS reason, count(*) AS n
+FROM events WHERE event_id % 5 IN (1, 2, 3) GROUP BY 1
+""")
+def bad_lines(spark, d):
+    """L1: lines spoilt by rule, and the reasons they are refused for."""
+    ensure_utc(spark)
+    lines = ls.render_lines(table(spark, d, "events"), "event_type", "ts", keep=("event_id",))
+    k = F.col("event_id") % 5
+    lines = lines.withColumn("line", F.when(k == 1, F.regexp_replace("line", ",", " "))
+                             .when(k == 2, F.concat(F.lit("9"), "line"))
+                             .when(k == 3, F.regexp_replace("line", ",[A-Z][a-z]{2} ", ",XYZ ")).otherwise(F.col("line")))
+    _, bad = ls.parse_lines(lines)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

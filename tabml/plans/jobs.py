@@ -29,12 +29,12 @@ def screen_fields(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
 
 
 def in_sample_regression(df: DataFrame, label: str, numeric: Sequence[str],
-                         categorical: Sequence[str]) -> DataFrame:
+                         categorical: Sequence[str], partitions: int | None = None) -> DataFrame:
     """OLS with one-hot categories, scored on its own training rows:
     ``(kind, name, value)`` = coefficients, intercept, R^2, RMSE."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     stages = fe.feature_stages(categorical, numeric, handle_invalid="error")
-    with mo.prepared(t, ["label", *numeric, *categorical]) as base:
+    with mo.prepared(t, ["label", *numeric, *categorical], partitions) as base:
         data = Pipeline(stages=stages).fit(base).transform(base).select("label", "features")
         model = mo.fit_linear(data, solver="normal")
         coefs = mo.coefficients(model, data).select(
@@ -64,9 +64,9 @@ def _search_stages(est, grid, metric, train_ratio, seed, parallelism, categorica
 
 def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.2,
-                     train_ratio: float = 0.8, seed: int = 42, parallelism: int = 9,
+                     train_ratio: float = 0.8, seed: int = 42, parallelism: int = 4,
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID, report: bool = True,
-                     whole_pipeline: bool = False):
+                     whole_pipeline: bool = False, partitions: int | None = None):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
     train/validation search, checked on a key-hash holdout.  Returns
     ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``:
@@ -79,7 +79,7 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                             categorical, numeric, whole_pipeline)
     spark = df.sparkSession
     data = sp.with_split(t, key, [1 - holdout, holdout])
-    with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
+    with mo.prepared(data, ["part", "label", *numeric, *categorical], partitions) as base:
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
@@ -96,17 +96,16 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
             .unionByName(spark.createDataFrame(
                 [("best", "regParam", float(best.getRegParam())),
                  ("best", "elasticNetParam", float(best.getElasticNetParam()))],
-                "dataset string, metric string, value double"))
-            .unionByName(coefs))
-    return metrics, tu.leaderboard(spark, pm)
+                "dataset string, metric string, value double")))
+    return metrics.unionByName(coefs), tu.leaderboard(spark, pm)      # rows of the model's own state
 
 
 def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
                      categorical: Sequence[str], key: str, holdout: float = 0.1,
-                     train_ratio: float = 0.9, seed: int = 42, parallelism: int = 9,
+                     train_ratio: float = 0.9, seed: int = 42, parallelism: int = 4,
                      metric: str = "areaUnderROC",
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID,
-                     whole_pipeline: bool = False):
+                     whole_pipeline: bool = False, partitions: int | None = None):
     """Binary logistic regression tuned on the grid (by area under ROC, not
     the reference's regression R^2), checked on a key-hash holdout.
     Returns ``(metrics, class_rates, confusion)``."""
@@ -115,7 +114,7 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
     stages = _search_stages(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism,
                             categorical, numeric, whole_pipeline)
     data = sp.with_split(t, key, [1 - holdout, holdout])
-    with mo.prepared(data, ["part", "label", *numeric, *categorical]) as base:
+    with mo.prepared(data, ["part", "label", *numeric, *categorical], partitions) as base:
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
@@ -129,7 +128,7 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
 
 def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: str,
                   key: str, holdout: float = 0.2, seed: int = 42, max_depth: int = 3,
-                  num_trees: int = 20):
+                  num_trees: int = 20, partitions: int | None = None):
     """Decision tree vs random forest on the same key-hash split.  Returns
     ``(accuracy (model, n, accuracy), fitted tree)``; the tree's rules as
     rows come from :func:`tabml.operators.models.tree_nodes`.
@@ -138,7 +137,7 @@ def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: s
     it, the assembled ``(label, features, part)`` table is pinned in its
     place, and both fits and both evaluations read that."""
     t = prep.rename(df, {label: "label"}) if label != "label" else df
-    raw = mo.pin(t, [key, "label", category, *numeric])     # the input is scanned once
+    raw = mo.pin(t, [key, "label", category, *numeric], partitions)     # the input is scanned once
     try:
         idx = fe.indexer([category], [f"{category}_idx"], handle_invalid="keep").fit(raw)
         asm = VectorAssembler(inputCols=[f"{category}_idx"] + list(numeric), outputCol="features")
@@ -160,24 +159,20 @@ def compare_trees(df: DataFrame, label: str, numeric: Sequence[str], category: s
     return acc, tree
 
 
-def segment(df: DataFrame, features: str, k: int = 3, seed: int = 1):
+def segment(df: DataFrame, features: str, k: int = 3, seed: int = 1, partitions: int | None = None):
     """k-means segmentation: ``(sizes (cluster, n), quality (metric,
     value) = SSE and silhouette, centres (cluster, dim, value))``.  The
     input is pinned for the fit and the three scoring passes."""
-    with mo.prepared(df, [features]) as data:
+    with mo.prepared(df, [features], partitions) as data:
         model = mo.fit_kmeans(data, k=k, features=features, seed=seed)
         scored = model.transform(data).withColumnRenamed("prediction", "cluster")
         sizes = mo.small(st.count_by(scored, "cluster"))
         cent = mo.centers(model, df.sparkSession)
-        c_arr = (cent.groupBy("cluster")
-                 .agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_s"))
-                 .select("cluster", F.col("_s.value").alias("center")))
-        sse = me.sse(scored, features, "cluster", c_arr)
         sil = me.silhouette(scored, features, "cluster")
         quality = mo.small(
-            sse.agg(F.sum("sse").alias("value")).select(F.lit("sse").alias("metric"), "value")
-            .unionByName(sil.select(F.lit("silhouette").alias("metric"),
-                                    F.col("silhouette").alias("value"))))
+            sil.select(F.lit("silhouette").alias("metric"), F.col("silhouette").alias("value"))) \
+            .unionByName(df.sparkSession.createDataFrame(     # the fit's own sum
+                [("sse", float(model.summary.trainingCost))], "metric string, value double"))
     return sizes, quality, cent
 
 
@@ -190,8 +185,13 @@ def recommend_courses(ratings: DataFrame, user: str, item: str, rating: str,
     # once to the shared checkpoint folder and cut the lineage there
     ensure_checkpoint_dir(ratings.sparkSession)
     r = prep.scale(ratings.select(user, item, rating), rating, scale).checkpoint(eager=True)
-    if not rc.fits_int(r, user, item):
-        raise ValueError("ids exceed 32 bits; map them with recommend.id_map first")
-    model = rc.fit_als(r, user, item, rating, seed=seed)
-    recs = rc.top_k(model, k)
+    if rc.fits_int(r, user, item):
+        recs = rc.top_k(rc.fit_als(r, user, item, rating, seed=seed), k)
+    else:                                         # wide ids: fit on dense ones, map back
+        users, items = rc.id_map(r, user, "_u"), rc.id_map(r, item, "_i")
+        dense = r.join(users, user).join(items, item).select("_u", "_i", rating)
+        top = rc.top_k(rc.fit_als(dense, "_u", "_i", rating, seed=seed), k)
+        recs = (top.join(users, top["user"] == users["_u"]).join(items, top["item"] == items["_i"])
+                .select(F.col(user).alias("_user"), "rank", F.col(item).alias("_item"), "score")
+                .toDF("user", "rank", "item", "score"))
     return rc.with_history(recs, r, user, item, rating)

@@ -3,8 +3,10 @@ amount of session state the library relies on (UTC clock, checkpoint dir)."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,7 +68,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local test run) fall back to a fresh scratch folder."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         d = tempfile.mkdtemp(prefix="tabml-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
@@ -77,14 +82,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     (model node tables and the like).  Never a machine-local folder when the
     cluster names one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tabml/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    return f"{base}/tabml/{name}-{uuid.uuid4().hex}"

@@ -16,6 +16,8 @@ from pyspark.sql.types import TimestampNTZType
 # The log levels of the line producer, most to least severe.
 LEVELS = ("FATAL", "ERROR", "WARN", "INFO", "DEBUG")
 
+# Day names of that layout.
+DAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 # java.util.Date.toString() layout, e.g. "Tue Dec 01 13:03:22 UTC 2026".
 JAVA_DATE = "EEE MMM dd HH:mm:ss zzz yyyy"
 # Spark 4 parses no day-of-week names; the 4 leading characters ("Tue ")
@@ -41,7 +43,8 @@ def _parsed(df: DataFrame, line: str, levels) -> DataFrame:
     txt = F.col(line)
     lvl = F.trim(F.substring_index(txt, ",", 1))
     rest = F.expr(f"substring({line}, instr({line}, ',') + 1)")
-    ts = F.try_to_timestamp(F.substring(F.trim(rest), 5, 64), F.lit(JAVA_DATE_NO_DAY))
+    ts = F.when(F.trim(rest).rlike(f"^({'|'.join(DAYS)}) "),
+                F.try_to_timestamp(F.substring(F.trim(rest), 5, 64), F.lit(JAVA_DATE_NO_DAY)))
     ok_level = lvl.isin(list(levels)) if levels else lvl.rlike("^[A-Za-z]+$")
     reason = (F.when(txt.isNull() | ~F.instr(txt, ",").cast("boolean"), F.lit("no separator"))
               .when(~ok_level, F.lit("bad level"))
