@@ -40,7 +40,7 @@ from .suffix_dedup import with_order
 SHINGLE, THRESHOLD, TARGET, DEPTH = 5, 0.8, 0.999, 3
 #: Sets of a bucket compared by brute force in one task; and of a block when
 #: groups are compared exactly.
-LIMIT, BLOCK = 1024, 512
+LIMIT, BLOCK = 8192, 512
 SKETCH = 64
 _TOKEN = 48                             # bits of a shingle's hash
 _MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
@@ -159,7 +159,9 @@ def forest(adjacent: np.ndarray) -> np.ndarray:
     """Smallest row linked to each row, over any number of links."""
     label = np.arange(len(adjacent))
     while True:
-        low = np.minimum(label, np.where(adjacent, label[None, :], len(label)).min(axis=1))
+        near = np.concatenate([np.where(adjacent[i:i + 256], label, len(label)).min(axis=1)
+                               for i in range(0, len(label), 256)])
+        low = np.minimum(label, near)
         low = low[low]
         if (low == label).all():
             return label
@@ -185,8 +187,11 @@ def _compare_sketches(rows: DataFrame, threshold: float) -> DataFrame:
             for s, m in zip(start[size > 2].tolist(), size[size > 2].tolist()):
                 sk, nn = sketch[s:s + m], n[s:s + m]
                 adjacent = np.empty((m, m), bool)
+                columns = np.ascontiguousarray(sk.T)
                 for lo in range(0, m, 64):
-                    same = (sk[lo:lo + 64, None, :] == sk[None, :, :]).sum(axis=2)
+                    same = np.zeros((len(sk[lo:lo + 64]), m), np.uint8)
+                    for c in range(SKETCH):
+                        same += columns[c, lo:lo + 64, None] == columns[c][None, :]
                     adjacent[lo:lo + 64] = (same >= least) & (np.minimum.outer(nn[lo:lo + 64], nn)
                                                               >= threshold * np.maximum.outer(nn[lo:lo + 64], nn))
                 root = forest(adjacent)
