@@ -2,8 +2,8 @@
 recommendation operators expressed as Spark DataFrame / Spark ML plans.
 
 Every public function takes DataFrames and returns a DataFrame (or a fitted
-Spark ML model).  No Python UDF sits on a hot path: the heavy lifting is left
-to Catalyst, whole-stage codegen and Spark ML's distributed solvers.
+Spark ML model).  The heavy lifting is left to Catalyst, whole-stage codegen,
+Spark ML's solvers and, for matrix sums and factor scores, numpy in Arrow batches.
 """
 
 import sys

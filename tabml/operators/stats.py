@@ -1,9 +1,8 @@
 """Aggregations.
 
 The reference screens fields with one Spark job per column pair (n^2 jobs).
-Here every statistic of a screen is one aggregate: a single scan with
-map-side partial aggregation and a one-row final merge, then a cheap unpivot
-of that one row into long form.
+Here a summary is one aggregate, unpivoted from its one row, and a
+correlation matrix is two passes whatever the number of columns.
 """
 
 from __future__ import annotations
