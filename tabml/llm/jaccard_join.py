@@ -7,7 +7,9 @@ runs over classes.
 *Chosen paths.*  Starting from all sets, a set x goes down a path along each of
 its shingles s for which hash(path, s) < 1 / (threshold |x|), so two sets that
 are similar enough are expected to share at least one step; the paths divide
-the sets by sampled shared shingles.  A bucket of at most ``LIMIT`` sets is
+the sets by sampled shared shingles.  The scan that makes a set also takes
+all its steps, some twenty to a level, so that no set is shuffled for them.  A
+bucket of at most ``LIMIT`` sets is
 compared by brute force, a larger one is split again, and after ``DEPTH``
 splits what is still large is compared block by block.  A pair at the
 threshold meets in one run with a probability of at least 1-e^-(1-e^-(1-1/e))
@@ -45,6 +47,8 @@ SKETCH = 64
 _TOKEN = 48                             # bits of a shingle's hash
 _MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 _K = np.uint64(0x9E3779B97F4A7C15)
+_TOP = 2.0 ** 64 - 2.0 ** 11            # the largest double below 2**64
+_STRIP = 16384
 
 
 def runs_for(target: float, depth: int) -> int:
@@ -64,11 +68,24 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, table, powers, k: int):
     return keys & np.uint64((1 << _TOKEN) - 1), starts
 
 
-def steps(path: np.ndarray, token: np.ndarray, size: np.ndarray, threshold: float):
-    """Which tokens the paths choose, and the paths they lead to."""
-    h = mix(mix(path) + token * _K)
-    chosen = h.astype(np.float64) < 2.0 ** 64 / (threshold * size)
-    return chosen, mix(h[chosen] + _K)
+def chosen_paths(token: np.ndarray, runs: int, depth: int, threshold: float) -> list:
+    """The paths of one non-empty set: ``depth`` levels of (paths, place of the
+    path they lead on from in the level above)."""
+    limit = np.uint64(min(2.0 ** 64 / (threshold * len(token)), _TOP))
+    path, levels = np.arange(1, runs + 1, dtype=np.uint64), []
+    for _ in range(depth):
+        root = mix(path)
+        odd = (root | np.uint64(1))[:, None]
+        at, step = [], []
+        for lo in range(0, len(token), _STRIP):     # long sets in strips
+            strip = token[lo:lo + _STRIP]
+            i, j = np.nonzero(odd * strip < limit)
+            at.append(i)
+            step.append(strip[j])
+        at, step = np.concatenate(at), np.concatenate(step)
+        path = mix(root[at] + step * _K)
+        levels.append((path, at))
+    return levels
 
 
 def sketches(token: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -81,7 +98,12 @@ def sketches(token: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sets(src: DataFrame, runs: int, k: int, threshold: float) -> DataFrame:
-    """uid, fingerprint of the set, size, sketch and first steps of each text."""
+    """uid, fingerprint of the set, size, sketch and paths of each text: of
+    level d the paths ``paths<d>`` and their places ``from<d>`` in the level above."""
+    lists = [f"{c}{d}" for d in range(1, DEPTH + 1) for c in ("paths", "from")]
+    schema = "uid long, low long, high long, n int, sketch binary, " + ", ".join(
+        f"{c} array<{'long' if c.startswith('paths') else 'int'}>" for c in lists)
+
     def run(batches):
         table, powers = word_table(), Powers()
         for whole in batches:
@@ -92,25 +114,22 @@ def _sets(src: DataFrame, runs: int, k: int, threshold: float) -> DataFrame:
                 first = starts[:-1][some]
                 if not len(some):
                     continue
-                owner = np.repeat(np.arange(len(some)), size)
                 low, high = (np.add.reduceat(mix(token + np.uint64(s)), first) for s in (7, 1 << 50))
-                to, at = [], []
-                wide = size[owner].astype(np.float64)
-                for r in range(runs):
-                    chosen, path = steps(np.full(1, r + 1, np.uint64), token, wide, threshold)
-                    to.append(path)
-                    at.append(owner[chosen])
-                to, at = np.concatenate(to), np.concatenate(at)
-                order = np.argsort(at, kind="stable")
-                bounds = np.searchsorted(at[order], np.arange(len(some) + 1)).astype(np.int32)
+                levels = [chosen_paths(token[a:a + m], runs, DEPTH, threshold)
+                          for a, m in zip(first.tolist(), size.tolist())]
+                arrays = []
+                for d in range(DEPTH):
+                    bounds = pa.array(np.cumsum([0] + [len(x[d][0]) for x in levels]).astype(np.int32))
+                    path, at = (np.concatenate([x[d][c] for x in levels]) for c in (0, 1))
+                    arrays += [pa.ListArray.from_arrays(bounds, pa.array(path.view(np.int64))),
+                               pa.ListArray.from_arrays(bounds, pa.array(at.astype(np.int32)))]
                 sk = sketches(token, first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(some)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
-                     pa.array(size.astype(np.int32)), pa.array([x.tobytes() for x in sk], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(to[order].view(np.int64)))],
-                    names=["uid", "low", "high", "n", "sketch", "paths"])
+                     pa.array(size.astype(np.int32)), pa.array([x.tobytes() for x in sk], pa.binary()), *arrays],
+                    names=["uid", "low", "high", "n", "sketch", *lists])
 
-    return src.mapInArrow(run, "uid long, low long, high long, n int, sketch binary, paths array<long>")
+    return src.mapInArrow(run, schema)
 
 
 def _tokens(src: DataFrame, uids: DataFrame, k: int) -> DataFrame:
@@ -127,23 +146,13 @@ def _tokens(src: DataFrame, uids: DataFrame, k: int) -> DataFrame:
     return src.join(uids, "uid", "left_semi").select("uid", "text").mapInArrow(run, "uid long, tokens binary")
 
 
-def _split(rows: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
-    """(path, uid) one step further down, for rows (path, uid)."""
-    def run(batches):
-        for batch in batches:
-            uid, path, out = batch.column(0).to_pylist(), batch.column(1), ([], [])
-            for i, raw in enumerate(batch.column(2).to_pylist()):
-                token = np.frombuffer(raw, np.uint64)
-                for p in path[i].values.to_numpy(zero_copy_only=False).view(np.uint64):
-                    _, to = steps(np.full(1, p), token, np.float64(len(token)), threshold)
-                    out[0].append(to)
-                    out[1].append(np.full(len(to), uid[i]))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0]).view(np.int64)),
-                                                  pa.array(np.concatenate(out[1]).astype(np.int64))], names=["path", "uid"])
-
-    lists = rows.groupBy("uid").agg(F.collect_list("path").alias("paths"))     # a document's own paths
-    return lists.join(tokens, "uid").select("uid", "paths", "tokens").mapInArrow(run, "path long, uid long")
+def _split(rows: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
+    """(path, uid, at) of level ``depth`` that lead on from ``rows`` (uid, at)
+    of the level above."""
+    own = rows.groupBy("uid").agg(F.collect_set("at").alias("above"))          # a document's own paths
+    steps = own.join(sets.select("uid", F.col(f"paths{depth}").alias("p"), F.col(f"from{depth}").alias("f")), "uid")
+    return steps.select("uid", "above", "f", F.posexplode("p").alias("at", "path")) \
+        .filter("array_contains(above, f[at])").select("path", "uid", "at")
 
 
 def _in_blocks(rows: DataFrame, key: str, size: str, block: int) -> DataFrame:
@@ -204,28 +213,23 @@ def _compare_sketches(rows: DataFrame, threshold: float) -> DataFrame:
         .mapInArrow(run, "a long, b long")
 
 
-def candidates(reps: DataFrame, src: DataFrame, k: int, threshold: float) -> DataFrame:
+def candidates(reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links among the classes' sets that the chosen paths find."""
-    rows = reps.select(F.explode("paths").alias("path"), "uid")
-    tokens, found = None, None
+    rows = reps.select("uid", F.posexplode("paths1").alias("at", "path"))
+    found = None
     for depth in range(1, DEPTH + 1):
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
         rows = stored(rows.join(counts, "path"), "paths")
-        small = rows.filter(F.col("c") <= LIMIT)
+        small = rows.filter(F.col("c") <= LIMIT).select(F.col("path").alias("task"), "uid")
+        large = rows.filter(F.col("c") > LIMIT)
         last = depth == DEPTH
         if last:
-            blocks = _in_blocks(rows.filter(F.col("c") > LIMIT), "path", "c", LIMIT).select("task", "uid")
-            small = small.select(F.col("path").alias("task"), "uid").unionByName(blocks)
-        else:
-            small = small.select(F.col("path").alias("task"), "uid")
+            small = small.unionByName(_in_blocks(large, "path", "c", LIMIT).select("task", "uid"))
         links = stored(_compare_sketches(small.join(reps.select("uid", "n", "sketch"), "uid"), threshold).distinct(), "met")
         found = links if found is None else found.unionByName(links)
-        large = rows.filter(F.col("c") > LIMIT).select("path", "uid")
         if last or large.isEmpty():
             return found
-        if tokens is None:
-            tokens = stored(_tokens(src, large.select("uid").distinct(), k), "tokens")
-        rows = _split(large, tokens, threshold)
+        rows = _split(large, sets, depth + 1)
     return found
 
 
@@ -288,8 +292,8 @@ def _classes(src: DataFrame, k: int, threshold: float, target: float) -> DataFra
     members = stored(sets.select("uid", "low", "high", "n").join(same, ["low", "high", "n"])
                      .select("uid", "rep", "c"), "members")
     reps = stored(sets.join(members.filter("uid = rep").select("uid"), "uid", "left_semi")
-                  .select("uid", "n", "sketch", "paths"), "classes")
-    groups = components(candidates(reps, src, k, threshold))
+                  .select("uid", "n", "sketch", "paths1"), "classes")
+    groups = components(candidates(reps, sets, threshold))
     groups = stored(groups.select(F.col("node").alias("uid"), "root")
                     .unionByName(groups.select(F.col("root").alias("uid"), "root").distinct()), "groups")
     linked = stored(exact_links(groups, src, k, threshold), "linked")
