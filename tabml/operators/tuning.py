@@ -4,16 +4,22 @@ candidate parallelism, and the leaderboard as a table."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.tuning import (ParamGridBuilder, TrainValidationSplit,
                                TrainValidationSplitModel)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import hash_bucket
+from .split import BUCKETS
+
+# The candidates of the default search.
 DEFAULT_GRID = {"regParam": (0.01, 0.1, 0.5), "elasticNetParam": (0.0, 0.5, 1.0)}
 
 
@@ -36,15 +42,53 @@ def evaluator(metric: str = "r2", label: str = "label", prediction: str = "predi
                                              predictionCol=prediction)
 
 
+def is_validation(key: str, train_ratio: float, seed: int):
+    """Whether a row is in a search's validation part: by the hash of its key
+    and the seed, so the part does not follow the partition layout."""
+    return hash_bucket([key, F.lit(seed)]) >= round(train_ratio * BUCKETS)
+
+
+class KeyedSearch(TrainValidationSplit):
+    """A train/validation search whose parts come from a key column.  The
+    candidates read the given table, which the caller may have pinned; no
+    further copy of it is kept.  Ties go to the earlier candidate."""
+
+    key: str
+
+    def _fit(self, dataset):
+        est, maps = self.getEstimator(), self.getEstimatorParamMaps()
+        ev = self.getEvaluator()
+        held = is_validation(self.key, self.getTrainRatio(), self.getSeed())
+        validation = dataset.filter(held)
+        candidates = est.fitMultiple(dataset.filter(~held), maps)
+
+        def one(_):
+            i, model = next(candidates)
+            return i, ev.evaluate(model.transform(validation, maps[i]))
+
+        metrics = [0.0] * len(maps)
+        with ThreadPool(min(self.getParallelism(), len(maps))) as pool:
+            run = inheritable_thread_target(dataset.sparkSession)(one)
+            for i, value in pool.imap_unordered(run, range(len(maps))):
+                metrics[i] = value
+        best = metrics.index(max(metrics) if ev.isLargerBetter() else min(metrics))
+        return self._copyValues(TrainValidationSplitModel(est.fit(dataset, maps[best]), metrics))
+
+
 def tune(estimator, grid: list, metric: str = "r2", train_ratio: float = 0.8,
-         seed: int = 42, parallelism: int = 4, label: str = "label") -> TrainValidationSplit:
-    """Split once (seeded), fit every candidate (``parallelism`` at a
-    time, each fit itself distributed), keep the best validation metric and
-    refit it on all rows given."""
-    return TrainValidationSplit(estimator=estimator, estimatorParamMaps=grid,
-                                evaluator=evaluator(metric, label=label),
-                                trainRatio=train_ratio, seed=seed,
-                                parallelism=parallelism, collectSubModels=False)
+         seed: int = 42, parallelism: int = 4, label: str = "label",
+         key: str | None = None) -> TrainValidationSplit:
+    """Split once, fit every candidate (``parallelism`` at a time, each
+    fit itself distributed), keep the best validation metric and refit it on
+    all rows given.  With ``key`` the split is by key hash, the same on any
+    partition count; without, Spark's seeded ``rand``, which is not."""
+    kind = KeyedSearch if key else TrainValidationSplit
+    search = kind(estimator=estimator, estimatorParamMaps=grid,
+                  evaluator=evaluator(metric, label=label), trainRatio=train_ratio, seed=seed,
+                  parallelism=parallelism, collectSubModels=False)
+    if key:
+        search.key = key
+    return search
 
 
 def search_model(model) -> TrainValidationSplitModel:
@@ -81,7 +125,6 @@ def leaderboard(spark: SparkSession, model) -> DataFrame:
     schema = ", ".join(["candidate int"] + [f"{n} double" for n in names] + ["metric double"])
     df = spark.createDataFrame(rows, schema)
     order = F.col("metric").desc() if larger else F.col("metric").asc()
-    from pyspark.sql import Window
     w = Window.orderBy(order, F.col("candidate"))  # one row per candidate
     return (df.withColumn("rank", F.row_number().over(w))
             .withColumn("is_best", F.col("rank") == 1))

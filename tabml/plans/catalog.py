@@ -782,17 +782,34 @@ def stream_level_counts(spark, d):
     windowed counts with a 1-hour watermark in complete mode, run to the end
     of the available input (availableNow) into the per-epoch parquet sink
     below the shared checkpoint folder, then read back."""
+    res = _streamed(spark, d, "complete")
+    last = res.agg(F.max("epoch"))                # complete mode: the last epoch has it all
+    return res.filter(F.col("epoch") == last.scalar()).drop("epoch")
+
+
+@query("stream_closed_windows", """
+SELECT date_trunc('day', ts) AS window_start,
+       date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type AS level, count(*) AS n
+FROM events GROUP BY 1, 2, 3
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+""")
+def stream_closed_windows(spark, d):
+    """L2 in append mode: each window once, as soon as the watermark passes
+    its end; the windows still open are withheld."""
+    return _streamed(spark, d, "append").drop("epoch")
+
+
+def _streamed(spark, d, mode):
     from ..session import scratch_path
     ensure_utc(spark)
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     out = scratch_path(spark, "stream-out")
     q = ls.start_level_counts(spark, stream, scratch_path(spark, "stream-ckpt"), sink="parquet",
-                              path=out, level="event_type", mode="complete")
+                              path=out, level="event_type", mode=mode)
     q.awaitTermination()
-    res = spark.read.parquet(out)
-    last = res.agg(F.max("epoch"))                # complete mode: the last epoch has it all
-    return res.filter(F.col("epoch") == last.scalar()).drop("epoch")
+    return spark.read.parquet(out)
 
 
 @query("id_map_users", """
@@ -957,6 +974,37 @@ def linear_enet_closed_form(spark, d):
     return out.select("lam", "alpha", _r("slope", 3).alias("slope"), _r("intercept", 2).alias("intercept"))
 
 
+_GRID = [(lam, a) for a in (0.0, 0.5, 1.0) for lam in (500.0, 2000.0, 8000.0)]
+
+
+@query("tune_leaderboard_keyed", f"""
+WITH t AS (SELECT l_quantity AS x, l_extendedprice + 1000 * l_quantity AS y,
+                  ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || chr(31) || '42'), 1, 8))::BIGINT % 10000 >= 8000 AS held
+           FROM lineitem),
+     s AS (SELECT stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r, avg(x) AS mx, avg(y) AS my FROM t WHERE NOT held),
+     g AS (SELECT * FROM (VALUES {", ".join(f"({lam}, {a})" for lam, a in _GRID)}) v(lam, a)),
+     b AS (SELECT lam, a, mx, my,
+                  sign(r) * greatest(abs(r) - lam / sy * a, 0) / (1 + lam / sy * (1 - a)) * sy / sx AS b FROM s, g),
+     e AS (SELECT lam, a, 1 - sum((y - my - b * (x - mx)) ** 2) / (var_pop(y) * count(*)) AS r2
+           FROM b, t WHERE held GROUP BY lam, a)
+SELECT CAST(lam AS DOUBLE) AS lam, CAST(a AS DOUBLE) AS alpha, round(r2, {R}) AS r2,
+       CAST(row_number() OVER (ORDER BY r2 DESC) AS INTEGER) AS "rank", row_number() OVER (ORDER BY r2 DESC) = 1 AS is_best
+FROM e
+""")
+def tune_leaderboard_keyed(spark, d):
+    """Nine elastic nets on one feature, validation rows by key hash."""
+    from pyspark.ml.regression import LinearRegression
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_quantity", (F.col("l_extendedprice") + 1000 * F.col("l_quantity")).alias("label"))
+    lr = LinearRegression(tol=1e-12, maxIter=500)
+    grid = tu.param_grid(lr, {"regParam": sorted({lam for lam, _ in _GRID}), "elasticNetParam": sorted({a for _, a in _GRID})})
+    search = tu.tune(lr, grid, "r2", 0.8, key="l_orderkey")
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    board = tu.leaderboard(spark, search.fit(data))
+    return board.select(F.col("regParam").alias("lam"), F.col("elasticNetParam").alias("alpha"), _r("metric").alias("r2"),
+                        "rank", "is_best")
+
+
 @query("forest_stump", ORACLE_SQL["tree_stump"])
 def forest_stump(spark, d):
     """trees on one 0/1 feature all split there, so they vote as one."""

@@ -47,7 +47,7 @@ def in_sample_regression(df: DataFrame, label: str, numeric: Sequence[str],
 
 
 def _search_stages(est, grid, metric, train_ratio, seed, parallelism, categorical, numeric,
-                   whole_pipeline: bool) -> list:
+                   whole_pipeline: bool, key: str) -> list:
     """Stages of a tuned model.  By default (as in the reference) the
     indexers and encoder are fitted once on all training rows and the search
     runs on the assembled features, so category frequencies of validation
@@ -58,8 +58,8 @@ def _search_stages(est, grid, metric, train_ratio, seed, parallelism, categorica
     feats = fe.feature_stages(categorical, numeric, handle_invalid="keep")
     if whole_pipeline:
         return [tu.tune(Pipeline(stages=feats + [est]), grid, metric, train_ratio, seed,
-                        parallelism)]
-    return feats + [tu.tune(est, grid, metric, train_ratio, seed, parallelism)]
+                        parallelism, key=key)]
+    return feats + [tu.tune(est, grid, metric, train_ratio, seed, parallelism, key=key)]
 
 
 def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
@@ -68,7 +68,7 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
                      grid: Mapping[str, Sequence] = tu.DEFAULT_GRID, report: bool = True,
                      whole_pipeline: bool = False, partitions: int | None = None):
     """Elastic-net linear regression tuned on a 3 x 3 grid with a
-    train/validation search, checked on a key-hash holdout.  Returns
+    train/validation search (parts by key hash), checked on a key-hash holdout.  Returns
     ``(metrics, leaderboard)``; metrics are ``(dataset, metric, value)``:
     train and holdout R^2 / RMSE / MAE, the winning lambda and alpha, and the
     winner's coefficients and intercept by feature name.  ``report=False``
@@ -76,10 +76,10 @@ def tuned_regression(df: DataFrame, label: str, numeric: Sequence[str],
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LinearRegression()           # Spark defaults, as in the reference search
     stages = _search_stages(lr, tu.param_grid(lr, grid), "r2", train_ratio, seed, parallelism,
-                            categorical, numeric, whole_pipeline)
+                            categorical, numeric, whole_pipeline, key)
     spark = df.sparkSession
     data = sp.with_split(t, key, [1 - holdout, holdout])
-    with mo.prepared(data, ["part", "label", *numeric, *categorical], partitions) as base:
+    with mo.prepared(data, list(dict.fromkeys(["part", "label", key, *numeric, *categorical])), partitions) as base:
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)
@@ -112,9 +112,9 @@ def tuned_classifier(df: DataFrame, label: str, numeric: Sequence[str],
     t = prep.rename(df, {label: "label"}) if label != "label" else df
     lr = LogisticRegression()         # Spark defaults, as in the reference search
     stages = _search_stages(lr, tu.param_grid(lr, grid), metric, train_ratio, seed, parallelism,
-                            categorical, numeric, whole_pipeline)
+                            categorical, numeric, whole_pipeline, key)
     data = sp.with_split(t, key, [1 - holdout, holdout])
-    with mo.prepared(data, ["part", "label", *numeric, *categorical], partitions) as base:
+    with mo.prepared(data, list(dict.fromkeys(["part", "label", key, *numeric, *categorical])), partitions) as base:
         train = base.filter(F.col("part") == "train")
         hold = base.filter(F.col("part") == "test")
         pm = Pipeline(stages=stages).fit(train)

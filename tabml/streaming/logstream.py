@@ -65,7 +65,8 @@ def parse_lines(df: DataFrame, line: str = "line", levels=None) -> tuple[DataFra
 def level_counts(df: DataFrame, ts: str = "ts", level: str = "level",
                  window: str = "1 day", watermark: str | None = "1 hour") -> DataFrame:
     """L2: rows per (tumbling event-time window, level), with a watermark so
-    a stream's state for closed windows is dropped.  Output
+    a stream's state for closed windows is dropped (not in ``complete``
+    mode).  Output
     ``(window_start, window_end, level, n)``; the bounds are wall-clock
     (``timestamp_ntz``) values in the session's (UTC) clock."""
     t = df.withColumn("_ts", _as_timestamp(ts, df))
@@ -90,12 +91,13 @@ def level_share(df: DataFrame, level: str = "level", weight: str | None = None)
 
 def start_level_counts(spark: SparkSession, stream: DataFrame, checkpoint: str,
                        sink: str = "parquet", name: str = "level_counts",
-                       mode: str = "complete", ts: str = "ts", level: str = "level",
+                       mode: str = "append", ts: str = "ts", level: str = "level",
                        window: str = "1 day", watermark: str = "1 hour",
                        available_now: bool = True, path: str | None = None) -> StreamingQuery:
     """Run :func:`level_counts` as a Structured Streaming query.  ``append``
-    emits a window once the watermark passes its end; ``complete`` /
-    ``update`` emit running counts.  ``sink="memory"`` (Spark's debugging
+    (the default) emits a window once the watermark passes its end and then
+    frees its state; ``complete`` / ``update`` emit running counts, and
+    ``complete`` keeps all state.  ``sink="memory"`` (Spark's debugging
     sink, collected on the driver) is for tests only.  The parquet sink writes each
     micro-batch with ``foreachBatch`` into its own ``epoch=<id>`` folder
     (read back with ``epoch`` as a column); a retried batch overwrites its

@@ -30,6 +30,17 @@ def test_grid_and_leaderboard(spark):
     assert list(m2.validationMetrics) == list(m.validationMetrics)
 
 
+def test_keyed_search_is_the_same_on_any_partition_count(spark):
+    data = _data(spark)
+    lr = LinearRegression()
+    seen = []
+    for parts in (1, 4, 8):
+        m = tu.tune(lr, tu.param_grid(lr), "r2", 0.8, key="l_orderkey").fit(data.repartition(parts))
+        rows = tu.leaderboard(spark, m).collect()
+        seen.append([(r.candidate, round(r.metric, 9), r.rank, r.is_best) for r in rows])
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 9
+
+
 def test_search_around_whole_pipeline(spark):
     from tabml.plans import jobs
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn(
