@@ -183,6 +183,12 @@ class Segment:
         return run, start, last
 
 
+def one_by_one(batch: pa.RecordBatch):
+    """The rows of a batch of segments, of which only one is copied at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _blocks(index: DataFrame, benchmark: DataFrame, n: int):
     """Broadcast blocks of the benchmark's runs, each ordered by the counts of
     its terms over the whole index."""
@@ -220,7 +226,7 @@ def matches(index: DataFrame, benchmark: DataFrame, n: int = 10, slop: int | Non
         def run(batches):
             q = block.value
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in one_by_one(batch):
                     s = Segment(row)
                     found, start, last = s.search(q, slop)
                     doc = s.doc_of(start)
@@ -250,7 +256,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: st
         def run(batches):
             q = block.value
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in one_by_one(batch):
                     s = Segment(row)
                     found, start, last = s.search(q)
                     step = np.bincount(start, minlength=s.size + 1) - np.bincount(last + 1, minlength=s.size + 1)
