@@ -32,7 +32,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no run of ten words of a benchmark item."""
-    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.remove_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import CHUNK_BYTES, Powers, slices, stored, word_table, words
+from .suffix_dedup import with_order
 
 #: Benchmark runs broadcast at once (about 100 bytes each).
 BLOCK = 200_000
@@ -306,12 +307,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: st
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """Documents no word of which lies in a benchmark run.  A row whose id is
-    null is kept: it cannot be told from other such rows."""
+    """Documents, taken by id, no word of which lies in a benchmark run: all
+    rows of an id go if one does, and rows without an id are kept.
+    ``remove_contaminated_rows`` judges every row by itself."""
     bad = contamination(docs, benchmark, n).filter("contaminated and doc_id is not null").select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
+def remove_contaminated_rows(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
+    """Rows no word of which lies in a benchmark run.  Rows are told apart by a
+    number of their own, so null and repeated ids do not matter."""
+    src = with_order(docs)
+    bad = contamination(src, benchmark, n, "__uid").filter("contaminated").select(F.col("doc_id").alias("__uid"))
+    return src.join(bad, "__uid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def item_digest(items: list[str]) -> str:
     """Digest of a sorted list of item ids, as the query reports it."""
     return hashlib.sha256(",".join(items).encode()).hexdigest()
