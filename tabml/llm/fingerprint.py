@@ -35,6 +35,11 @@ _FIRST = -(1 << 63)
 
 def fingerprints(texts: list[bytes], powers: Powers, table: np.ndarray) -> np.ndarray:
     """One row of ``WIDTH`` 16-bit lanes for each text."""
+    return with_sketches(texts, powers, table)[0]
+
+
+def with_sketches(texts: list[bytes], powers: Powers, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints, and the whole sums of their ``LIKE`` lanes (64-bit)."""
     out = np.zeros((len(texts), WIDTH), np.uint16)
     lines = [[x for x in t.split(b"\n") if x] for t in texts]
     counts = np.array([len(x) for x in lines], np.int64)
@@ -51,14 +56,19 @@ def fingerprints(texts: list[bytes], powers: Powers, table: np.ndarray) -> np.nd
     doc = np.searchsorted(off, cuts[para], "right") - 1
     sign = 1.0 - 2.0 * ((g >> np.uint64(8)) & np.uint64(1)).astype(np.float64)
     sums = np.bincount(doc * LIKE + (g & np.uint64(LIKE - 1)).astype(np.int64), sign, len(texts) * LIKE)
-    out[:, EXACT:] = (sums.astype(np.int64) & 0xFFFF).astype(np.uint16).reshape(-1, LIKE)
-    return out
+    sums = sums.astype(np.int64).reshape(-1, LIKE)
+    out[:, EXACT:] = (sums & 0xFFFF).astype(np.uint16)
+    return out, sums
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def likeness(a: np.ndarray, b: np.ndarray, x: np.ndarray | None = None, y: np.ndarray | None = None) -> np.ndarray:
     """Likeness (0 to 1) of fingerprints, row by row: 1 if they are equal,
-    otherwise the cosine of their shingle sketches, or 0 if that is negative."""
-    x, y = a[:, EXACT:].astype(np.int16).astype(np.float64), b[:, EXACT:].astype(np.int16).astype(np.float64)
+    otherwise the cosine of their shingle sketches, or 0 if that is negative.
+    The sketches are the whole sums ``x`` and ``y`` of ``with_sketches``, or
+    without them the lanes, which hold counts up to 32,767."""
+    if x is None or y is None:
+        x, y = a[:, EXACT:].astype(np.int16), b[:, EXACT:].astype(np.int16)
+    x, y = x.astype(np.float64), y.astype(np.float64)
     norm = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cos = (x * y).sum(axis=1) / np.where(norm > 0, norm, 1.0)
     return np.where((a == b).all(axis=1), 1.0, np.clip(cos, 0.0, 0.999999))
@@ -169,26 +179,28 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def run(batches):
         powers, table = Powers(), blank_table()
-        last = None                                     # (halo, doc_id, text, fingerprint)
+        last = None                                     # (halo, doc_id, text, fingerprint, sketch)
         for whole in batches:
             for batch, data, off in slices(whole, "text"):
                 halo, ids, texts = (c.to_pylist() for c in batch.columns)
-                own = fingerprints([data[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], powers, table)
+                own, sums = with_sketches([data[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], powers, table)
                 if last is not None:
                     halo, ids, texts = [last[0], *halo], [last[1], *ids], [last[2], *texts]
-                    own = np.concatenate([last[3], own])
-                last = halo[-1], ids[-1], texts[-1], own[-1:]
+                    own, sums = np.concatenate([last[3], own]), np.concatenate([last[4], sums])
+                last = halo[-1], ids[-1], texts[-1], own[-1:], sums[-1:]
                 at = [i for i in range(len(texts) - 1) if not halo[i]]
                 edited = [(t[:len(t) - len(t) // 2] + texts[i + 1][:len(t) // 2]).encode()
                           for i, t in ((i, texts[i]) for i in at)]
-                other = fingerprints(edited, powers, table)
-                here, following = own[at], own[[i + 1 for i in at]]
+                other, other_sums = with_sketches(edited, powers, table)
+                after = [i + 1 for i in at]
+                here, following = own[at], own[after]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[i] for i in at], pa.int64()), pa.array([len(texts[i]) for i in at], pa.int64()),
                      pa.array([hashlib.sha256(x).hexdigest() for x in edited], pa.string()),
                      pa.array([to_text(x) for x in here], pa.string()),
                      pa.array([to_text(x) for x in other], pa.string()),
-                     pa.array(likeness(here, other)), pa.array(likeness(here, following))],
+                     pa.array(likeness(here, other, sums[at], other_sums)),
+                     pa.array(likeness(here, following, sums[at], sums[after]))],
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                            "near_edited", "near_next"])
 
