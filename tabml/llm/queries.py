@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import bpe, chaining, decontaminate, fingerprint, jaccard_join, language, linear, quality, suffix_dedup, toxicity, warc
+from . import alignment, bpe, chaining, decontaminate, fingerprint, jaccard_join, language, linear, quality, suffix_dedup, toxicity, warc
 
 
 def op1_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_merge_asof_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                           public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_collinear_chaining": op1_collinear_chaining,
     "op2_multiset_hash": op2_multiset_hash,
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_positional_index": op8_positional_index,
     "op9_bucket_pointer": op9_bucket_pointer,
     "op10_warc_dictionary": op10_warc_dictionary,
+    "op11_merge_asof_alignment": op11_merge_asof_alignment,
 }
 
 ORACLE_SQL = {
