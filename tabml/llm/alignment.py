@@ -42,6 +42,8 @@ from .common import slices, stored, text_buffers
 CHUNK = 4 << 20
 #: Characters after which a long text is cut for the tokenizers, where no token crosses.
 PART = 1 << 16
+#: Runs of white space from here on go through the tokenizers library, as tiktoken's pattern overflows on far longer ones.
+BLANKS = 10_000
 #: Size bound of a vocabulary file, which travels with the tasks.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -67,8 +69,9 @@ def _byte_letters() -> dict[str, int]:
 
 def byte_level_tokens(path: str) -> dict[bytes, int]:
     """Token bytes -> id of a tokenizers JSON file.  Only plain byte-level BPE
-    whose ids rise in the order of its merges is taken, since merging by id is
-    then the same; special tokens are left out (in texts they are plain text)."""
+    whose ids rise in the order of its merges is taken, since merging by id (as
+    the tiktoken library does, several times faster) is then the same; special
+    tokens are left out (in texts they are plain text)."""
     spec = json.loads(_read(path))
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
     special = {t["content"] for t in spec.get("added_tokens") or []}
@@ -103,10 +106,11 @@ class _Tokens:
         self.size = np.array([len(t) for t in tokens], np.int64)
 
 
-def _encoders(ids_a: dict[bytes, int], model_b: bytes):
+def _encoders(ids_a: dict[bytes, int], json_a: bytes, model_b: bytes):
     """(encode, tokens) of A and B, inside a task."""
     import sentencepiece
     import tiktoken
+    import tokenizers
 
     bpe = tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL, mergeable_ranks=ids_a, special_tokens={})
     table = [b""] * (max(ids_a.values()) + 1)
@@ -116,9 +120,19 @@ def _encoders(ids_a: dict[bytes, int], model_b: bytes):
     pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
     crossing = any("▁" in p.lstrip("▁") for p in pieces)
 
+    blanks, slow = re.compile(rf"\s{{{BLANKS}}}"), []
+
+    def plain(part: str) -> list[int]:
+        if len(part) < BLANKS or not blanks.search(part):
+            return bpe.encode_ordinary(part)
+        if not slow:
+            slow.append(tokenizers.Tokenizer.from_buffer(json_a))
+            slow[0].encode_special_tokens = True
+        return slow[0].encode(part, add_special_tokens=False).ids
+
     def encode_a(text: str) -> list[int]:
         parts = _parts(text)
-        return bpe.encode_ordinary(text) if len(parts) == 1 else [i for p in parts for i in bpe.encode_ordinary(p)]
+        return plain(text) if len(parts) == 1 else [i for p in parts for i in plain(p)]
 
     def encode_b(text: str) -> list[int]:
         parts = [text] if crossing else _parts(text)
@@ -221,12 +235,12 @@ _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 def _chunks(docs: DataFrame, a_path: str, b_path: str, text: str, keep: list[str]) -> DataFrame:
     """Per row: ``keep``, numbers, digest and own pairs; ``chunk``, and on the
     first row of a chunk its pairs (packed)."""
-    ids_a, model_b = byte_level_tokens(a_path), _read(b_path)
+    ids_a, json_a, model_b = byte_level_tokens(a_path), _read(a_path), _read(b_path)
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
                       F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches):
-        a, b = _encoders(ids_a, model_b)
+        a, b = _encoders(ids_a, json_a, model_b)
         chunk = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch, _, _ in slices(whole, "text", CHUNK):
@@ -284,12 +298,12 @@ def groups(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep:
     made = ["group", "start", "end", "a_ids", "b_ids"]
     if set(made) & set(keep):
         raise ValueError(f"columns {sorted(set(made) & set(keep))} exist already")
-    ids_a, model_b = byte_level_tokens(a_path), _read(b_path)
+    ids_a, json_a, model_b = byte_level_tokens(a_path), _read(a_path), _read(b_path)
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
                       F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches):
-        a, b = _encoders(ids_a, model_b)
+        a, b = _encoders(ids_a, json_a, model_b)
         for whole in batches:
             for batch, _, _ in slices(whole, "text", CHUNK):
                 (doc_a, x), (doc_b, y) = _encoded(batch.column(len(keep)).to_pylist(), a, b)

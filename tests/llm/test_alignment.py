@@ -13,7 +13,7 @@ from tabml.llm import alignment, queries
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 TEXTS = ["a simple text", None, "", " ", "a  b ", "a▁b", "<|endoftext|> is <s> text", "\x00\x1f  ａ ﬁ", "שלום 日本語 😀👍🏽\r\n\t",
-         "a" * 3000, "x y " * 40_000, " " * 300, "naïve café déjà-vu", "a simple text", "it's 12345 we'll", "é क़"]
+         "a" * 3000, "x y " * 40_000, " " * 300, "x" + "\n " * 60_000 + "y", "naïve café déjà-vu", "a simple text", "it's 12345 we'll", "é क़"]
 
 
 @pytest.fixture(scope="module")
@@ -134,11 +134,11 @@ def test_edges(spark):
 
 
 def test_parts_do_not_change_tokens(monkeypatch):
-    ids, model = alignment.byte_level_tokens(A), alignment._read(B)
+    ids, files = alignment.byte_level_tokens(A), (alignment._read(A), alignment._read(B))
     texts = [t for t in TEXTS if t]
 
     def encode():
-        return [[f(" " + t) for t in texts] for f, _ in alignment._encoders(ids, model)]
+        return [[f(" " + t) for t in texts] for f, _ in alignment._encoders(ids, *files)]
 
     whole = encode()
     monkeypatch.setattr(alignment, "PART", 3)
