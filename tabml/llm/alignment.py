@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import slices, stored, text_buffers
 
 #: Text bytes of a chunk (one text may be longer); bounds what a task holds.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Characters after which a long text is cut for the tokenizers, where no token crosses.
 PART = 1 << 16
 #: Runs of white space from here on go through the tokenizers library, as tiktoken's pattern overflows on far longer ones.
@@ -153,12 +153,12 @@ def _encoded(texts: list[str | None], a, b):
         raw, x, y = whole.encode(), encode_a(whole), encode_b(whole)
         if b"".join(map(tokens_a.bytes.__getitem__, x)) == raw == b"".join(map(tokens_b.bytes.__getitem__, y)):
             rows.append(r)
-            ids_a.append(x)
-            ids_b.append(y)
+            ids_a.append(np.array(x, np.int32))
+            ids_b.append(np.array(y, np.int32))
 
     def flat(lists):
         n = np.array([len(x) for x in lists], np.int64)
-        return np.repeat(np.array(rows, np.int64), n), np.fromiter((i for x in lists for i in x), np.int64, n.sum())
+        return np.repeat(np.array(rows, np.int64), n), np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64)
 
     return flat(ids_a), flat(ids_b)
 
@@ -177,40 +177,50 @@ def overlaps(doc_a, start_a, doc_b, start_b) -> tuple[np.ndarray, np.ndarray]:
             np.r_[at_a["b"].to_numpy(), at_b["b"].to_numpy()[found]])
 
 
-def _digits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of ids, left-aligned in a byte matrix with room for one more, and their number."""
-    width = len(str(int(ids.max()))) if len(ids) else 1
-    text = ids.astype(f"S{width}")
-    return np.c_[text.view(np.uint8).reshape(len(ids), width), np.zeros(len(ids), np.uint8)], np.char.str_len(text)
+def common_ends(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets where tokens of both sides end, group of each A token, of each B token)."""
+    mark = np.zeros(int(end_a[-1]) + 1 if len(end_a) else 1, np.uint8)
+    mark[end_a] = 1
+    mark[end_b] += 2
+    last_a, last_b = mark[end_a] == 3, mark[end_b] == 3
+    return end_a[last_a], np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
 
 
-def groups_text(ids_a, group_a, ids_b, group_b) -> tuple[bytes, np.ndarray]:
+def digits(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of the ids below ``size``, left-aligned in a byte matrix with room for one more, and their number."""
+    text = np.arange(size).astype(f"S{len(str(size))}")
+    return np.c_[text.view(np.uint8).reshape(size, -1), np.zeros(size, np.uint8)], np.char.str_len(text)
+
+
+def groups_text(ids_a, group_a, ids_b, group_b, chars, size) -> tuple[bytes, np.ndarray]:
     """``a1,a2|b1;a3|b2,b3;`` of all groups (each ends in ``;``), and where each ends."""
-    at_a = np.arange(len(ids_a)) + np.searchsorted(group_b, group_a, "left")
-    at_b = np.arange(len(ids_b)) + np.searchsorted(group_a, group_b, "right")
+    n = int(group_a[-1]) + 1 if len(group_a) else 0
+    to_a, to_b = (np.cumsum(np.bincount(g, minlength=n)) for g in (group_a, group_b))
+    at_a = np.arange(len(ids_a)) + np.r_[0, to_b][group_a]
+    at_b = np.arange(len(ids_b)) + to_a[group_b]
     ids, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.empty(len(ids_a) + len(ids_b), np.uint8)
     ids[at_a], ids[at_b] = ids_a, ids_b
     for at, group, last in ((at_a, group_a, b"|"), (at_b, group_b, b";")):
-        mark[at] = np.where(np.r_[group[1:] != group[:-1], True], last[0], b","[0])
-    chars, size = _digits(ids)
+        mark[at] = np.where(np.r_[group[1:] != group[:-1], True][:len(at)], last[0], b","[0])
+    chars, size = chars[ids], size[ids]
     chars[np.arange(len(ids)), size] = mark
     ends = np.cumsum(size + 1)[mark == b";"[0]]
     return chars[np.arange(chars.shape[1]) <= size[:, None]].tobytes(), ends
 
 
-def _aligned_chunk(texts, a, b):
+def _aligned_chunk(texts, a, b, numbers):
     """Everything about a chunk of texts: numbers and digest per row, the
     chunk's pairs (A id, B id, links), and each row's own pairs as (index, links)."""
     n = len(texts)
     (doc_a, ids_a), (doc_b, ids_b) = _encoded(texts, a, b)
     size_a, size_b = a[1].size[ids_a], b[1].size[ids_b]
     end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)       # documents laid end to end: the same bytes on both sides
-    both = np.intersect1d(end_a, end_b, assume_unique=True)
-    group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+    both, group_a, group_b = common_ends(end_a, end_b)
     doc_group = doc_a[np.searchsorted(end_a, both)]
-    text, ends = groups_text(ids_a, group_a, ids_b, group_b)
+    text, ends = groups_text(ids_a, group_a, ids_b, group_b, *numbers)
     i, j = overlaps(doc_a, end_a - size_a, doc_b, end_b - size_b)
-    pairs, local, links = np.unique(ids_a[i] << 32 | ids_b[j], return_inverse=True, return_counts=True)
+    local, pairs = pd.factorize(ids_a[i] << 32 | ids_b[j])
+    links = np.bincount(local, minlength=len(pairs))
     own, times = np.unique(doc_a[i] * len(pairs) + local, return_counts=True)
     doc_own = own // max(len(pairs), 1)
 
@@ -241,10 +251,11 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, text: str, keep: list[str
 
     def run(batches):
         a, b = _encoders(ids_a, json_a, model_b)
+        numbers = digits(max(len(a[1].size), len(b[1].size)))
         chunk = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch, _, _ in slices(whole, "text", CHUNK):
-                rows, pairs = _aligned_chunk(batch.column(len(keep)).to_pylist(), a, b)
+                rows, pairs = _aligned_chunk(batch.column(len(keep)).to_pylist(), a, b, numbers)
                 packed = [np.stack(pairs, axis=1).astype("<i8").tobytes()] + [None] * (batch.num_rows - 1)
                 kinds = {"groups_sha256": pa.string(), "own_pairs": pa.binary(), "own_times": pa.binary(), "wide": pa.bool_()}
                 yield pa.RecordBatch.from_arrays(
@@ -308,7 +319,7 @@ def groups(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep:
             for batch, _, _ in slices(whole, "text", CHUNK):
                 (doc_a, x), (doc_b, y) = _encoded(batch.column(len(keep)).to_pylist(), a, b)
                 end_a, end_b = np.cumsum(a[1].size[x]), np.cumsum(b[1].size[y])
-                both = np.intersect1d(end_a, end_b, assume_unique=True)
+                both, _, _ = common_ends(end_a, end_b)
                 doc = doc_a[np.searchsorted(end_a, both)]
                 first = np.searchsorted(doc, doc)                 # first group of the same text
                 base = np.r_[0, both][first]
