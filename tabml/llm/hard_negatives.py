@@ -118,7 +118,8 @@ class _Best:
             return
         new = (i + first, score[i, j], ident[j], uid[j])
         every = tuple(np.r_[a, b] for a, b in zip(self.held, new))
-        self.held = tuple(x[best(*every, self.k)] for x in every)
+        chosen = best(*every, self.k)
+        self.held = tuple(x[chosen] for x in every)
         row, s = self.held[0], self.held[1]
         start = np.searchsorted(row, row)
         full = np.arange(len(row)) - start == self.k - 1
@@ -277,8 +278,8 @@ def _reads(anchors: DataFrame, zones: DataFrame, n_zones: int, n_decks: int, siz
         return pa.table({"deck": pa.array([a.column("deck")[0].as_py()] * read.num_rows, pa.int64()),
                          "zone": read.column("zone"), "block": read.column("block")})
 
-    left = anchors.withColumn("zone", F.explode(F.sequence(F.lit(0), F.lit(n_zones - 1))).cast("long"))
-    right = zones.withColumn("deck", F.explode(F.sequence(F.lit(0), F.lit(n_decks - 1))).cast("long"))
+    left = anchors.withColumn("zone", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_zones - 1).cast("long"))))
+    right = zones.withColumn("deck", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_decks - 1).cast("long"))))
     return left.groupBy("deck", "zone").cogroup(right.groupBy("deck", "zone")) \
         .applyInArrow(test, "deck long, zone long, block long")
 
@@ -306,6 +307,7 @@ def _scored(anchors: DataFrame, table: DataFrame, reads: DataFrame, size: int, l
 
     payload = table.select("block", "ids", "row_labels", "vectors", "anchors").join(reads, "block")
     mine = anchors.join(reads.select("deck", "zone").distinct(), "deck")
+    mine = mine.toDF(*mine.columns)                            # columns of its own: both sides come from ``reads``
     return mine.groupBy("deck", "zone").cogroup(payload.groupBy("deck", "zone")) \
         .applyInArrow(score, "anchor long, slot int, score long, id long, uid long")
 

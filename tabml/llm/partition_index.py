@@ -247,8 +247,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_
             z = logits(matrix(batch.column(1), size), shared.value)
             asks = batch.column(2).to_numpy(zero_copy_only=False)
             order = np.argsort(-z[asks], axis=1, kind="stable")[:, :probes].astype(np.int32)
-            lists = np.empty(batch.num_rows, object)
-            lists[asks] = list(order)
+            lists: list = [None] * batch.num_rows
+            for i, row in zip(np.flatnonzero(asks).tolist(), order.tolist()):
+                lists[i] = row
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(z.argmax(axis=1).astype(np.int32)),
                  pa.array(lists, pa.list_(pa.int32()))], names=["vec_id", "v", "uid", "part", "probes"])

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tabml.sources import table
 
-from . import alignment, bpe, chaining, decontaminate, fingerprint, jaccard_join, language, linear, quality, suffix_dedup, toxicity, warc
+from . import (alignment, bpe, chaining, decontaminate, fingerprint, hard_negatives, jaccard_join, language, linear, partition_index,
+               quality, suffix_dedup, toxicity, warc)
 
 
 def op1_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,16 @@ def op11_merge_asof_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hilbert_zone_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings") \
+        .withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_collinear_chaining": op1_collinear_chaining,
     "op2_multiset_hash": op2_multiset_hash,
@@ -91,9 +102,32 @@ QUERIES = {
     "op9_bucket_pointer": op9_bucket_pointer,
     "op10_warc_dictionary": op10_warc_dictionary,
     "op11_merge_asof_alignment": op11_merge_asof_alignment,
+    "op12_learned_partitions": op12_learned_partitions,
+    "op13_hilbert_zone_negatives": op13_hilbert_zone_negatives,
 }
 
 ORACLE_SQL = {
+    "op13_hilbert_zone_negatives": """
+WITH e AS (
+    SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND NOT coalesce(list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x))), false)),
+s AS (
+    SELECT a.uid, a.vec_id AS anchor_id, b.uid AS other, b.vec_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.uid <> b.uid WHERE a.vec_id % 50 = 0),
+p AS (
+    SELECT uid, anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id, other) AS nth
+    FROM s WHERE same QUALIFY nth <= 5),
+n AS (
+    SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.uid, nth ORDER BY s.score DESC, s.vec_id, s.other) AS INTEGER) AS rank
+    FROM p JOIN s ON p.uid = s.uid AND NOT s.same
+     AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "op10_warc_dictionary": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
 heads AS (SELECT html, max(page_id) AS head FROM p WHERE size >= 1000 GROUP BY html)
