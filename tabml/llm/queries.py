@@ -110,10 +110,10 @@ ORACLE_SQL = {
     "op13_hilbert_zone_negatives": """
 WITH e AS (
     SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-      AND NOT coalesce(list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x))), false)),
+      AND NOT coalesce(list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))), false)),
 s AS (
     SELECT a.uid, a.vec_id AS anchor_id, b.uid AS other, b.vec_id, a.label = b.label AS same,
            CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
