@@ -13,8 +13,9 @@
    stored index; a query goes to its several most probable parts, as many as
    found ``TARGET`` of the neighbours of sampled vectors that the classifier
    did not learn from.  There all vectors are compared, in cells of bounded
-   size: a part of many rows is dealt to several, so a part of near copies is
-   no single task.
+   size: small parts share a cell, which returns a query's best of all of them,
+   and a part of many rows is dealt to several, so a part of near copies is no
+   single task.
 
 Nearness is the inner product in double precision.  Products of whole blocks
 only preselect; the scores that are compared and returned are summed
@@ -92,7 +93,8 @@ def neighbour_graph(sample: DataFrame, vectors: np.ndarray, k: int = NEIGHBOURS)
             for lo in range(0, len(at), 512):
                 s = rows[lo:lo + 512] @ shared.value.T
                 s[np.arange(len(s)), at[lo:lo + 512]] = -np.inf
-                near = np.argsort(-s, axis=1, kind="stable")[:, :k].astype(np.int32)
+                near = np.argpartition(-s, k - 1, axis=1)[:, :k]
+                near = np.take_along_axis(near, np.argsort(-np.take_along_axis(s, near, 1), axis=1, kind="stable"), 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(at[lo:lo + 512]), pa.array([x.tobytes() for x in near], pa.binary())],
                                                  names=["at", "near"])
 
@@ -240,6 +242,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_
     rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "vectors")
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     weights, probes = fit(rows.select("uid", "v"), n, size, sample, target, max_parts)
+    weights_parts = weights.shape[1]
     shared = rows.sparkSession.sparkContext.broadcast(weights)        # MAX_PARTS by a vector's size at most
 
     def route(batches):
@@ -258,16 +261,23 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_
     index = stored(rows.select("vec_id", "v", "asks", "uid")
                    .mapInArrow(route, f"vec_id long, v {kind}, uid long, part int, probes array<int>"), "index")
     discard(rows)
-    asked = index.filter("probes is not null").select("vec_id", "v", "uid", F.explode("probes").alias("part"))
-    sizes = {r.part: r.n for r in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}      # a row per part
-    loads = {r.part: r.n for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = weights.shape[1]
-
-    def cells(of: dict[int, int], rows_each: int) -> Column:
-        """How many cells a part's rows are dealt to."""
-        return F.get(F.array(*[F.lit(max(1, -(-of.get(p, 0) // rows_each))) for p in range(parts)]), F.col("part"))
-
-    blocks, decks = cells(sizes, CELL_ROWS), cells(loads, CELL_QUERIES)
+    # parts share a cell up to CELL_ROWS rows; a larger part has cells of its own (the tables collected have a row per part or group)
+    sizes = {r.part: r.n for r in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    groups, rows_in = [], [0]
+    for p in range(weights_parts):
+        if rows_in[-1] and rows_in[-1] + sizes.get(p, 0) > CELL_ROWS:
+            rows_in.append(0)
+        groups.append(len(rows_in) - 1)
+        rows_in[-1] += sizes.get(p, 0)
+    group = F.array(*[F.lit(g) for g in groups])
+    asked = index.filter("probes is not null").withColumn("cell", F.explode(F.array_distinct(F.transform("probes", lambda p: F.get(group, p)))))
+    loads = {r.cell: r.n for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def cells(count: list[int], rows_each: int) -> Column:
+        """How many cells the rows of a group are dealt to."""
+        return F.get(F.array(*[F.lit(max(1, -(-n // rows_each))) for n in count]), F.col("cell"))
+
+    blocks, decks = cells(rows_in, CELL_ROWS), cells([loads.get(g, 0) for g in range(len(rows_in))], CELL_QUERIES)
 
     def deal(count: Column) -> Column:
         return F.pmod(F.xxhash64("uid"), count).cast("int")
@@ -275,19 +285,34 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_
     def every(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
-    left = asked.withColumn("deck", deal(decks)).withColumn("block", every(blocks))
-    right = index.select("vec_id", "v", "uid", "part").filter(F.col("part").isin(sorted(loads)) if loads else F.lit(False)) \
+    left = asked.select("vec_id", "v", "uid", "probes", "cell").withColumn("deck", deal(decks)).withColumn("block", every(blocks))
+    right = index.select("vec_id", "v", "uid", "part").withColumn("cell", F.get(group, F.col("part"))) \
+        .filter(F.col("cell").isin(sorted(loads)) if loads else F.lit(False)) \
         .withColumn("block", deal(blocks)).withColumn("deck", every(decks))
 
     def compare(q: pa.Table, c: pa.Table) -> pa.Table:
-        c = c.sort_by([("vec_id", "ascending"), ("uid", "ascending")])
-        i, j, score = nearest(matrix(q.column("v"), size), q.column("uid").to_numpy(), matrix(c.column("v"), size),
-                              c.column("uid").to_numpy(), k)
+        """The k nearest of each query among the cell's rows in its parts."""
+        c = c.sort_by([("part", "ascending"), ("vec_id", "ascending"), ("uid", "ascending")])
+        part, ids, uids = (c.column(x).to_numpy() for x in ("part", "vec_id", "uid"))
+        x, y, q_uid = matrix(q.column("v"), size), matrix(c.column("v"), size), q.column("uid").to_numpy()
+        wants = np.zeros((len(x), weights_parts), bool)
+        for i, probes_of in enumerate(q.column("probes").to_pylist()):
+            wants[i, probes_of] = True
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        for p in np.unique(part).tolist():
+            lo, hi = np.searchsorted(part, [p, p + 1])
+            at = np.flatnonzero(wants[:, p])
+            i, j, score = nearest(x[at], q_uid[at], y[lo:hi], uids[lo:hi], k)
+            found.append((at[i], j + lo, score))
+        i, j, score = (np.concatenate(f) for f in zip(*found))
+        order = np.lexsort((uids[j], ids[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        i, j, score = i[first], j[first], score[first]
         return pa.table({"query": q.column("uid").take(pa.array(i)), "query_id": q.column("vec_id").take(pa.array(i)),
-                         "vec_id": c.column("vec_id").take(pa.array(j)), "uid": c.column("uid").take(pa.array(j)),
-                         "score": pa.array(score, pa.float64())})
+                         "vec_id": pa.array(ids[j]), "uid": pa.array(uids[j]), "score": pa.array(score, pa.float64())})
 
-    cell = ["part", "block", "deck"]
+    cell = ["cell", "block", "deck"]
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)) \
         .applyInArrow(compare, "query long, query_id long, vec_id long, uid long, score double")
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "uid")
