@@ -96,11 +96,28 @@ def index_to_value(df: DataFrame, index_col: str, out: str = "value",
     return IndexToString(inputCol=index_col, outputCol=out, **kw).transform(df)
 
 
-def vector_columns(df: DataFrame, vec_col: str, size: int, prefix: str = "f",
+def vector_size(df: DataFrame, vec_col: str = "features") -> int:
+    """Slots of a vector column by its ML attributes; 0 if they do not say."""
+    meta = df.schema[vec_col].metadata.get("ml_attr", {})
+    return int(meta.get("num_attrs", sum(len(g) for g in meta.get("attrs", {}).values())))
+
+
+def vector_columns(df: DataFrame, vec_col: str, size: int | None = None, prefix: str = "f",
                    keep: Sequence[str] = ()) -> DataFrame:
-    """Flatten a vector column into ``size`` double columns (``f0``..)."""
+    """Flatten a vector column into double columns (``f0``..), one per slot.
+    The number of slots comes from the column's ML attributes; ``size`` is
+    needed where there are none, and must agree where there are.  A vector of
+    another length fails the job: no slot is dropped or made up."""
+    known = vector_size(df, vec_col)
+    if size is None and not known:
+        raise ValueError(f"column {vec_col!r} does not tell its size: pass it")
+    if size is not None and known and known != size:
+        raise ValueError(f"column {vec_col!r} has {known} slots, not {size}")
+    size = size or known
     arr = vector_to_array(F.col(vec_col))
-    return df.select(*keep, *[arr[i].alias(f"{prefix}{i}") for i in range(size)])
+    whole = F.when((F.size(arr) == size) | arr.isNull(), arr).otherwise(
+        F.raise_error(F.concat(F.lit(f"a vector of {vec_col} has not {size} slots but "), F.size(arr).cast("string"))))
+    return df.select(*keep, whole.alias("_whole")).select(*keep, *[F.get("_whole", F.lit(i)).alias(f"{prefix}{i}") for i in range(size)])
 
 
 def feature_names(df: DataFrame, vec_col: str = "features") -> list[str]:

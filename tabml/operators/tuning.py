@@ -6,17 +6,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import (ParamGridBuilder, TrainValidationSplit,
                                TrainValidationSplitModel)
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_bucket
+from . import grams
+from .features import vector_size
 from .split import BUCKETS
 
 # The candidates of the default search.
@@ -49,18 +52,51 @@ def is_validation(key: str, train_ratio: float, seed: int):
 
 
 class KeyedSearch(TrainValidationSplit):
-    """A train/validation search whose parts come from a key column.  The
-    candidates read the given table, which the caller may have pinned; no
-    further copy of it is kept.  Ties go to the earlier candidate."""
+    """A train/validation search whose parts come from a key column.  Ties go
+    to the earlier candidate; the winner is refitted on all rows.
+
+    Elastic nets are searched on sufficient statistics: two passes give the
+    moments of both parts, from which every candidate's fit and validation
+    metric follow (:mod:`tabml.operators.grams`).  Any other estimator, metric
+    or grid, or more than ``grams.MAX_FEATURES`` features, is fitted candidate
+    by candidate on the label, the features and the part, which are kept for
+    the search (memory, spilling to disk), so that nothing upstream runs again."""
 
     key: str
 
     def _fit(self, dataset):
         est, maps = self.getEstimator(), self.getEstimatorParamMaps()
-        ev = self.getEvaluator()
-        held = is_validation(self.key, self.getTrainRatio(), self.getSeed())
-        validation = dataset.filter(held)
-        candidates = est.fitMultiple(dataset.filter(~held), maps)
+        held = is_validation(self.key, self.getTrainRatio(), self.getSeed()).alias("_held")
+        columns = _read_columns(est)
+        if columns is None:                        # a pipeline of its own: it reads raw columns
+            data = dataset.withColumn("_held", held)
+        else:
+            data = dataset.select(*columns, held).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if _by_moments(est, maps, self.getEvaluator(), dataset):
+                metrics = self._moments(data, est, maps)
+            else:
+                metrics = self._candidates(data, est, maps)
+            best = metrics.index(max(metrics) if self.getEvaluator().isLargerBetter() else min(metrics))
+            return self._copyValues(TrainValidationSplitModel(est.fit(data, maps[best]), metrics))
+        finally:
+            if columns is not None:
+                data.unpersist()
+
+    def _moments(self, data, est, maps) -> list[float]:
+        parts = grams.moments(data, F.col("_held"), est.getFeaturesCol(), est.getLabelCol())
+        if set(parts) != {"true", "false"}:
+            raise ValueError("a search needs rows on both sides of its split")
+        metrics = []
+        for m in maps:
+            one = est.copy(m)
+            coef, intercept = grams.solve(parts["false"], one.getRegParam(), one.getElasticNetParam(), one.getStandardization())
+            metrics.append(grams.evaluate(parts["true"], coef, intercept, self.getEvaluator().getMetricName()))
+        return metrics
+
+    def _candidates(self, data, est, maps) -> list[float]:
+        ev, validation = self.getEvaluator(), data.filter("_held")
+        candidates = est.fitMultiple(data.filter("not _held"), maps)
 
         def one(_):
             i, model = next(candidates)
@@ -68,11 +104,30 @@ class KeyedSearch(TrainValidationSplit):
 
         metrics = [0.0] * len(maps)
         with ThreadPool(min(self.getParallelism(), len(maps))) as pool:
-            run = inheritable_thread_target(dataset.sparkSession)(one)
+            run = inheritable_thread_target(data.sparkSession)(one)
             for i, value in pool.imap_unordered(run, range(len(maps))):
                 metrics[i] = value
-        best = metrics.index(max(metrics) if ev.isLargerBetter() else min(metrics))
-        return self._copyValues(TrainValidationSplitModel(est.fit(dataset, maps[best]), metrics))
+        return metrics
+
+
+def _read_columns(est) -> list[str] | None:
+    """The columns that a single estimator reads; None for a pipeline."""
+    if not est.hasParam("featuresCol"):
+        return None
+    cols = [est.getOrDefault(p) for p in ("featuresCol", "labelCol", "weightCol") if est.hasParam(p) and est.isDefined(p)]
+    return list(dict.fromkeys(c for c in cols if c))
+
+
+def _by_moments(est, maps, ev, dataset) -> bool:
+    """Whether moments decide the whole search."""
+    return (isinstance(est, LinearRegression) and isinstance(ev, RegressionEvaluator)
+            and ev.getMetricName() in ("r2", "mse", "rmse") and not ev.getThroughOrigin()
+            and ev.getLabelCol() == est.getLabelCol() and ev.getPredictionCol() == est.getPredictionCol()
+            and not (ev.isDefined("weightCol") and ev.getWeightCol())
+            and {p.name for m in maps for p in m} <= {"regParam", "elasticNetParam", "standardization"}
+            and est.getFitIntercept() and est.getLoss() == "squaredError" and est.getSolver() in ("auto", "normal")
+            and not (est.isDefined("weightCol") and est.getWeightCol())
+            and 0 < vector_size(dataset, est.getFeaturesCol()) <= grams.MAX_FEATURES)
 
 
 def tune(estimator, grid: list, metric: str = "r2", train_ratio: float = 0.8,
