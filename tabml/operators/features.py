@@ -72,6 +72,53 @@ def indexer(cols: Sequence[str], outs: Sequence[str] | None = None,
                          handleInvalid=handle_invalid, stringOrderType=order)
 
 
+def index_by_map(df: DataFrame, col: str, cmap: DataFrame, out: str | None = None,
+                 handle_invalid: str = "error") -> DataFrame:
+    """E1 for any number of categories: the index of each row's category from
+    a :func:`category_map`, by a join.  The labels stay a distributed table:
+    nothing is collected, and the plan does not carry them (Spark's indexer
+    does both).  The index is the one that the indexer gives.
+
+    A NULL or unknown value fails the job (``error``), drops the row (``skip``) or
+    gets the index after the last (``keep``).  Left to Spark's size-checked
+    planning: a small map is broadcast, a large one is sort-merged, with skewed
+    categories split at run time."""
+    out = out or f"{col}_idx"
+    m = cmap.select(F.col("value").alias("_value"), F.col("index").cast("double").alias("_index"))
+    joined = df.withColumn("_key", F.col(f"`{col}`").cast("string")) \
+        .join(m, F.col("_key") == F.col("_value"), "inner" if handle_invalid == "skip" else "left")
+    if handle_invalid == "keep":
+        index = F.coalesce("_index", cmap.agg(F.count(F.lit(1)).cast("double")).scalar())
+    elif handle_invalid == "error":
+        index = F.when(F.col("_index").isNotNull(), F.col("_index")).otherwise(F.raise_error(F.concat(
+            F.lit(f"unknown value of {col}: "), F.coalesce("_key", F.lit("NULL")))))
+    elif handle_invalid == "skip":
+        index = F.col("_index")
+    else:
+        raise ValueError(f"unsupported handle_invalid {handle_invalid!r}")
+    return joined.withColumn(out, index).drop("_key", "_value", "_index")
+
+
+def sparse_slots(df: DataFrame, indexed: Sequence[tuple[str, DataFrame]], numeric: Sequence[str] = (),
+                 out: str = "slots", drop_last: bool = True, keep: bool = False) -> DataFrame:
+    """E3 + E4 for any number of categories: ``out``, an array of
+    ``(slot, value)`` with the values that are not 0, in the slots that the
+    assembler gives: ``numeric`` columns first, then the one-hot slots of each
+    ``(index column, category map)``, its last category dropped unless
+    ``drop_last`` is false.  ``keep``: the indices have one more category, of
+    unknown values.  Only the number of categories of each map is collected."""
+    parts = [F.array(F.struct(F.lit(j).cast("long").alias("slot"), F.col(f"`{c}`").cast("double").alias("value")))
+             for j, c in enumerate(numeric)]
+    at = len(numeric)
+    for c, cmap in indexed:
+        n = cmap.count() + (1 if keep else 0) - (1 if drop_last else 0)
+        index = F.col(f"`{c}`").cast("long")
+        parts.append(F.when(index < n, F.array(F.struct((index + at).alias("slot"), F.lit(1.0).alias("value"))))
+                     .otherwise(F.array().cast("array<struct<slot:bigint,value:double>>")))
+        at += n
+    return df.withColumn(out, F.filter(F.concat(*parts), lambda s: s["value"] != 0))
+
+
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str],
                    handle_invalid: str = "keep", features: str = "features",
                    drop_last: bool = True) -> list:

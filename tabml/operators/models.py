@@ -49,7 +49,7 @@ def pin(df: DataFrame, cols=None, partitions: int | None = None) -> DataFrame:
     if partitions:
         data = data.repartition(partitions)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    data.foreachPartition(lambda rows: None)
+    data.write.format("noop").mode("overwrite").save()          # fills the cache inside the JVM
     return data
 
 
@@ -154,9 +154,10 @@ def fit_tree_regressor(df: DataFrame, features: str = "features", label: str = "
 
 
 def fit_kmeans(df: DataFrame, k: int = 3, features: str = "features", seed: int = 1,
-               max_iter: int = 20, init_mode: str = "k-means||"):
-    """F8: k-means (k-means|| initialisation, distributed Lloyd steps)."""
-    est = KMeans(k=k, featuresCol=features, seed=seed, maxIter=max_iter, initMode=init_mode)
+               max_iter: int = 20, init_mode: str = "k-means||", tol: float = 1e-4):
+    """F8: k-means (k-means|| initialisation, distributed Lloyd steps until no
+    centre moves by more than ``tol``)."""
+    est = KMeans(k=k, featuresCol=features, seed=seed, maxIter=max_iter, initMode=init_mode, tol=tol)
     with fit_input(df, _cols(est)) as d:
         return est.fit(d)
 

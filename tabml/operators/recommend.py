@@ -74,6 +74,32 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
         return als.fit(r)
 
 
+def score_holdout(model, train: DataFrame, holdout: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """Score held-out ratings and account for every one of them, one row
+    ``(n, scored, unknown_user, unknown_item, unknown_both, rmse, mae)``.
+
+    A rating whose user or item has no vector is not scored: with the fit's
+    cold start ``drop`` it vanishes from ``transform``, with ``nan`` its prediction is
+    NaN.  Either way it counts under what the training ratings lack: the user
+    alone, the item alone, or both.  ``scored`` counts the predictions that the
+    model really gave, and the errors are over these."""
+    users = train.select(F.col(user).alias("_u")).filter("_u is not null").distinct().withColumn("_ku", F.lit(True))
+    items = train.select(F.col(item).alias("_i")).filter("_i is not null").distinct().withColumn("_ki", F.lit(True))
+    held = holdout.select(user, item, F.col(rating).cast("double").alias("_r"))
+    no_user, no_item = F.col("_ku").isNull(), F.col("_ki").isNull()
+    counts = held.join(users, F.col(user) == F.col("_u"), "left").join(items, F.col(item) == F.col("_i"), "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(no_user & ~no_item).alias("unknown_user"),
+        F.count_if(~no_user & no_item).alias("unknown_item"), F.count_if(no_user & no_item).alias("unknown_both"))
+    p = F.col(model.getPredictionCol()).cast("double")
+    e = F.when(p.isNotNull() & ~F.isnan(p), p - F.col("_r"))
+    errors = model.transform(held).agg(
+        F.count(F.when(p.isNotNull() & ~F.isnan(p), F.lit(1))).alias("scored"),
+        F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
+    one = errors.agg(F.struct(F.first("scored").alias("scored"), F.first("rmse").alias("rmse"), F.first("mae").alias("mae"))).scalar()
+    return counts.withColumn("_e", one).select("n", F.col("_e.scored").alias("scored"), "unknown_user", "unknown_item",
+                                               "unknown_both", F.col("_e.rmse").alias("rmse"), F.col("_e.mae").alias("mae"))
+
+
 def top_k(model, k: int = 5, user: str | None = None, item: str | None = None,
           method: str = "blocked") -> DataFrame:
     """Top-k items for every user, seen items not excluded, flat:

@@ -17,8 +17,9 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import (features as fe, metrics as me, models as mo, prep,
-                         recommend as rc, split as sp, stats as st, tuning as tu)
+from ..functions.columns import hash_bucket
+from ..operators import (features as fe, metrics as me, models as mo, optimality as op, prep,
+                         recommend as rc, rules as ru, split as sp, stats as st, tuning as tu)
 from ..session import ensure_utc
 from ..sources import table
 from ..streaming import logstream as ls
@@ -246,10 +247,12 @@ def summarize(spark, d):
     return s.select("column", "count", *[_r(c).alias(c) for c in ("mean", "stddev", "min", "max")])
 
 
-@query("pivot_sum", f"""
-PIVOT (SELECT user_id, event_type, value FROM events) ON event_type
-USING round(sum(value), {R}) GROUP BY user_id
-""")
+# The event types of the test tables, which are the pivot's columns.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("pivot_sum", "SELECT user_id, " + ", ".join(
+    f"round(sum(value) FILTER (WHERE event_type = '{t}'), {R}) AS {t}" for t in EVENT_TYPES) + " FROM events GROUP BY user_id")
 def pivot_sum(spark, d):
     p = st.pivot_sum(table(spark, d, "events"), "user_id", "event_type", "value")
     return p.select("user_id", *[_r(c).alias(c) for c in p.columns if c != "user_id"])
@@ -300,7 +303,7 @@ def one_hot_assemble(spark, d):
     stages = fe.feature_stages(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"],
                                handle_invalid="error")
     out = Pipeline(stages=stages).fit(li).transform(li)
-    return fe.vector_columns(out, "features", 5, keep=("l_orderkey", "l_linenumber"))
+    return fe.vector_columns(out, "features", keep=("l_orderkey", "l_linenumber"))
 
 
 # ---------------------------------------------------------- models (F)
@@ -1104,3 +1107,304 @@ def bad_lines(spark, d):
                              .when(k == 3, F.regexp_replace("line", ",[A-Z][a-z]{2} ", ",XYZ ")).otherwise(F.col("line")))
     _, bad = ls.parse_lines(lines)
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------- searches, holdouts, optimality, rules, wide categories
+@query("corr_matrix_nan", f"""
+WITH t AS (SELECT l_quantity, l_extendedprice,
+                  CASE WHEN l_orderkey % 100 = 0 THEN 'nan'::DOUBLE WHEN l_orderkey % 100 = 1 THEN NULL ELSE l_discount END AS l_discount
+           FROM lineitem)
+SELECT a AS col_a, b AS col_b, CASE WHEN a = 'l_discount' OR b = 'l_discount' THEN 'NaN' ELSE CAST(round(r, 3) AS VARCHAR) END AS corr
+FROM (SELECT 'l_quantity' AS a, 'l_extendedprice' AS b, corr(l_quantity, l_extendedprice) AS r FROM t
+      UNION ALL SELECT 'l_extendedprice', 'l_quantity', corr(l_quantity, l_extendedprice) FROM t
+      UNION ALL SELECT c, c, 1.0 FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS c)
+      UNION ALL SELECT c, 'l_discount', 0 FROM (SELECT unnest(['l_quantity', 'l_extendedprice']) AS c)
+      UNION ALL SELECT 'l_discount', c, 0 FROM (SELECT unnest(['l_quantity', 'l_extendedprice']) AS c))
+""")
+def corr_matrix_nan(spark, d):
+    """A NaN makes its pairs NaN, a NULL is left out; results as text,
+    so that NaN compares."""
+    li = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice", F.expr(
+        "CASE WHEN l_orderkey % 100 = 0 THEN double('NaN') WHEN l_orderkey % 100 = 1 THEN NULL ELSE l_discount END AS l_discount"))
+    m = st.corr_matrix(li, ["l_quantity", "l_extendedprice", "l_discount"])
+    return m.select("col_a", "col_b", _r("corr", 3).cast("string").alias("corr"))
+
+
+@query("pivot_cells", f"""
+SELECT l_partkey, CAST(l_suppkey AS VARCHAR) AS key, round(sum(l_quantity), {R}) AS sum FROM lineitem GROUP BY 1, 2
+""")
+def pivot_cells(spark, d):
+    """C6 with any number of values, in long form."""
+    c = st.pivot_cells(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_quantity")
+    return c.select("l_partkey", "key", _r("sum").alias("sum"))
+
+
+@query("pivot_sparse", f"""
+SELECT "user", count(*) AS n_keys, min(k) AS first_key, max(k) AS last_key, round(sum(v), {R}) AS total
+FROM (SELECT o_custkey AS "user", CAST(l_partkey AS VARCHAR) AS k, sum(l_quantity) AS v
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) GROUP BY 1
+""")
+def pivot_sparse(spark, d):
+    """Users by items, far more items than a dense pivot takes."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    p = st.pivot_sparse(li.join(o, li.l_orderkey == o.o_orderkey), "user", "l_partkey", "l_quantity")
+    total = F.aggregate(F.map_values("sums"), F.lit(0.0), lambda a, v: a + v)
+    return p.select("user", F.size("sums").cast("bigint").alias("n_keys"), F.array_min(F.map_keys("sums")).alias("first_key"),
+                    F.array_max(F.map_keys("sums")).alias("last_key"), _r(total).alias("total"))
+
+
+_BOARD = ORACLE_SQL["tune_leaderboard_keyed"]
+
+
+@query("tune_pipeline_best", f"""
+WITH board AS ({_BOARD}),
+     s AS (SELECT stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r, avg(x) AS mx, avg(y) AS my
+           FROM (SELECT l_quantity AS x, l_extendedprice + 1000 * l_quantity AS y FROM lineitem)),
+     b AS (SELECT lam, alpha, mx, my,
+                  sign(r) * greatest(abs(r) - lam / sy * alpha, 0) / (1 + lam / sy * (1 - alpha)) * sy / sx AS b
+           FROM board, s WHERE is_best)
+SELECT lam, alpha, 'l_quantity' AS name, round(b, 2) AS value FROM b
+UNION ALL SELECT lam, alpha, 'intercept', round(my - b * mx, 2) FROM b
+""")
+def tune_pipeline_best(spark, d):
+    """G3 + G4: the search as the last stage of a pipeline; its winner, found by
+    type in the fitted pipeline and refitted on all rows."""
+    from pyspark.ml.regression import LinearRegression
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_quantity", (F.col("l_extendedprice") + 1000 * F.col("l_quantity")).alias("label"))
+    lr = LinearRegression(tol=1e-12, maxIter=500)
+    grid = tu.param_grid(lr, {"regParam": sorted({lam for lam, _ in _GRID}), "elasticNetParam": sorted({a for _, a in _GRID})})
+    stages = [VectorAssembler(inputCols=["l_quantity"], outputCol="features"), tu.tune(lr, grid, "r2", 0.8, key="l_orderkey")]
+    pm = Pipeline(stages=stages).fit(li)
+    best = tu.best_model(pm)
+    rows = mo.coefficients(best, pm.transform(li))
+    return rows.select(F.lit(best.getRegParam()).alias("lam"), F.lit(best.getElasticNetParam()).alias("alpha"),
+                       F.col("feature").alias("name"), _r("coefficient", 2).alias("value"))
+
+
+def _md5_bucket(*cols: str) -> str:
+    text = " || chr(31) || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % 10000)"
+
+
+_RATINGS_SQL = """SELECT o_custkey AS u, l_partkey AS i, avg(l_quantity) / 50.0 AS r
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
+
+
+def _held_ratings(spark, d):
+    """(training, held-out) ratings: one in five pairs is held out, and all of
+    some users and items, who are then unknown to the fit."""
+    r = _ratings(spark, d)
+    train = (hash_bucket(["user", "item"]) < 8000) & (hash_bucket(["user"]) < 9500) & (hash_bucket(["item"]) < 9700)
+    return r.filter(train), r.filter(~train)
+
+
+@query("rating_holdout_account", f"""
+WITH r AS ({_RATINGS_SQL}),
+     s AS (SELECT u, i, {_md5_bucket("u", "i")} < 8000 AND {_md5_bucket("u")} < 9500 AND {_md5_bucket("i")} < 9700 AS train FROM r),
+     h AS (SELECT u NOT IN (SELECT u FROM s WHERE train) AS nu, i NOT IN (SELECT i FROM s WHERE train) AS ni FROM s WHERE NOT train)
+SELECT cold_start, count(*) AS n, count(*) FILTER (NOT nu AND NOT ni) AS scored, count(*) FILTER (nu AND NOT ni) AS unknown_user,
+       count(*) FILTER (ni AND NOT nu) AS unknown_item, count(*) FILTER (nu AND ni) AS unknown_both, true AS better_than_mean
+FROM h, (SELECT unnest(['drop', 'nan']) AS cold_start) GROUP BY cold_start
+""")
+def rating_holdout_account(spark, d):
+    """Every held-out rating is scored or counted by what the fit does not
+    know, under both cold-start rules.  ``better_than_mean``: the errors are
+    finite, and under those of no knowledge at all (a prediction of 0)."""
+    train, held = _held_ratings(spark, d)
+    held = held.persist()
+    try:
+        out = None
+        for cold in ("drop", "nan"):
+            model = rc.fit_als(train, "user", "item", "rating", max_iter=3, cold_start=cold)
+            row = rc.score_holdout(model, train, held, "user", "item", "rating").withColumn("cold_start", F.lit(cold))
+            out = row if out is None else out.unionByName(row)
+        zero = held.agg(F.sqrt(F.avg(F.col("rating") * F.col("rating"))).alias("z")).first().z
+        return mo.small(out.select("cold_start", "n", "scored", "unknown_user", "unknown_item", "unknown_both",
+                                   (F.col("rmse") < zero).alias("better_than_mean")))
+    finally:
+        held.unpersist()
+
+
+@query("rating_holdout")
+def rating_holdout(spark, d):
+    """Errors of an ALS fit on held-out ratings."""
+    train, held = _held_ratings(spark, d)
+    return rc.score_holdout(rc.fit_als(train, "user", "item", "rating"), train, held, "user", "item", "rating")
+
+
+@query("als_normal_equations", f"""
+SELECT u AS "user", count(*) AS n, 0.0::DOUBLE AS residual FROM ({_RATINGS_SQL}) GROUP BY u
+""")
+def als_normal_equations(spark, d):
+    """after its last half step each ALS user solves its regularised
+    normal equations (residual rounded to 3 decimals)."""
+    r = prep.scale(_ratings(spark, d), "rating", 100.0)
+    model = rc.fit_als(r, "user", "item", "rating", max_iter=5, reg=0.1)
+    out = op.als_residuals(r, model, "user", "item", "rating", 0.1)
+    return out.select(F.col("user").cast("bigint").alias("user"), "n", _r("residual", 3).alias("residual"))
+
+
+def _kkt_rows(spark, fits):
+    """(reg, alpha, n, violation, intercept_violation) of each fit, rounded to 3 decimals."""
+    out = None
+    for (reg, alpha), row in fits:
+        row = row.select(F.lit(float(reg)).alias("reg"), F.lit(float(alpha)).alias("alpha"), "n",
+                         _r("violation", 3).alias("violation"), _r("intercept_violation", 3).alias("intercept_violation"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_KKT_GRID = [(0.0, 0.0), (0.05, 0.0), (0.05, 0.5), (0.05, 1.0)]
+
+
+def _kkt_sql(source: str, scale: float = 1.0) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT CAST({reg * scale} AS DOUBLE) AS reg, CAST({a} AS DOUBLE) AS alpha, count(*) AS n, CAST(0 AS DOUBLE) AS violation, "
+        f"CAST(0 AS DOUBLE) AS intercept_violation FROM {source}" for reg, a in _KKT_GRID)
+
+
+@query("enet_kkt", _kkt_sql("lineitem", 10000.0))
+def enet_kkt(spark, d):
+    """Elastic nets with six features satisfy their optimality conditions."""
+    li = table(spark, d, "lineitem")
+    stages = fe.feature_stages(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"], handle_invalid="error")
+    t = li.withColumn("label", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    with mo.prepared(t, ["label", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"], SPREAD) as base:
+        data = Pipeline(stages=stages).fit(base).transform(base)
+        return mo.small(_kkt_rows(spark, [
+            ((reg * 10000.0, a), op.linear_kkt(data, mo.fit_linear(data, reg=reg * 10000.0, enet=a, max_iter=1000, tol=1e-12)))
+            for reg, a in _KKT_GRID]))
+
+
+@query("logistic_kkt", _kkt_sql("lineitem"))
+def logistic_kkt(spark, d):
+    """logistic elastic nets, with and without penalties, satisfy theirs."""
+    li = table(spark, d, "lineitem")
+    stages = fe.feature_stages(["l_returnflag"], ["l_extendedprice", "l_discount", "l_tax"], handle_invalid="error")
+    t = li.withColumn("label", (F.col("l_quantity") + 40 * F.col("l_tax") + 10 * (F.col("l_returnflag") == "R").cast("int") >= 28)
+                      .cast("double"))
+    with mo.prepared(t, ["label", "l_returnflag", "l_extendedprice", "l_discount", "l_tax"], SPREAD) as base:
+        data = Pipeline(stages=stages).fit(base).transform(base)
+        return mo.small(_kkt_rows(spark, [
+            ((reg, a), op.logistic_kkt(data, mo.fit_logistic(data, reg=reg, enet=a, max_iter=1000, tol=1e-12)))
+            for reg, a in _KKT_GRID]))
+
+
+@query("kmeans_fixed_point", """
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS DOUBLE) AS max_shift FROM embeddings
+""")
+def kmeans_fixed_point(spark, d):
+    """F8: k-means on real vectors ends at a fixed point of its own steps."""
+    with mo.prepared(_embeddings(spark, d), ["features"]) as emb:
+        model = mo.fit_kmeans(emb, k=3, seed=1, max_iter=500, tol=0.0)
+        return mo.small(op.kmeans_fixed_point(emb, model).select("n", "misplaced", _r("max_shift").alias("max_shift")))
+
+
+@query("category_index_joined", """
+WITH m AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS i FROM part GROUP BY p_brand)
+SELECT p_partkey, CAST(i AS DOUBLE) AS p_brand_idx FROM part JOIN m USING (p_brand)
+""")
+def category_index_joined(spark, d):
+    """The indexer's index by a join with the category map."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand")
+    return fe.index_by_map(p, "p_brand", fe.category_map(p, "p_brand")).select("p_partkey", "p_brand_idx")
+
+
+@query("category_index_wide", """
+WITH m AS (SELECT k, row_number() OVER (ORDER BY count(*) DESC, k) - 1 AS i
+           FROM (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem) GROUP BY k)
+SELECT o_orderkey, CAST(coalesce(i, (SELECT count(*) FROM m)) AS DOUBLE) AS o_orderkey_idx
+FROM orders LEFT JOIN m ON CAST(o_orderkey AS VARCHAR) = k
+""")
+def category_index_wide(spark, d):
+    """As many categories as keys, none of them collected; keys that the
+    map does not know get the index after the last."""
+    cmap = fe.category_map(table(spark, d, "lineitem"), "l_orderkey")
+    return fe.index_by_map(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", cmap, handle_invalid="keep")
+
+
+@query("one_hot_slots", """
+WITH b AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS i FROM part GROUP BY 1),
+     t AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS i FROM part GROUP BY 1),
+     n AS (SELECT (SELECT count(*) FROM b) AS nb, (SELECT count(*) FROM t) AS nt)
+SELECT p_partkey, CAST(0 AS BIGINT) AS slot, CAST(p_size AS DOUBLE) AS value FROM part WHERE p_size <> 0
+UNION ALL SELECT p_partkey, 1 + i, 1.0 FROM part JOIN b USING (p_brand), n WHERE i < nb - 1
+UNION ALL SELECT p_partkey, nb + i, 1.0 FROM part JOIN t USING (p_type), n WHERE i < nt - 1
+""")
+def one_hot_slots(spark, d):
+    """E3 + E4: sparse one-hot slots of joined indices, a row per slot in use."""
+    p = table(spark, d, "part").select("p_partkey", "p_size", "p_brand", "p_type")
+    maps = {c: fe.category_map(p, c) for c in ("p_brand", "p_type")}
+    for c, m in maps.items():
+        p = fe.index_by_map(p, c, m)
+    s = fe.sparse_slots(p, [(f"{c}_idx", m) for c, m in maps.items()], ["p_size"])
+    return s.select("p_partkey", F.inline("slots"))
+
+
+@query("tree_rule_texts", """
+WITH t AS (SELECT CASE WHEN l_quantity >= 20 THEN 1 ELSE 0 END AS x, CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END AS y FROM lineitem)
+SELECT CAST(x AS INTEGER) AS leaf, CASE WHEN x = 0 THEN 'x <= 0.5' ELSE 'x > 0.5' END AS rule,
+       CAST(CASE WHEN avg(y) > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, count(*) AS n
+FROM t GROUP BY x
+""")
+def tree_rule_texts(spark, d):
+    """A tree's leaves as readable rules with feature names."""
+    data = _stump_data(spark, d)
+    return ru.leaf_rules(mo.fit_tree(data, max_depth=3), data).select("leaf", "rule", "prediction", "n")
+
+
+@query("tree_rules_route", """
+SELECT kind, count(*) AS n, count(*) AS same_leaf FROM lineitem, (SELECT unnest(['classifier', 'regressor']) AS kind) GROUP BY kind
+""")
+def tree_rules_route(spark, d):
+    """The rules, run on raw columns with category names, send
+    every row to the leaf that the model sends it to."""
+    raw = _tree_data(spark, d).select("label", "l_quantity", "l_discount", "l_tax", "l_extendedprice", "brand_group")
+    with mo.prepared(raw, None, SPREAD) as base:
+        stages = [fe.indexer(["brand_group"], handle_invalid="keep"),
+                  VectorAssembler(inputCols=["brand_group_idx", "l_discount", "l_tax", "l_extendedprice"], outputCol="features")]
+        data = Pipeline(stages=stages).fit(base).transform(base)
+        out = None
+        for kind, model in (("classifier", mo.fit_tree(data, max_depth=4)),
+                            ("regressor", mo.fit_tree_regressor(data, label="l_quantity", max_depth=4))):
+            leaf = ru.leaf_column(model, data)
+            row = model.setLeafCol("_leaf").transform(data).agg(
+                F.count(F.lit(1)).alias("n"), F.count_if(leaf == F.col("_leaf")).alias("same_leaf")).withColumn("kind", F.lit(kind))
+            out = row if out is None else out.unionByName(row)
+        return mo.small(out.select("kind", "n", "same_leaf"))
+
+
+@query("job_tree_rules")
+def job_tree_rules(spark, d):
+    """The rules of the job's tree, with category values, beside the
+    holdout-free counts and means of the rows they cover."""
+    raw = _tree_data(spark, d).select("label", "l_discount", "l_tax", "l_extendedprice", "brand_group")
+    with mo.prepared(raw, None, SPREAD) as base:
+        stages = [fe.indexer(["brand_group"], handle_invalid="keep"),
+                  VectorAssembler(inputCols=["brand_group_idx", "l_discount", "l_tax", "l_extendedprice"], outputCol="features")]
+        data = Pipeline(stages=stages).fit(base).transform(base)
+        model = mo.fit_tree(data, max_depth=3)
+        found = ru.leaf_summary(base, ru.leaf_column(model, data))
+        return mo.small(ru.leaf_rules(model, data).join(found.withColumnRenamed("n", "rows"), "leaf")
+                        .select("leaf", "rule", "prediction", "n", "rows", _r("mean").alias("mean")))
+
+
+@query("recs_both_sides", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+     s AS (SELECT u.vec_id AS "user", i.vec_id AS item, list_inner_product(u.x, i.x) AS score FROM e u, e i),
+     k AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM s),
+     h AS (SELECT user_id AS "user", event_id % 500 AS item, sum(value) AS score FROM events GROUP BY 1, 2)
+SELECT k."user", k.item, 'recommended' AS source, CAST(rank AS INTEGER) AS rank, round(k.score, {R}) AS score, h.item IS NOT NULL AS seen
+FROM k LEFT JOIN h ON k."user" = h."user" AND k.item = h.item WHERE rank <= 5
+UNION ALL SELECT "user", item, 'history', NULL, round(score, {R}), true FROM h
+""")
+def recs_both_sides(spark, d):
+    """Recommendations from factors, marked where the user's history has
+    them, beside that history (made of the events: user, item, value)."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    hist = table(spark, d, "events").select(F.col("user_id").alias("user"), (F.col("event_id") % 500).alias("item"), "value") \
+        .groupBy("user", "item").agg(F.sum("value").alias("value"))
+    out = rc.with_history(rc.top_k_from_factors(e, e, 5), hist, "user", "item", "value")
+    return out.select("user", "item", "source", "rank", _r("score").alias("score"), "seen")
