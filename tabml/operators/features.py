@@ -106,12 +106,14 @@ def sparse_slots(df: DataFrame, indexed: Sequence[tuple[str, DataFrame]], numeri
     assembler gives: ``numeric`` columns first, then the one-hot slots of each
     ``(index column, category map)``, its last category dropped unless
     ``drop_last`` is false.  ``keep``: the indices have one more category, of
-    unknown values.  Only the number of categories of each map is collected."""
+    unknown values, and as in :func:`feature_stages` with ``keep`` none is
+    dropped (the encoder adds a category of its own for that).  Only the number of
+    categories of each map is collected."""
     parts = [F.array(F.struct(F.lit(j).cast("long").alias("slot"), F.col(f"`{c}`").cast("double").alias("value")))
              for j, c in enumerate(numeric)]
     at = len(numeric)
     for c, cmap in indexed:
-        n = cmap.count() + (1 if keep else 0) - (1 if drop_last else 0)
+        n = cmap.count() + (1 if keep else -1 if drop_last else 0)
         index = F.col(f"`{c}`").cast("long")
         parts.append(F.when(index < n, F.array(F.struct((index + at).alias("slot"), F.lit(1.0).alias("value"))))
                      .otherwise(F.array().cast("array<struct<slot:bigint,value:double>>")))

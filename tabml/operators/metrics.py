@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dot, sq_dist, sq_norm
@@ -179,3 +179,56 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
          .otherwise(F.lit(0.0)))
     return scored.select(s.alias("_s")).agg(F.count(F.lit(1)).alias("n"),
                                              F.avg("_s").alias("silhouette"))
+
+
+def linear_scores(models, features: str = "features", probability: bool = False) -> Column:
+    """All linear models' scores of a row as one array column: features times
+    coefficients plus intercept, through the logistic function if
+    ``probability``.  So many candidates are scored in one pass of a scan."""
+    def one(m):
+        x = vector_to_array(F.col(features))
+        z = dot(x, F.array(*[F.lit(float(c)) for c in m.coefficients.toArray()])) + F.lit(float(m.intercept))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) if probability else z
+    return F.array(*[one(m) for m in models])
+
+
+def many_regression_metrics(df: DataFrame, scores: str, n_models: int, label: str = "label") -> DataFrame:
+    """H2 / G2 for many models in one scan: ``(model, n, r2, rmse, mse, mae)``
+    from an array column of predictions, one aggregate for all of them.  As in
+    :func:`regression_metrics`, complete pairs count."""
+    y, aggs = F.col(label).cast("double"), []
+    for i in range(n_models):
+        p = F.get(F.col(scores), F.lit(i)).cast("double")
+        e = y - p
+        aggs += [F.count(e).alias(f"n{i}"), F.sum(e * e).alias(f"sse{i}"), F.sum(F.abs(e)).alias(f"sae{i}"),
+                 F.var_pop(F.when(p.isNotNull(), y)).alias(f"vy{i}")]
+    row = df.agg(*aggs)
+    out = [F.struct(F.lit(i).alias("model"), F.col(f"n{i}").alias("n"),
+                    (F.lit(1.0) - F.try_divide(F.col(f"sse{i}"), F.col(f"n{i}") * F.col(f"vy{i}"))).alias("r2"),
+                    F.sqrt(F.try_divide(F.col(f"sse{i}"), F.col(f"n{i}"))).alias("rmse"),
+                    F.try_divide(F.col(f"sse{i}"), F.col(f"n{i}")).alias("mse"),
+                    F.try_divide(F.col(f"sae{i}"), F.col(f"n{i}")).alias("mae")) for i in range(n_models)]
+    return row.select(F.inline(F.array(*out)))
+
+
+def many_auc(df: DataFrame, scores: str, label: str = "label", bins: int = 10_000) -> DataFrame:
+    """H5 / G2 for many models in one scan: ``(model, n, auc, bound)`` from an
+    array column of scores from 0 to 1 and a label (1 is positive, anything
+    else not; rows without a label or score are left out).
+
+    Each model's scores are counted in ``bins`` equal cells by class, combined
+    map-side, and the area under the ROC curve follows from the merged
+    histogram with pairs of one cell counted half.  Only those pairs can be
+    ordered otherwise, so the exact area (ties half) is within ``bound``, half
+    their share of all pairs.  NULL if a class is missing."""
+    rows = df.select(F.col(label).cast("double").alias("y"), F.posexplode(F.col(scores)).alias("model", "s")) \
+        .filter("y is not null and s is not null and not isnan(s)")
+    cell = F.least(F.floor(F.col("s") * bins), F.lit(bins - 1).cast("long"))
+    counts = rows.groupBy("model", cell.alias("cell")).agg(
+        F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") != 1).alias("q"))
+    below = Window.partitionBy("model").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)   # bins rows a model
+    p, q = F.col("p").cast("double"), F.col("q").cast("double")
+    sums = counts.withColumn("under", F.coalesce(F.sum(q).over(below), F.lit(0.0))).groupBy("model").agg(
+        F.sum(p + q).cast("long").alias("n"), (F.sum(p) * F.sum(q)).alias("pairs"),
+        F.sum(p * (F.col("under") + q / 2)).alias("won"), (F.sum(p * q) / 2).alias("tied"))
+    return sums.select("model", "n", F.try_divide("won", "pairs").alias("auc"), F.try_divide("tied", "pairs").alias("bound"))

@@ -81,7 +81,7 @@ def score_holdout(model, train: DataFrame, holdout: DataFrame, user: str, item:
     A rating whose user or item has no vector is not scored: with the fit's
     cold start ``drop`` it vanishes from ``transform``, with ``nan`` its prediction is
     NaN.  Either way it counts under what the training ratings lack: the user
-    alone, the item alone, or both.  ``scored`` counts the predictions that the
+    alone, the item alone, or both (a NULL id is unknown).  ``scored`` counts the predictions that the
     model really gave, and the errors are over these."""
     users = train.select(F.col(user).alias("_u")).filter("_u is not null").distinct().withColumn("_ku", F.lit(True))
     items = train.select(F.col(item).alias("_i")).filter("_i is not null").distinct().withColumn("_ki", F.lit(True))
@@ -92,7 +92,7 @@ def score_holdout(model, train: DataFrame, holdout: DataFrame, user: str, item:
         F.count_if(~no_user & no_item).alias("unknown_item"), F.count_if(no_user & no_item).alias("unknown_both"))
     p = F.col(model.getPredictionCol()).cast("double")
     e = F.when(p.isNotNull() & ~F.isnan(p), p - F.col("_r"))
-    errors = model.transform(held).agg(
+    errors = model.transform(held.filter(F.col(user).isNotNull() & F.col(item).isNotNull())).agg(
         F.count(F.when(p.isNotNull() & ~F.isnan(p), F.lit(1))).alias("scored"),
         F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
     one = errors.agg(F.struct(F.first("scored").alias("scored"), F.first("rmse").alias("rmse"), F.first("mae").alias("mae"))).scalar()

@@ -1100,13 +1100,17 @@ FROM events WHERE event_id % 5 IN (1, 2, 3) GROUP BY 1
 def bad_lines(spark, d):
     """L1: lines spoilt by rule, and the reasons they are refused for."""
     ensure_utc(spark)
+    _, bad = ls.parse_lines(_spoilt_lines(spark, d))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _spoilt_lines(spark, d):
+    """The events as text lines, three of five spoilt by rule."""
     lines = ls.render_lines(table(spark, d, "events"), "event_type", "ts", keep=("event_id",))
     k = F.col("event_id") % 5
-    lines = lines.withColumn("line", F.when(k == 1, F.regexp_replace("line", ",", " "))
-                             .when(k == 2, F.concat(F.lit("9"), "line"))
-                             .when(k == 3, F.regexp_replace("line", ",[A-Z][a-z]{2} ", ",XYZ ")).otherwise(F.col("line")))
-    _, bad = ls.parse_lines(lines)
-    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return lines.withColumn("line", F.when(k == 1, F.regexp_replace("line", ",", " "))
+                            .when(k == 2, F.concat(F.lit("9"), "line"))
+                            .when(k == 3, F.regexp_replace("line", ",[A-Z][a-z]{2} ", ",XYZ ")).otherwise(F.col("line")))
 
 
 # ------------------------------- searches, holdouts, optimality, rules, wide categories
@@ -1408,3 +1412,53 @@ def recs_both_sides(spark, d):
         .groupBy("user", "item").agg(F.sum("value").alias("value"))
     out = rc.with_history(rc.top_k_from_factors(e, e, 5), hist, "user", "item", "value")
     return out.select("user", "item", "source", "rank", _r("score").alias("score"), "seen")
+
+
+@query("many_models_metrics", "\nUNION ALL\n".join(
+    f"SELECT {i} AS model, count(*) AS n, round(1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), {R}) AS r2, "
+    f"round(sqrt(avg((y - p) * (y - p))), {R}) AS rmse, round(avg(abs(y - p)), {R}) AS mae "
+    f"FROM (SELECT l_extendedprice AS y, l_quantity * {700 + 100 * i}.0 + {i} * l_tax AS p FROM lineitem)" for i in range(9)))
+def many_models_metrics(spark, d):
+    """Nine candidates evaluated in one scan."""
+    li = table(spark, d, "lineitem").select(F.col("l_extendedprice").alias("label"), F.array(
+        *[F.col("l_quantity") * (700.0 + 100 * i) + F.lit(i) * F.col("l_tax") for i in range(9)]).alias("scores"))
+    m = me.many_regression_metrics(li, "scores", 9)
+    return m.select("model", "n", *[_r(c).alias(c) for c in ("r2", "rmse", "mae")])
+
+
+@query("many_models_auc", f"""
+WITH t AS (SELECT l_quantity AS s, CASE WHEN l_extendedprice > 40000 THEN 1 ELSE 0 END AS y FROM lineitem),
+     c AS (SELECT s, count(*) FILTER (y = 1)::DOUBLE AS p, count(*) FILTER (y = 0)::DOUBLE AS q FROM t GROUP BY s),
+     u AS (SELECT *, coalesce(sum(q) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under FROM c),
+     a AS (SELECT sum(p * (under + q / 2)) / (sum(p) * sum(q)) AS auc, sum(p * q) / 2 / (sum(p) * sum(q)) AS bound, CAST(sum(p + q) AS BIGINT) AS n FROM u)
+SELECT 0 AS model, n, round(auc, {R}) AS auc, round(bound, {R}) AS bound FROM a
+UNION ALL SELECT 1, n, round(1 - auc, {R}), round(bound, {R}) FROM a
+UNION ALL SELECT 2, n, 0.5, 0.5 FROM a
+""")
+def many_models_auc(spark, d):
+    """Areas under ROC of three scores in one scan, with error bounds."""
+    q = F.col("l_quantity") / 64
+    li = table(spark, d, "lineitem").select((F.col("l_extendedprice") > 40000).cast("int").alias("label"),
+                                            F.array(q, 1 - q, F.lit(0.3)).alias("scores"))
+    return me.many_auc(li, "scores").select("model", "n", _r("auc").alias("auc"), _r("bound").alias("bound"))
+
+
+@query("stream_text_lines", """
+SELECT 'count' AS kind, date_trunc('day', ts) AS window_start, upper(event_type) AS name, count(*) AS n
+FROM events WHERE event_id % 5 IN (0, 4) GROUP BY 2, 3
+UNION ALL
+SELECT 'bad', NULL, CASE event_id % 5 WHEN 1 THEN 'no separator' WHEN 2 THEN 'bad level' ELSE 'bad date' END, count(*)
+FROM events WHERE event_id % 5 IN (1, 2, 3) GROUP BY 3
+""")
+def stream_text_lines(spark, d):
+    """L1 + L2: text files of good and spoilt lines below the shared folder, read
+    as a stream in several micro-batches into both outputs."""
+    from ..session import scratch_path
+    ensure_utc(spark)
+    base = scratch_path(spark, "lines")
+    _spoilt_lines(spark, d).repartition(4, "event_id").select("line").write.text(f"{base}/in")
+    ls.start_line_job(spark, f"{base}/in", f"{base}/out", f"{base}/ck", watermark="36500 days", files_per_batch=2).awaitTermination()
+    counts = ls.line_counts(spark, f"{base}/out").select(F.lit("count").alias("kind"), "window_start", F.col("level").alias("name"), "n")
+    bad = ls.bad_lines(spark, f"{base}/out").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("timestamp_ntz").alias("window_start"),
+                                         F.col("reason").alias("name"), "n"))

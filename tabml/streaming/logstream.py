@@ -8,7 +8,7 @@ backfill share one definition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
@@ -117,3 +117,64 @@ def start_level_counts(spark: SparkSession, stream: DataFrame, checkpoint: str,
             batch.write.mode("overwrite").parquet(f"{base}/epoch={epoch}")
         return w.foreachBatch(write).start()
     raise ValueError(f"unknown sink {sink!r}")
+
+
+def start_line_job(spark: SparkSession, source: str, path: str, checkpoint: str, levels=None, window: str = "1 day",
+                   watermark: str = "1 hour", files_per_batch: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """L1 + L2 on a text stream: the lines below ``source`` are read once and
+    parsed once, and each micro-batch writes below ``path``
+
+    - ``bad``: the lines that do not parse, with their reason;
+    - ``counts``: its good lines per window and level (increments, which
+      :func:`line_counts` adds up);
+    - ``stats``: how many lines were seen, bad, and late, and the last event time.
+
+    A line is late, and not counted, if its window had closed before the batch
+    began: its end lies ``watermark`` or more before the last event time of earlier
+    batches.  These numbers are observed while the outputs are written.  Every
+    output has a folder per batch (``epoch``), which a retry overwrites, and what
+    is late is decided from the batches before, so output is exactly once
+    across restarts from ``checkpoint``."""
+    base, delay = path.rstrip("/"), F.expr(f"INTERVAL {watermark}")
+    lines = spark.readStream
+    if files_per_batch:
+        lines = lines.option("maxFilesPerTrigger", files_per_batch)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        before = session.read.parquet(f"{base}/stats").filter(F.col("epoch") < epoch).agg(F.max("last")).first()[0] \
+            if epoch else None
+        parsed = _parsed(batch.select(F.col("value").alias("line")), "line", levels).persist()
+        try:
+            seen, kept, good = Observation(), Observation(), F.col("reason").isNull()
+            parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(~good).alias("bad"),
+                           F.max(F.when(good, F.col("ts"))).alias("last")) \
+                .filter(~good).select("line", "reason").write.mode("overwrite").parquet(f"{base}/bad/epoch={epoch}")
+            late = F.lit(False) if before is None else F.col("w.end") <= F.lit(before) - delay
+            parsed.filter(good).select("level", F.window("ts", window).alias("w")) \
+                .observe(kept, F.count_if(late).alias("late")).filter(~late) \
+                .groupBy("w", "level").agg(F.count(F.lit(1)).alias("n")) \
+                .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "level", "n") \
+                .write.mode("overwrite").parquet(f"{base}/counts/epoch={epoch}")
+            session.createDataFrame([(seen.get["lines"], seen.get["bad"], kept.get["late"], seen.get["last"])],
+                                    "lines long, bad long, late long, last timestamp") \
+                .coalesce(1).write.mode("overwrite").parquet(f"{base}/stats/epoch={epoch}")
+        finally:
+            parsed.unpersist()
+
+    w = lines.text(source).writeStream.option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.foreachBatch(write).start()
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(window_start, window_end, level, n)`` of a :func:`start_line_job` so far."""
+    return spark.read.parquet(f"{path.rstrip('/')}/counts") \
+        .groupBy("window_start", "window_end", "level").agg(F.sum("n").alias("n"))
+
+
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, reason)`` of a :func:`start_line_job` so far."""
+    return spark.read.parquet(f"{path.rstrip('/')}/bad").select("line", "reason")
