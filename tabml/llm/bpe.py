@@ -31,7 +31,7 @@ from .common import slices
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pre-tokens whose ids one Python worker remembers (about 200 bytes each);
 #: beyond it the memory starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -132,8 +132,13 @@ class Codec:
         self.token_start = np.cumsum(self.token_size, dtype=np.int32) - self.token_size
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         # Python workers run many tasks: what one has learnt serves the next.
-        self.cache: dict[str, bytes] = vars(sys).setdefault("_byte_bpe_ids", {}).setdefault(
-            hash((len(ranks), pattern, *list(ranks)[-64:])), {})
+        # Only for the same vocabulary: the key is a digest of every token, rank and the pattern.  A worker
+        # remembers one vocabulary at a time, so its memory stays bounded over many jobs.
+        key = hashlib.sha256(repr((pattern, sorted(ranks.items(), key=lambda x: x[1]))).encode()).digest()
+        held = vars(sys).setdefault("_byte_bpe_ids", {})
+        if key not in held:
+            held.clear()
+        self.cache: dict[str, bytes] = held.setdefault(key, {})
 
     def learn(self, rest: set[str]) -> None:
         """Encode pre-tokens that the cache lacks: a token of the vocabulary
@@ -255,7 +260,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text",
 
 def decode(tokens: DataFrame, vocabulary: str, ids: str = "token_ids") -> DataFrame:
     """Replace packed ids by the bytes they stand for, in a column ``decoded``
-    (null ids: null)."""
+    (null ids: null).  A column of that name is refused."""
+    if "decoded" in tokens.columns and ids != "decoded":
+        raise ValueError("column decoded exists already")
     ranks = tokens.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
     def run(batches):

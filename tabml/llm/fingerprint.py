@@ -1,16 +1,17 @@
 """Document fingerprints: a homomorphic multiset hash (operator 2).
 
-A paragraph (a non-empty line) is hashed to a wide vector of 16-bit lanes, and
-a document's fingerprint is the sum of its paragraphs' vectors modulo 2**16,
-lane by lane.  So it does not depend on the order of paragraphs, and inserting
+A paragraph (a non-empty line) is hashed to a wide vector, and a document's
+fingerprint is the sum of its paragraphs' vectors, lane by lane, modulo 2**16
+or 2**32.  So it does not depend on the order of paragraphs, and inserting
 or deleting one adds or subtracts its vector, without the rest of the text.
 
-A vector has two parts.  ``EXACT`` lanes come from SHAKE-128 of the paragraph
+A vector has two parts.  ``EXACT`` lanes of 16 bits come from SHAKE-128 of the paragraph
 and are uniform: two documents have equal sums only if they have the same
 paragraphs (not meant against an adversary, who could search for sums).
-``LIKE`` lanes are a signed count sketch of the paragraph's three-word shingles
-(all its words if fewer), whose sums give the cosine of two documents'
-shingle counts, to about 1/sqrt(LIKE).
+``LIKE`` lanes of 32 bits are a signed count sketch of the paragraph's three-word
+shingles (all its words if fewer), whose sums give the cosine of two documents'
+shingle counts, to about 1/sqrt(LIKE).  They hold counts up to 2**31 - 1, more
+than any text has shingles.
 
 Null texts are empty; the empty document's fingerprint is all zeros.
 """
@@ -34,13 +35,8 @@ _FIRST = -(1 << 63)
 
 
 def fingerprints(texts: list[bytes], powers: Powers, table: np.ndarray) -> np.ndarray:
-    """One row of ``WIDTH`` 16-bit lanes for each text."""
-    return with_sketches(texts, powers, table)[0]
-
-
-def with_sketches(texts: list[bytes], powers: Powers, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints, and the whole sums of their ``LIKE`` lanes (64-bit)."""
-    out = np.zeros((len(texts), WIDTH), np.uint16)
+    """One row of ``WIDTH`` lanes for each text."""
+    out = np.zeros((len(texts), WIDTH), np.uint32)
     lines = [[x for x in t.split(b"\n") if x] for t in texts]
     counts = np.array([len(x) for x in lines], np.int64)
     digests = [hashlib.shake_128(x).digest(EXACT * 2) for doc in lines for x in doc]
@@ -56,35 +52,32 @@ def with_sketches(texts: list[bytes], powers: Powers, table: np.ndarray) -> tupl
     doc = np.searchsorted(off, cuts[para], "right") - 1
     sign = 1.0 - 2.0 * ((g >> np.uint64(8)) & np.uint64(1)).astype(np.float64)
     sums = np.bincount(doc * LIKE + (g & np.uint64(LIKE - 1)).astype(np.int64), sign, len(texts) * LIKE)
-    sums = sums.astype(np.int64).reshape(-1, LIKE)
-    out[:, EXACT:] = (sums & 0xFFFF).astype(np.uint16)
-    return out, sums
+    out[:, EXACT:] = (sums.astype(np.int64).reshape(-1, LIKE) & 0xFFFFFFFF).astype(np.uint32)
+    return out
 
 
-def likeness(a: np.ndarray, b: np.ndarray, x: np.ndarray | None = None, y: np.ndarray | None = None) -> np.ndarray:
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Likeness (0 to 1) of fingerprints, row by row: 1 if they are equal,
-    otherwise the cosine of their shingle sketches, or 0 if that is negative.
-    The sketches are the whole sums ``x`` and ``y`` of ``with_sketches``, or
-    without them the lanes, which hold counts up to 32,767."""
-    if x is None or y is None:
-        x, y = a[:, EXACT:].astype(np.int16), b[:, EXACT:].astype(np.int16)
-    x, y = x.astype(np.float64), y.astype(np.float64)
+    otherwise the cosine of their shingle sketches, or 0 if that is negative."""
+    x, y = (v[:, EXACT:].astype(np.int32).astype(np.float64) for v in (a, b))
     norm = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cos = (x * y).sum(axis=1) / np.where(norm > 0, norm, 1.0)
     return np.where((a == b).all(axis=1), 1.0, np.clip(cos, 0.0, 0.999999))
 
 
 def to_text(lanes: np.ndarray) -> str:
-    """A fingerprint as lower-case hexadecimal digits, lane by lane."""
-    return lanes.astype("<u2").tobytes().hex()
+    """A fingerprint as lower-case hexadecimal digits of its lanes' bytes,
+    little-endian: two for each exact lane, four for each other."""
+    return (lanes[:EXACT].astype("<u2").tobytes() + lanes[EXACT:].astype("<u4").tobytes()).hex()
 
 
 def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), "<u2")
+    raw = bytes.fromhex(text)
+    return np.concatenate([np.frombuffer(raw, "<u2", EXACT).astype(np.uint32), np.frombuffer(raw, "<u4", LIKE, 2 * EXACT)])
 
 
 def plus(a: str, b: str) -> str:
-    """Fingerprint of both documents' paragraphs together."""
+    """Fingerprint of both documents' paragraphs together (``to_text`` takes each lane's modulus)."""
     return to_text(from_text(a) + from_text(b))
 
 
@@ -95,7 +88,10 @@ def minus(a: str, b: str) -> str:
 
 def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of the whole text of every row.  Rows are
-    independent: null ids and repeated rows are kept as they are."""
+    independent: null ids and repeated rows are kept as they are.  A column
+    named ``out``, or ``__text``, is refused."""
+    if {out, "__text"} & set(docs.columns):
+        raise ValueError(f"columns {sorted({out, '__text'} & set(docs.columns))} exist already")
     src = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     names = [*docs.columns, out]
 
@@ -120,15 +116,20 @@ def updated(prints: DataFrame, edits: DataFrame, key: str = "doc_id", out: str =
     delta = fingerprint(edits.select(key, "inserted", F.col("paragraph").alias("text")))
     parts = prints.select(key, F.lit(True).alias("inserted"), F.col(out).alias("fingerprint")) \
         .unionByName(delta.select(key, "inserted", "fingerprint"))
-    # a lane is two bytes in little-endian order
-    lane = lambda i: F.conv(F.concat(F.substring("fingerprint", i * 4 + 3, 2),          # noqa: E731
-                                     F.substring("fingerprint", i * 4 + 1, 2)), 16, 10).cast("long")
+    # a lane is two or four bytes in little-endian order
+    def lane(i):
+        long = i >= EXACT
+        at = F.when(long, EXACT * 4 + (i - EXACT) * 8).otherwise(i * 4) + 1
+        byte = [F.substring("fingerprint", at + 2 * k, F.lit(2)) for k in range(4)]
+        return F.conv(F.when(long, F.concat(*byte[::-1])).otherwise(F.concat(byte[1], byte[0])), 16, 10).cast("long")
+
     signed = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)),
                          lambda i: F.when(F.col("inserted"), lane(i)).otherwise(-lane(i)))
     sums = parts.select(key, F.posexplode(signed).alias("i", "v")).groupBy(key, "i") \
-        .agg(F.pmod(F.sum("v"), F.lit(65536)).alias("v"))
-    word = F.lpad(F.lower(F.hex("v")), 4, "0")
-    return sums.withColumn("w", F.concat(F.substring(word, 3, 2), F.substring(word, 1, 2))).groupBy(key) \
+        .agg(F.pmod(F.sum("v"), F.when(F.col("i") < EXACT, F.lit(1 << 16)).otherwise(F.lit(1 << 32))).alias("v"))
+    word = F.lpad(F.lower(F.hex("v")), 8, "0")
+    byte = [F.substring(word, 7 - 2 * k, 2) for k in range(4)]
+    return sums.withColumn("w", F.when(F.col("i") < EXACT, F.concat(byte[0], byte[1])).otherwise(F.concat(*byte))).groupBy(key) \
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), "")
              .alias(out))
 
@@ -179,19 +180,19 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def run(batches):
         powers, table = Powers(), blank_table()
-        last = None                                     # (halo, doc_id, text, fingerprint, sketch)
+        last = None                                     # (halo, doc_id, text, fingerprint)
         for whole in batches:
             for batch, data, off in slices(whole, "text"):
                 halo, ids, texts = (c.to_pylist() for c in batch.columns)
-                own, sums = with_sketches([data[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], powers, table)
+                own = fingerprints([data[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], powers, table)
                 if last is not None:
                     halo, ids, texts = [last[0], *halo], [last[1], *ids], [last[2], *texts]
-                    own, sums = np.concatenate([last[3], own]), np.concatenate([last[4], sums])
-                last = halo[-1], ids[-1], texts[-1], own[-1:], sums[-1:]
+                    own = np.concatenate([last[3], own])
+                last = halo[-1], ids[-1], texts[-1], own[-1:]
                 at = [i for i in range(len(texts) - 1) if not halo[i]]
                 edited = [(t[:len(t) - len(t) // 2] + texts[i + 1][:len(t) // 2]).encode()
                           for i, t in ((i, texts[i]) for i in at)]
-                other, other_sums = with_sketches(edited, powers, table)
+                other = fingerprints(edited, powers, table)
                 after = [i + 1 for i in at]
                 here, following = own[at], own[after]
                 yield pa.RecordBatch.from_arrays(
@@ -199,8 +200,7 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                      pa.array([hashlib.sha256(x).hexdigest() for x in edited], pa.string()),
                      pa.array([to_text(x) for x in here], pa.string()),
                      pa.array([to_text(x) for x in other], pa.string()),
-                     pa.array(likeness(here, other, sums[at], other_sums)),
-                     pa.array(likeness(here, following, sums[at], sums[after]))],
+                     pa.array(likeness(here, other)), pa.array(likeness(here, following))],
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                            "near_edited", "near_next"])
 

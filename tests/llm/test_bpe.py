@@ -65,3 +65,21 @@ def test_full_cache_starts_anew(library, monkeypatch):
     codec = bpe.Codec(bpe.read_ranks(VOCABULARY), P.PATTERN)
     for t in ("one two three four five six seven", "eight nine ten eleven one two", "one two"):
         assert codec.encode_all([t], [True]) == [b"".join(i.to_bytes(4, "little") for i in library.encode_ordinary(t))]
+
+
+def test_vocabularies_do_not_share_ids():
+    """Codecs of one process: two vocabularies that differ in an early token only."""
+    late = {bytes([65 + i // 26, 65 + i % 26]): 257 + i for i in range(100)}
+    one = {bytes([b]): b for b in range(256)} | {b"ab": 256} | late
+    two = {bytes([b]): b for b in range(256)} | {b"bx": 256} | late
+    for ranks in (one, two, one):
+        own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        want = b"".join(i.to_bytes(4, "little") for i in own.encode_ordinary("abxab bx"))
+        assert bpe.Codec(ranks, P.PATTERN).encode("abxab bx") == want
+
+
+def test_decode_edges(spark):
+    none = spark.createDataFrame([], "doc_id long, token_ids binary")
+    assert bpe.decode(none, VOCABULARY).count() == 0
+    with pytest.raises(ValueError, match="decoded"):
+        bpe.decode(none.withColumnRenamed("doc_id", "decoded"), VOCABULARY)
