@@ -3,6 +3,7 @@ and gram hashes computed over whole byte buffers with numpy."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 
@@ -44,6 +45,15 @@ def discard(df: DataFrame) -> None:
 
 
 # ---------------------------------------------------------------- Arrow buffers
+def release() -> None:
+    """Give freed memory back to the system.  Python workers serve one stage
+    after another, and what allocators keep of each would add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all values, offsets of each value).  Null is empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -69,6 +79,7 @@ def slices(batch: pa.RecordBatch, col: str, limit: int = CHUNK_BYTES):
         hi = min(n, max(hi, lo + 1))
         yield batch.slice(lo, hi - lo), data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    release()
 
 
 # ----------------------------------------------------------------------- hashes
@@ -192,3 +203,5 @@ def whole_groups(batches, column: str):
         last = key[-1]
     if held:
         yield pa.Table.from_batches(held)
+    held.clear()
+    release()
