@@ -1462,3 +1462,15 @@ def stream_text_lines(spark, d):
     bad = ls.bad_lines(spark, f"{base}/out").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return counts.unionByName(bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("timestamp_ntz").alias("window_start"),
                                          F.col("reason").alias("name"), "n"))
+
+
+@query("csv_linear_ols", ORACLE_SQL["linear_ols"])
+def csv_linear_ols(spark, d):
+    """A1 + A2 + F1: a whole job on several CSV files instead of the table."""
+    from ..session import scratch_path
+    from ..sources import using
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    path = scratch_path(spark, "csv")
+    li.repartition(4, "l_orderkey").write.option("header", True).csv(path)
+    with using({"lineitem": (f"{path}/part-*.csv", "l_orderkey long, l_quantity double, l_extendedprice double")}):
+        return linear_ols(spark, d)

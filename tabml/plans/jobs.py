@@ -176,6 +176,19 @@ def segment(df: DataFrame, features: str, k: int = 3, seed: int = 1, partitions:
     return sizes, quality, cent
 
 
+def segment_columns(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), k: int = 3,
+                    seed: int = 1, partitions: int | None = None):
+    """:func:`segment` from raw columns: categories are indexed and one-hot
+    encoded (no slot dropped, so no category is nearer to the others), numbers
+    taken as they are.  Centres carry the slots' ``name``.  Rows with a
+    missing number fail the job, as the assembler does."""
+    stages = fe.feature_stages(categorical, numeric, handle_invalid="error", drop_last=False)
+    data = Pipeline(stages=stages).fit(df).transform(df)
+    names = df.sparkSession.createDataFrame(list(enumerate(fe.feature_names(data))), "dim int, name string")
+    sizes, quality, cent = segment(data, "features", k, seed, partitions)
+    return sizes, quality, cent.join(names, "dim").select("cluster", "dim", "name", "value")
+
+
 def recommend_courses(ratings: DataFrame, user: str, item: str, rating: str,
                       k: int = 5, scale: float = 100.0, seed: int = 42) -> DataFrame:
     """Recommender: scale the rating, fit ALS (10 iterations, lambda 0.1,

@@ -1,3 +1,3 @@
-from .tables import (TABLES, read_csv, read_table, table, table_path)
+from .tables import (TABLES, read_csv, read_table, table, table_path, using)
 
-__all__ = ["TABLES", "read_csv", "read_table", "table", "table_path"]
+__all__ = ["TABLES", "read_csv", "read_table", "table", "table_path", "using"]

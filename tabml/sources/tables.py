@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -13,9 +15,34 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+#: Tables read from elsewhere for the time of :func:`using`.
+_INSTEAD: dict = {}
+
+
+@contextlib.contextmanager
+def using(sources: dict):
+    """Within it, the named tables are read from CSV files (A1, A2), so that
+    every query and job runs on them: ``{table: path or glob}``, or
+    ``{table: (path, schema)}``, which spares the pass that infers types."""
+    unknown = sorted(set(sources) - set(TABLES))
+    if unknown:
+        raise ValueError(f"unknown tables {unknown}")
+    before = dict(_INSTEAD)
+    _INSTEAD.update(sources)
+    try:
+        yield
+    finally:
+        _INSTEAD.clear()
+        _INSTEAD.update(before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one of the driver tables.  Parquet keeps filter
-    pushdown, column pruning and the vectorized reader."""
+    """Parquet scan of one of the driver tables, or what :func:`using` names in
+    its place.  Parquet keeps filter pushdown, column pruning and the
+    vectorized reader."""
+    if name in _INSTEAD:
+        path, schema = _INSTEAD[name] if isinstance(_INSTEAD[name], tuple) else (_INSTEAD[name], None)
+        return read_csv(spark, path, schema=schema)
     return spark.read.parquet(table_path(sf_dir, name))
 
 

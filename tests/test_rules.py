@@ -52,6 +52,7 @@ def test_one_node_and_bare_vectors(spark):
     _, _, data = _fit(spark)
     flat = data.withColumn("label", F.lit(1.0))
     assert [r.rule for r in ru.leaf_rules(mo.fit_tree(flat), flat).collect()] == ["true"]
+    assert "Predict: 1.0" in mo.debug_string(mo.fit_tree(flat))
     from pyspark.ml.linalg import Vectors
     bare = spark.createDataFrame([(Vectors.dense([1.0]), 1.0), (Vectors.dense([2.0]), 0.0)], ["features", "label"])
     with pytest.raises(ValueError, match="no complete ML attributes"):
