@@ -5,10 +5,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import pickle
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from tabml.session import ensure_checkpoint_dir
@@ -44,6 +47,13 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def ship(spark: SparkSession, value) -> Callable:
+    """Broadcast ``value`` and return what reads it inside a task.  Classes of
+    this package travel by value, so workers need not be able to import it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 # ---------------------------------------------------------------- Arrow buffers
 def release() -> None:
     """Give freed memory back to the system.  Python workers serve one stage

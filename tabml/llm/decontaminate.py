@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, Powers, slices, stored, word_table, words
+from .common import CHUNK_BYTES, Powers, ship, slices, stored, word_table, words
 from .suffix_dedup import with_order
 
 #: Benchmark runs broadcast at once (about 100 bytes each).
@@ -216,7 +216,7 @@ def _blocks(index: DataFrame, benchmark: DataFrame, n: int):
                 .groupBy("term").agg(F.sum("n").alias("n")).collect():   # at most the block's vocabulary
             counts[r.term] = r.n
         q.order_by(counts)
-        yield spark.sparkContext.broadcast(q)
+        yield ship(spark, q)
 
 
 def matches(index: DataFrame, benchmark: DataFrame, n: int = 10, slop: int | None = None) -> DataFrame:
@@ -225,7 +225,7 @@ def matches(index: DataFrame, benchmark: DataFrame, n: int = 10, slop: int | Non
     ``Segment.search``: None gives exact phrases, a number proximity matches."""
     def one(block):
         def run(batches):
-            q = block.value
+            q = block()
             for batch in batches:
                 for row in one_by_one(batch):
                     s = Segment(row)
@@ -255,7 +255,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: st
 
     def one(block):
         def run(batches):
-            q = block.value
+            q = block()
             for batch in batches:
                 for row in one_by_one(batch):
                     s = Segment(row)
@@ -306,14 +306,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: st
         .withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """Documents, taken by id, no word of which lies in a benchmark run: all
-    rows of an id go if one does, and rows without an id are kept.
-    ``remove_contaminated_rows`` judges every row by itself."""
-    bad = contamination(docs, benchmark, n).filter("contaminated and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
-
-
 def remove_contaminated_rows(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """Rows no word of which lies in a benchmark run.  Rows are told apart by a
     number of their own, so null and repeated ids do not matter."""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linear
-from .common import mix
+from .common import mix, ship
 
 BITS = 15
 PER_LANGUAGE = 2000
@@ -144,10 +144,10 @@ def fit(docs: DataFrame, learn: Column, lang: str = "lang", per_language: int =
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``lang_pred`` and ``score`` (0 to 1: how far the chosen family and
     language are ahead) of every whole text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs.sparkSession, model)
 
     def scorer():
-        model, tables = shipped.value, _gram_tables()
+        model, tables = shipped(), _gram_tables()
         letters = np.zeros(256, bool)
         letters[0x41:0x5B] = letters[0x61:0x7B] = True
 

@@ -43,12 +43,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 def fit_shards(sample: DataFrame, shards: int, features: Callable[[], Features],
                fit: Callable[[list, list], dict]) -> dict[str, dict[int, float]]:
-    """Fit each shard of the sample (rows dealt by hash, in hash order) and
+    """Fit each shard of the sample (rows dealt by hash, in hash order; ranges
+    of shard numbers, more of them than shards, put no two into one task) and
     average the shards' weights: {model: {feature: weight}}.  ``fit`` takes
     [(indices, values)] and labels, and returns {model: dense weights}.  What
     reaches the driver is bounded by the number of features."""
     rows = sample.withColumn("h", F.xxhash64("key")).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int")) \
-        .repartition(shards, "shard").sortWithinPartitions("shard", "h", "text").select("shard", "label", "text")
+        .repartitionByRange(4 * shards, "shard").sortWithinPartitions("shard", "h", "text").select("shard", "label", "text")
 
     def run(batches):
         extract, held = features(), {}

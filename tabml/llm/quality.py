@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linear
-from .common import Powers, blank_table, mix, slices, stored, word_table, words
+from .common import Powers, blank_table, mix, ship, slices, stored, word_table, words
 
 BITS = 18
 MAX_ROWS = 20_000
@@ -175,10 +175,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
 def score(docs: DataFrame, model: Model, keep: list[str], threshold: float = THRESHOLD, raw: bool = False) -> DataFrame:
     """``score`` and ``predicted`` (1 from ``threshold`` on) of every text;
     ``raw`` gives the margin as the score."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs.sparkSession, model)
 
     def scorer():
-        model, tables, powers = shipped.value, _tables(), Powers()
+        model, tables, powers = shipped(), _tables(), Powers()
 
         def run(_, data, off):
             m = model.margins(data, off, tables, powers)

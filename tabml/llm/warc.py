@@ -50,26 +50,36 @@ def classify(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
                      F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("payload"))
     p = p.withColumn("digest", F.sha1(F.col("payload"))).withColumn("size", F.octet_length("payload").cast("long"))
     groups = p.filter(F.col("size") >= MIN_PAYLOAD).groupBy("digest") \
-        .agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1 and head is not null")
-    groups = stored(groups.select("digest", "head"), "payload-groups")
+        .agg(F.max(F.struct(F.col("page_id").alias("head"), F.col("url").alias("head_url"))).alias("h"),
+             F.count(F.lit(1)).alias("n")).filter("n > 1 and h.head is not null")
+    groups = stored(groups.select("digest", "h.head", "h.head_url"), "payload-groups")
+    earlier = F.coalesce("page_id", F.lit(-(1 << 63))) < F.col("head")
     return p.join(groups, "digest", "left").select(
         "page_id", "url", "payload", "digest", "size",
-        F.when(F.coalesce("page_id", F.lit(-(1 << 63))) < F.col("head"), F.col("head")).alias("refers_to"))
+        F.when(earlier, F.col("head")).alias("refers_to"), F.when(earlier, F.col("head_url")).alias("refers_url"))
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """Of page, address and payload: rows that repeat a page id, or have none,
+    have ids of their own unless all three are equal, and a revisit can name
+    its response's."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{url}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def target_uri(url: str | None) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else "about:blank"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
+           refers_url: str | None) -> bytes:
     """One WARC record.  A revisit has the HTTP header without the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else "about:blank"
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-            f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}",
+            f"WARC-Record-ID: {record_id(page_id, url, digest)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {target_uri(url)}",
             f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"]
     if refers_to is not None:
-        head += [f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Profile: {REVISIT_PROFILE}",
+        head += [f"WARC-Refers-To: {record_id(refers_to, refers_url, digest)}",
+                 f"WARC-Refers-To-Target-URI: {target_uri(refers_url)}", f"WARC-Profile: {REVISIT_PROFILE}",
                  f"X-Refers-To-Page: {refers_to}"]
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
@@ -105,9 +115,10 @@ def train(records: DataFrame) -> bytes:
     hashed = records.withColumn("h", F.xxhash64("page_id", "digest"))
     last = hashed.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
     rows = hashed.filter(F.col("h") <= F.lit(last)).select(
-        "page_id", "url", "digest", "refers_to", F.substring(F.encode("payload", "UTF-8"), 1, SAMPLE_BYTES).alias("payload")) \
+        "page_id", "url", "digest", "refers_to", "refers_url", F.substring(F.encode("payload", "UTF-8"), 1, SAMPLE_BYTES).alias("payload")) \
         .limit(SAMPLE_RECORDS).collect() if last is not None else []
-    samples = [record(r.page_id, r.url, bytes(r.payload), r.digest, r.refers_to) for r in rows]
+    samples = [record(r.page_id, r.url, bytes(r.payload), r.digest, r.refers_to, r.refers_url)
+               for r in rows]
     if len(samples) >= 32:
         try:
             return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=3).as_bytes()
@@ -135,9 +146,9 @@ def write_archives(records: DataFrame, dictionary: bytes, name: str = "archives"
                  pa.array([lead + b"".join(frames)], pa.binary())], names=["archive", "records", "data"])
 
         for batch in batches:
-            for page, url, payload, digest, refers_to in zip(*(c for c in batch.columns)):
+            for page, url, payload, digest, refers_to, refers_url in zip(*(c for c in batch.columns)):
                 frames.append(packer.compress(record(page.as_py(), url.as_py(), payload.as_py().encode(),
-                                                     digest.as_py(), refers_to.as_py())))
+                                                     digest.as_py(), refers_to.as_py(), refers_url.as_py())))
                 size += len(frames[-1])
                 if size >= ARCHIVE_BYTES:
                     yield archive()
@@ -147,7 +158,7 @@ def write_archives(records: DataFrame, dictionary: bytes, name: str = "archives"
 
     path = shared_path(spark, name)
     schema = "archive string, records long, data binary"
-    records.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, schema) \
+    records.select("page_id", "url", "payload", "digest", "refers_to", "refers_url").mapInArrow(run, schema) \
         .write.option("compression", "none").parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -1,6 +1,8 @@
 """Toxicity, quality and language: held-out accuracy, edge cases, and the
 optimisers against plain definitions."""
 
+import itertools
+import math
 import random
 
 import numpy as np
@@ -38,6 +40,52 @@ def test_dual_descent_reaches_the_primal_optimum():
         assert primal(w + rng.normal(size=6) * 0.05) >= best - 1e-3
 
 
+def test_ftrl_against_a_plain_loop():
+    """The published update, coordinate by coordinate, on Python floats."""
+    rng = random.Random(4)
+    rows = [(sorted(rng.sample(range(12), 4)), rng.randrange(2)) for _ in range(40)]
+    alpha, beta, l1, l2, epochs = 0.7, 1.0, 1.5, 0.1, 3
+    z, n = [0.0] * 13, [0.0] * 13
+
+    def weight(i):
+        limit = 0.0 if i == 12 else l1
+        if abs(z[i]) <= limit:
+            return 0.0
+        return -(z[i] - math.copysign(limit, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for on, label in rows:
+            on = [*on, 12]
+            w = {i: weight(i) for i in on}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in on:
+                rate = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - rate * w[i]
+                n[i] += g * g
+    got = linear.ftrl([(np.array(on), np.ones(4)) for on, _ in rows], [y for _, y in rows], 12, alpha, beta, l1, l2, epochs)
+    want = [weight(i) for i in range(13)]
+    assert np.allclose(got, want, atol=1e-12) and 0 < sum(w == 0 for w in want) < 12
+
+
+def test_shards_share_no_task(spark):
+    """Each of several shards is fitted by itself, in a task of its own."""
+    rows = [(i, i % 2, f"t{i}") for i in range(400)]
+    sample = spark.createDataFrame(rows, "key long, label int, text string")
+
+    def features():
+        return lambda data, off: (np.zeros(len(off) - 1, np.int64), np.ones(len(off) - 1), np.arange(len(off)))
+
+    def one(x, y):
+        from pyspark import TaskContext
+        w = np.zeros(1000)
+        w[TaskContext.get().partitionId()] = len(x)
+        return {"rows": w}
+
+    got = linear.fit_shards(sample, 4, features, one)["rows"]
+    shard = spark.range(400).selectExpr("pmod(xxhash64(id), 4) s").groupBy("s").count().collect()
+    assert sorted(v * 4 for v in got.values()) == sorted(r["count"] for r in shard) and len(got) == 4
+
+
 def edge_docs(spark):
     rows = [(1, None), (2, ""), (3, "123 !!"), (None, "a null id"), (4, "x " * 400_000), (5, "idiot"), (5, "idiot")]
     return spark.createDataFrame([(a, b, "k", 0.5) for a, b in rows], "doc_id long, text string, label string, h double")
@@ -121,6 +169,43 @@ def test_language_edges_and_many_families(spark):
     assert language.predict(long, model, ["doc_id"]).first().lang_pred == "de"
 
 
+def test_language_votes_against_direct_products(spark):
+    """Family by the largest product, then one vote of each pair within it."""
+    rng = random.Random(6)
+    sounds = {"en": "the of ing", "nl": "het van ij", "de": "der und sch", "es": "el de cion", "fr": "le des eau"}
+    rows = [(i, " ".join(rng.choice(sounds[k].split()) for _ in range(12)), k) for i, k in enumerate(list(sounds) * 12)]
+    mixed = [(500 + i, " ".join(rng.choice(" ".join(sounds.values()).split()) for _ in range(7))) for i in range(80)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+
+    def dot(name, text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        idx, _ = language.hashed(raw, np.array([0, len(raw)]), language._gram_tables())
+        w = model.weights[name]
+        return language.SCALE * sum(float(w[i]) for i in idx) / max(len(idx), 1) + float(w[-1])
+
+    def direct(text):
+        family = max(model.groups, key=lambda f: dot(f"family {f}", text)) if len(model.groups) > 1 else next(iter(model.groups))
+        votes = {i: 0.0 for i in model.groups[family]}
+        for a, b in itertools.combinations(model.groups[family], 2):
+            m = dot(f"pair {a} {b}", text)
+            votes[a if m > 0 else b] += 1
+            votes[a] += 1e-3 * math.tanh(m)
+            votes[b] -= 1e-3 * math.tanh(m)
+        return model.languages[max(votes, key=votes.get)]
+
+    docs = spark.createDataFrame(mixed, "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model, ["doc_id"]).collect()}
+    assert got == {i: direct(t) for i, t in mixed} and len(set(got.values())) >= 4
+
+
+def test_queries_on_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF01}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    for query in (queries.op5_ftrl_toxicity, queries.op6_nbsvm_quality, queries.op7_language_hierarchy):
+        out = query(spark, str(tmp_path))
+        assert out.columns[:2] == ["doc_id", "held_out"] and out.count() == 0
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_weights_do_not_depend_on_partitions(spark, parts):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").limit(200).repartition(parts)

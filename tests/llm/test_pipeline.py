@@ -52,3 +52,33 @@ def test_stages_keep_the_columns(spark):
         out = stage(spark, docs, SF001)
         assert out.schema.simpleString() == docs.schema.simpleString()
         assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
+
+
+def write(spark, folder, docs):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
+    assert corpus_pipeline.run(spark, write(spark, tmp_path, docs)).count() == 0
+
+
+def test_null_and_repeated_ids_through_all_stages(spark, tmp_path):
+    """Rows without an id, or with one that others have, are judged one by one."""
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet").orderBy("item_id").first().text
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    clean = [r.text for r in corpus_pipeline.good_quality(spark, docs, SF001).orderBy("doc_id").collect()
+             if r.text and len(r.text) > 300 and not contaminated([(0, r.text)], [(0, bench)], 10)[0][4]][:4]
+    rows = [(None, clean[0]), (None, clean[1]), (None, f"{clean[2]} {bench}"), (7, clean[3]), (7, f"{clean[0][:200]} {bench}"),
+            (None, clean[1])]
+    extra = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    base = docs.filter("doc_id > 1000000").unionByName(extra)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[1:4]):
+        base = corpus_pipeline.stored(stage(spark, base, write(spark, tmp_path / f"s{k}", extra)), f"null-{k}")
+    texts = sorted(r.text for r in base.collect())          # every byte of the second 7 starts earlier
+    assert len(texts) == 4 and texts[0] == "" and all(any(t.startswith(c[:60]) for t in texts) for c in (clean[0], clean[1], clean[3]))
+    out = corpus_pipeline.run(spark, write(spark, tmp_path / "all", extra)).collect()
+    assert {r.doc_id for r in out} <= {None, 7}

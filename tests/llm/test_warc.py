@@ -64,3 +64,22 @@ def test_trained_dictionary_and_empty(spark):
     assert W.read_archives(W.archive(many)).count() == 300
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert W.read_archives(W.archive(none)).count() == 0
+
+
+def test_record_ids_of_repeated_and_null_pages(spark):
+    df, rows = pages(spark)
+    heads = []
+    for r in W.archive(df).collect():
+        heads += [dict(x.split(": ", 1) for x in raw[:raw.index(b"\r\n\r\n")].decode().split("\r\n")[1:])
+                  for raw in W.frames(bytes(r.data))]
+    by_id = {h["WARC-Record-ID"]: h for h in heads}
+    assert len(by_id) == len(heads) == len(rows)
+    for h in heads:
+        if h["WARC-Type"] == "revisit":
+            to = by_id[h["WARC-Refers-To"]]
+            assert to["WARC-Type"] == "response" and to["X-Page-ID"] == h["X-Refers-To-Page"]
+            assert to["WARC-Target-URI"] == h["WARC-Refers-To-Target-URI"]
+            assert to["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+    twice = spark.createDataFrame([(1, None, BIG), (1, None, BIG), (None, None, BIG)], "page_id long, url string, html string")
+    out = W.read_archives(W.archive(twice), payload=False).collect()
+    assert sorted(r.record_type for r in out) == ["response", "response", "revisit"]
