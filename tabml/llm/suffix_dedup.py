@@ -40,6 +40,8 @@ from .common import mix, run_starts, slices, stored, text_buffers, whole_groups
 LENGTH, GRAM = 100, 32
 #: Anchors of one bucket that a task refines by itself.
 HOT = 50_000
+#: A bucket with more than this part of a join's rows is dealt to several tasks.
+PIECES = 1000
 _STEP = 65_000                          # windows whose anchors are packed with 16-bit places
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,6 +153,28 @@ def _several(rows: DataFrame, least: int = 2) -> DataFrame:
     return rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
+def _limit(side: DataFrame) -> int:
+    """Rows from which a bucket is dealt to several tasks: a ``PIECES``th of
+    all that ``side`` (one row a bucket, with ``many`` rows) counts."""
+    return max(1, (side.agg(F.sum("many")).first()[0] or 0) // PIECES)
+
+
+def _marked(rows: DataFrame, side: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with ``many`` where their bucket is over the limit, else null.
+    Fewer than ``PIECES`` buckets can be, so they are broadcast."""
+    return rows.join(F.broadcast(side.filter(F.col("many") > limit).select("bucket", "many")), "bucket", "left")
+
+
+def _meet(rows: DataFrame, side: DataFrame, limit: int, place: str = "place") -> DataFrame:
+    """``rows`` joined with ``side`` (one row a bucket) by bucket.  Both have
+    ``many``; a bucket over the limit is dealt by row to as many pieces as it
+    has limits, and its one row of ``side`` goes to each."""
+    pieces = F.coalesce(F.ceil(F.col("many") / limit), F.lit(1)).cast("long")
+    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("uid", place), pieces)).drop("many")
+    each = side.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
+    return dealt.join(each, ["bucket", "piece"]).drop("piece")
+
+
 def repeats(src: DataFrame, length: int = LENGTH) -> DataFrame:
     """``src``: ``uid`` (distinct, in document order) and ``text``.  Returns
     ``uid``, ``copy`` (the whole text is an earlier document's) and the byte
@@ -161,9 +185,11 @@ def repeats(src: DataFrame, length: int = LENGTH) -> DataFrame:
     copies = stored(digests.join(groups, "digest").filter("uid <> first").select("uid"), "copies")
 
     rows = _anchor_rows(src, length)
-    buckets = stored(_several(rows).select("bucket"), "buckets")
-    shared = stored(rows.join(buckets, "bucket", "left_semi").join(copies, "uid", "left_anti"), "anchors")
-    kept = shared.join(_several(shared), "bucket").select("uid", "place", (F.col("n") > HOT).alias("hot"))
+    buckets = stored(_several(rows).withColumnRenamed("n", "many"), "buckets")
+    limit = _limit(buckets)
+    shared = stored(_meet(_marked(rows, buckets, limit), buckets, limit).join(copies, "uid", "left_anti"), "anchors")
+    left = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("many").alias("many")).filter("n > 1")
+    kept = _meet(shared, left, limit).select("uid", "place", (F.col("n") > HOT).alias("hot"))
     places = stored(kept.groupBy("uid").agg(F.collect_list(F.struct("place", "hot")).alias("places"))
                     .select("uid", F.col("places.place").alias("place"), F.col("places.hot").alias("hot")), "places")
 
@@ -239,8 +265,10 @@ def repeats(src: DataFrame, length: int = LENGTH) -> DataFrame:
     found = local.mapInArrow(judge, "uid long, start int, end int")
     if any_hot:
         wins = context.filter("context is null")
-        lead = wins.groupBy("bucket").agg(F.min(F.struct("uid", "first")).alias("lead"))
-        found = found.unionByName(wins.join(lead, "bucket").filter(F.struct("uid", "first") != F.col("lead"))
+        lead = stored(wins.groupBy("bucket").agg(F.min(F.struct("uid", "first")).alias("lead"),
+                                                 F.count(F.lit(1)).alias("many")).filter("many > 1"), "leads")
+        most = _limit(lead)
+        found = found.unionByName(_meet(_marked(wins, lead, most), lead, most, "first").filter(F.struct("uid", "first") != F.col("lead"))
                                   .select("uid", F.col("first").alias("start"), (F.col("first") + length).alias("end")))
     spans_of = found.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("s")) \
         .select("uid", F.lit(False).alias("copy"), F.col("s.start").alias("starts"), F.col("s.end").alias("ends"))

@@ -76,3 +76,16 @@ def test_documents_as_brute_force(spark):
     want = dict(zip([i for i, _ in rows], brute([t for _, t in rows], 100)))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op9_bucket_pointer(spark, SF01).collect()}
     assert got == want
+
+
+def test_hot_buckets_meet_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(S, "PIECES", 10)
+    rows = spark.createDataFrame([(1, i, i % 3) for i in range(900)] + [(b, b, 0) for b in (2, 2, 3, 4)] + [(9, 9, 9)],
+                                 "bucket long, uid long, place int")
+    side = spark.createDataFrame([(1, 900, "x"), (2, 2, "y"), (3, 1, "z"), (4, 1, "z")], "bucket long, many long, tag string")
+    limit = S._limit(side)
+    marked = S._marked(rows, side, limit)
+    assert limit == 90 and {r.bucket for r in marked.filter("many is not null").select("bucket").distinct().collect()} == {1}
+    got = S._meet(marked, side, limit).collect()
+    assert sorted((r.bucket, r.uid, r.place, r.many, r.tag) for r in got) == sorted(
+        [(1, i, i % 3, 900, "x") for i in range(900)] + [(2, 2, 0, 2, "y")] * 2 + [(3, 3, 0, 1, "z"), (4, 4, 0, 1, "z")])
