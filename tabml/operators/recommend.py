@@ -24,13 +24,20 @@ from .models import cached
 INT_MAX = 2 ** 31 - 1
 # Block sizes of the factor top-k.  Every user is copied once per item block
 # and every item once per user block, so the shuffle is about
-# U*I*(1/ITEM_BLOCK + 1/USER_BLOCK) rows: blocks are made large, and memory is
-# bounded by scoring a block in USER_CHUNK x ITEM_CHUNK pieces (32 MB of
-# scores) while each user keeps a running top k.
+# U*I*(1/ITEM_BLOCK + 1/USER_BLOCK) rows: blocks are made large (short vectors
+# up to USER_VALUES numbers a block), and memory is bounded by scoring a block
+# USER_CHUNK users by ITEM_CHUNK items at a time (by SEEDS * ITEM_CHUNK for the
+# first ones) while each user keeps a running top k.
 USER_BLOCK = 4096
+USER_VALUES = 1 << 19
 ITEM_BLOCK = 65536
-USER_CHUNK = 1024
-ITEM_CHUNK = 4096
+USER_CHUNK = 4096
+ITEM_CHUNK = 128
+SEEDS = 8
+#: Users a block has at least when blocks are made to fill the task slots.
+LEAST_USERS = 1024
+#: Candidates of a user in one chunk up to which they are scored one by one.
+FEW = 64
 
 
 def id_map(df: DataFrame, key: str, out: str = "id") -> DataFrame:
@@ -155,30 +162,140 @@ def _merge_top_k(best_s, best_i, s, i, k):
     return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
 
 
+def _pair_scores(U: np.ndarray, I: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Dot products of row pairs, summed in the order of the components, so a
+    score does not depend on what is scored beside it."""
+    s = U[rows, 0] * I[cols, 0]
+    for j in range(1, U.shape[1]):
+        s += U[rows, j] * I[cols, j]
+    return s
+
+
+def _merge_all(U, I, ids, best_s, best_i, k):
+    """Merge each user's top k of all items ``I`` into the kept ones."""
+    S = np.zeros((len(U), len(I)))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for j in range(U.shape[1]):
+            S += np.multiply.outer(U[:, j], I[:, j])
+    S[np.isnan(S)] = -np.inf                                # a NaN score ranks last
+    _, cols = _top_k_cells(S, k)
+    cols = cols.reshape(len(U), min(k, len(I)))
+    return _merge_top_k(best_s, best_i, np.take_along_axis(S, cols, 1), ids[cols], k)
+
+
+def _merge_cells(mask, U, I, ids, best_s, best_i, k):
+    """The same where all that can be in the top k is marked in ``mask``.
+    Few cells of a user are scored one by one, many (ties) all together."""
+    count = mask.sum(axis=1)
+    many = count > max(FEW, 4 * k)
+    width = min(k, best_s.shape[1] + len(I))
+    out_s, out_i = np.empty((len(U), width)), np.empty((len(U), width), dtype=np.int64)
+    for lo in range(0, int(many.sum()), LEAST_USERS):
+        at = np.flatnonzero(many)[lo:lo + LEAST_USERS]
+        out_s[at], out_i[at] = _merge_all(U[at], I, ids, best_s[at], best_i[at], k)
+    rows, cols = np.nonzero(mask & ~many[:, None])
+    few = np.flatnonzero(~many)
+    r = np.concatenate([np.repeat(few, best_s.shape[1]), rows])
+    s = np.concatenate([best_s[few].ravel(), _pair_scores(U, I, rows, cols)])
+    i = np.concatenate([best_i[few].ravel(), ids[cols]])
+    order = np.lexsort((i, -s, r))
+    pick = order[np.searchsorted(r[order], few)[:, None] + np.arange(width)]
+    out_s[few], out_i[few] = s[pick], i[pick]
+    return out_s, out_i
+
+
+def _leaves(V: np.ndarray, size: int) -> list[np.ndarray]:
+    """Rows parted by medians of their widest component, ``size`` at most."""
+    out, todo = [], [np.arange(len(V))]
+    while todo:
+        at = todo.pop()
+        if len(at) <= size:
+            out.append(at)
+            continue
+        x = V[at]
+        half = np.argpartition(x[:, np.argmax(x.max(axis=0) - x.min(axis=0))], len(at) // 2)
+        todo += [at[half[:len(at) // 2]], at[half[len(at) // 2:]]]
+    return [at for at in out if len(at)]
+
+
+def _plain(V: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of vectors, and which can be scaled to length 1 in single precision."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        n = np.sqrt((V * V).sum(axis=1))
+    return n, np.isfinite(n) & (n < 1e100)
+
+
 def score_block(U: np.ndarray, I: np.ndarray, item_ids: np.ndarray, k: int,
                 user_chunk: int = USER_CHUNK, item_chunk: int = ITEM_CHUNK):
     """Exact top-k items per user row of ``U`` against ``I`` (items sorted by
     id).  Returns ``(scores, ids)`` of shape (n_users, min(k, n_items)).
-    Scores are made USER_CHUNK x ITEM_CHUNK at a time; each chunk gives its
-    own exact top k (see :func:`_top_k_cells`) which is merged into the
-    running top k."""
-    n_u, n_i = U.shape[0], I.shape[0]
+
+    The longest items give every user a first top k.  The others are parted
+    into cells of ITEM_CHUNK near ones; a cell with centre c and radius r meets
+    the users u for whom c.u + r |u|, or its longest vector times |u|, reaches
+    the k-th score so far.  There products in single precision of vectors
+    scaled to length 1 tell which items reach it, give or take ``margin``, the
+    most that such a product can be off; those are scored in double precision.
+    So no item that belongs to the top k is passed over, and most pairs cost
+    no more than a bound of their cell.  Vectors of no length, or that are not
+    finite, are scored with everything."""
+    n_u, n_i, d = len(U), len(I), U.shape[1]
     kk = min(k, n_i)
-    out_s = np.empty((n_u, kk))
-    out_i = np.empty((n_u, kk), dtype=np.int64)
-    for u0 in range(0, n_u, user_chunk):
-        Uc = U[u0:u0 + user_chunk]
-        best_s = np.full((Uc.shape[0], 0), -np.inf)
-        best_i = np.zeros((Uc.shape[0], 0), dtype=np.int64)
-        for i0 in range(0, n_i, item_chunk):
-            S = Uc @ I[i0:i0 + item_chunk].T
-            S = np.where(np.isnan(S), -np.inf, S)         # a NaN score ranks last
-            rows, cols = _top_k_cells(S, k)
-            c = min(k, S.shape[1])
-            cols = cols.reshape(S.shape[0], c)
-            best_s, best_i = _merge_top_k(best_s, best_i, np.take_along_axis(S, cols, 1),
-                                          item_ids[i0:i0 + item_chunk][cols], kk)
-        out_s[u0:u0 + user_chunk], out_i[u0:u0 + user_chunk] = best_s, best_i
+    out_s, out_i = np.empty((n_u, kk)), np.empty((n_u, kk), dtype=np.int64)
+    u_len, u_ok = _plain(U)
+    i_len, i_ok = _plain(I)
+    u_ok &= u_len > 1e-100
+    seeds = max(k, SEEDS * item_chunk)
+    good, odd = np.flatnonzero(i_ok), np.flatnonzero(~i_ok)
+    if not d or not len(good):
+        u_ok[:] = False
+    else:
+        longest = i_len[good].max() or 1.0
+        V = I / longest
+        order = good[np.argsort(-i_len[good], kind="stable")]
+        first, rest = np.sort(order[:seeds]), order[seeds:]
+        cells = [np.sort(rest[at]) for at in _leaves(V[rest], item_chunk)]
+        centre = np.array([V[at].mean(axis=0) for at in cells]).reshape(-1, d)
+        radius = np.array([np.sqrt(((V[at] - c) ** 2).sum(axis=1).max()) for at, c in zip(cells, centre)])
+        top = np.array([i_len[at].max() / longest for at in cells])
+        single = np.where(i_ok[:, None], V, 0.0).astype(np.float32)
+    margin = (d + 4) * 2.0 ** -23
+    users = np.flatnonzero(u_ok)
+    for lo in range(0, len(users), user_chunk):
+        at_u = users[lo:lo + user_chunk]
+        Uc, scale = U[at_u], u_len[at_u]
+        unit = Uc / scale[:, None]
+        u32 = unit.astype(np.float32)
+        S = u32 @ single[first].T
+        c = min(k, len(first))
+        mask = S >= (np.partition(S, S.shape[1] - c, axis=1)[:, -c] - 2 * margin)[:, None]
+        best_s, best_i = _merge_cells(mask, Uc, I[first], item_ids[first], np.empty((len(Uc), 0)),
+                                      np.empty((len(Uc), 0), dtype=np.int64), k)
+        scale = scale * longest
+        if cells:
+            bound = np.minimum(unit @ centre.T + radius, top) + margin
+            for q in np.argsort(-bound.max(axis=0), kind="stable"):
+                limit = best_s[:, -1] / scale - margin
+                on = np.flatnonzero(bound[:, q] >= limit)
+                if not len(on):
+                    continue
+                at = cells[q]
+                mask = u32[on] @ single[at].T >= limit[on, None].astype(np.float32)
+                hit = mask.any(axis=1)
+                if hit.any():
+                    on = on[hit]
+                    best_s[on], best_i[on] = _merge_cells(mask[hit], Uc[on], I[at], item_ids[at], best_s[on], best_i[on], k)
+        for i0 in range(0, len(odd), seeds):
+            at = odd[i0:i0 + seeds]
+            best_s, best_i = _merge_all(Uc, I[at], item_ids[at], best_s, best_i, k)
+        out_s[at_u], out_i[at_u] = best_s, best_i
+    users = np.flatnonzero(~u_ok)
+    for lo in range(0, len(users), user_chunk):
+        at_u = users[lo:lo + user_chunk]
+        best_s, best_i = np.empty((len(at_u), 0)), np.empty((len(at_u), 0), dtype=np.int64)
+        for i0 in range(0, n_i, seeds):
+            best_s, best_i = _merge_all(U[at_u], I[i0:i0 + seeds], item_ids[i0:i0 + seeds], best_s, best_i, k)
+        out_s[at_u], out_i[at_u] = best_s, best_i
     return out_s, out_i
 
 
@@ -198,10 +315,10 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
     ties go to the smaller item id.
 
     Both sides are hash-blocked (block counts from one count per side, so a
-    block holds at most USER_BLOCK users / ITEM_BLOCK items whatever the
-    data size); every (user block, item block) pair meets once in a
-    cogroup, where numpy scores it chunk by chunk and only each user's top k
-    leaves the task.  A final per-user top k merges ``item_blocks * k``
+    block holds about USER_BLOCK users, more of short vectors, and ITEM_BLOCK
+    items whatever the data size); every (user block, item block) pair meets
+    once in a cogroup, where :func:`score_block` scores it chunk by chunk and
+    only each user's top k leaves the task.  A final per-user top k merges ``item_blocks * k``
     candidates.  No user x item pair is ever materialised as a row.  Rows
     without a usable vector are left out; a NaN score ranks last."""
     u = users.select(F.col(user_id).cast("bigint").alias("uid"),
@@ -210,13 +327,13 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
                      F.col(item_vec).cast("array<double>").alias("v"))
     u, i = usable_vectors(u), usable_vectors(i)
     if user_blocks is None or item_blocks is None:
-        n_u = u.agg(F.count(F.lit(1))).head()[0]
+        n_u, wide = u.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
         n_i = i.agg(F.count(F.lit(1))).head()[0]
-        # enough user blocks to fill the task slots (at least ~USER_CHUNK
+        # enough user blocks to fill the task slots (at least ~LEAST_USERS
         # users each); at scale the size-based count is the larger one
         slots = users.sparkSession.sparkContext.defaultParallelism
-        user_blocks = user_blocks or max(_block_count(n_u, USER_BLOCK),
-                                         min(slots, max(1, n_u // USER_CHUNK)))
+        user_blocks = user_blocks or max(_block_count(n_u, max(USER_BLOCK, USER_VALUES // max(1, wide or 1))),
+                                         min(slots, max(1, n_u // LEAST_USERS)))
         item_blocks = item_blocks or _block_count(n_i, ITEM_BLOCK)
     ub = F.pmod(F.xxhash64("uid"), F.lit(user_blocks)).cast("int")
     ib = F.pmod(F.xxhash64("iid"), F.lit(item_blocks)).cast("int")

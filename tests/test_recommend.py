@@ -84,3 +84,39 @@ def test_top_k_chunked_scoring_equals_brute_force(spark):
     for r in sorted(got, key=lambda r: (r.user, r.rank)):
         per.setdefault(r.user, []).append(r.item)
     assert per == {u: [i for i, _ in lst] for u, lst in want.items()}
+
+
+def _whole(U, I, ids, k):
+    """Every score, its components summed in order; NaN ranks last, ties to the smaller id."""
+    with np.errstate(invalid="ignore"):
+        S = sum(np.multiply.outer(U[:, j], I[:, j]) for j in range(U.shape[1]))
+    S = np.where(np.isnan(S), -np.inf, S)
+    order = np.lexsort((np.broadcast_to(ids, S.shape), -S), axis=1)[:, :k]
+    return np.take_along_axis(S, order, 1), ids[order]
+
+
+def test_score_block_equals_all_pairs_bit_for_bit():
+    rng = np.random.default_rng(8)
+    for n, d, k, chunks in ((3000, 10, 5, (256, 32)), (3000, 10, 5, (4096, 128)), (700, 3, 40, (50, 4)), (9, 2, 20, (4, 2))):
+        U, I = rng.normal(size=(300, d)), rng.normal(size=(n, d)) * rng.uniform(0.2, 2, (n, 1))
+        I[n // 2:n // 2 + n // 9] = I[:n // 9]                  # equal vectors: ties everywhere
+        I[-n // 4:] = I[0] * 1.5                                # and one that very many share
+        U[5], U[6], U[7, 0], U[8], U[9] = 0, 1e-200, np.nan, U[8] * 1e150, np.inf
+        I[3], I[n // 3, 1], I[n // 3 + 1], I[n // 3 + 2] = 0, np.nan, 1e150, -np.inf
+        U[10:200] += 3                                          # most users alike
+        ids = np.sort(rng.choice(10 * n, n, replace=False))
+        s, i = rc.score_block(U, I, ids, k, *chunks)
+        want_s, want_i = _whole(U, I, ids, k)
+        assert (s == want_s).all() and (i == want_i).all()
+
+
+def test_score_block_passes_over_most_pairs(monkeypatch):
+    rng = np.random.default_rng(9)
+    U, I, scored = rng.normal(size=(500, 6)), rng.normal(size=(20000, 6)), []
+    one, whole = rc._pair_scores, rc._merge_all
+    monkeypatch.setattr(rc, "_pair_scores", lambda *a: scored.append(len(a[2])) or one(*a))
+    monkeypatch.setattr(rc, "_merge_all", lambda *a: scored.append(len(a[0]) * len(a[1])) or whole(*a))
+    s, i = rc.score_block(U, I, np.arange(20000), 5)
+    want_s, want_i = _whole(U, I, np.arange(20000), 5)
+    assert (s == want_s).all() and (i == want_i).all()
+    assert sum(scored) < 500 * 20000 / 100
