@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .features import feature_names
 
+#: Size, as shuffled, of the parts that :func:`pin` deals a table to.  Kept as
+#: vectors, and weighted for a forest's trees, rows take several times as much.
+PART = "16m"
+
 
 @contextlib.contextmanager
 def cached(df: DataFrame):
@@ -42,14 +46,34 @@ def cached(df: DataFrame):
 def pin(df: DataFrame, cols=None, partitions: int | None = None) -> DataFrame:
     """Project, persist (memory, spilling to disk) and materialise ``df``
     once; the caller unpersists it.  The scan's partitioning is kept unless
-    the caller asks for ``partitions``, e.g. for a file of one row group that
-    is read by one task; then every row is dealt round-robin before it is
-    kept, so there is one copy."""
+    the caller asks for at least ``partitions``, e.g. for a file of one row
+    group that is read by one task; then every row is dealt round-robin before
+    it is kept, into parts of about ``PART`` (Spark's rebalance), so no part
+    grows with the table.  Only a table too small for ``partitions``
+    such parts is dealt once more, into just so many."""
     data = df.select(*cols) if cols else df
-    if partitions:
-        data = data.repartition(partitions)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    data.write.format("noop").mode("overwrite").save()          # fills the cache inside the JVM
+    kept = _keep(data.hint("rebalance") if partitions else data)
+    if partitions and kept.rdd.getNumPartitions() < partitions:
+        few, kept = kept, _keep(kept.repartition(partitions))
+        few.unpersist()
+    return kept
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    """Persist and fill; a rebalanced table is kept in parts of ``PART``, which
+    Spark by default does not let a kept table do."""
+    conf = df.sparkSession.conf
+    wanted = {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": PART}
+    before = {name: conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            conf.set(name, value)
+        data = df.persist(StorageLevel.MEMORY_AND_DISK)
+        data.write.format("noop").mode("overwrite").save()      # fills the cache inside the JVM
+    finally:
+        for name, value in before.items():
+            conf.set(name, value) if value is not None else conf.unset(name)
     return data
 
 

@@ -120,3 +120,16 @@ def test_sse_null_cluster_meets_its_centre(spark):
     df = spark.createDataFrame([(None, [0.0]), (None, [2.0]), (1, [5.0])], "c int, x array<double>")
     out = {r.cluster: (r.n, r.sse) for r in me.sse(df, "x", "c").collect()}
     assert out == {None: (2, 2.0), 1: (1, 0.0)}
+
+
+def test_pinned_parts_do_not_grow_with_the_table(spark, monkeypatch):
+    """At least as many parts as asked for, and more where these would be larger than ``PART``."""
+    monkeypatch.setattr(mo, "PART", "1m", raising=False)
+    advised = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for n in (10000, 4000000):
+        data = mo.pin(spark.range(0, n, 1, 4).select("id", F.rand(1).alias("x")), partitions=3)
+        sizes = data.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 250000
+        assert data.agg(F.count_distinct("id")).first()[0] == n
+        data.unpersist()
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == advised
