@@ -26,14 +26,24 @@ def _violation(slope: np.ndarray, beta: np.ndarray, l1: float, l2: float) -> flo
     return float(at.max(initial=0.0))
 
 
-def _slopes(scored: DataFrame, residual, features: str, label: str):
-    """Means of residual times feature, feature variances, and the label's."""
+#: Features up to which their sums are columns of one aggregate.
+COLUMNS = 64
+
+
+def _slopes(scored: DataFrame, residual, features: str, label: str, d: int):
+    """Means of residual times feature, feature variances, and the label's:
+    plain sums for up to ``COLUMNS`` features, which whole-stage codegen adds
+    up without making an object a row, else Spark ML's summarizer."""
     x = vector_to_array(F.col(features))
-    return scored.select(F.col(features).alias("x"), residual.alias("r"), F.col(label).cast("double").alias("y"),
-                         array_to_vector(F.transform(x, lambda v: v * residual)).alias("rx")) \
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("r").alias("r"), F.var_pop("y").alias("vy"),
-             vector_to_array(Summarizer.mean(F.col("rx"))).alias("rx"),
-             vector_to_array(Summarizer.variance(F.col("x"))).alias("vx")).first()
+    rows = scored.select(x.alias("x"), residual.alias("r"), F.col(label).cast("double").alias("y"))
+    shared = [F.count(F.lit(1)).alias("n"), F.avg("r").alias("r"), F.var_pop("y").alias("vy")]
+    if d <= COLUMNS:
+        each = [F.get("x", F.lit(j)) for j in range(d)]
+        return rows.agg(*shared, F.array(*[F.avg(v * F.col("r")) for v in each]).alias("rx"),
+                        F.array(*[F.var_samp(v) for v in each]).alias("vx")).first()
+    rows = rows.select("r", "y", array_to_vector("x").alias("x"), array_to_vector(F.transform("x", lambda v: v * F.col("r"))).alias("rx"))
+    return rows.agg(*shared, vector_to_array(Summarizer.mean(F.col("rx"))).alias("rx"),
+                    vector_to_array(Summarizer.variance(F.col("x"))).alias("vx")).first()
 
 
 def _report(spark, n: int, violation: float, intercept: float, coef: np.ndarray) -> DataFrame:
@@ -47,7 +57,8 @@ def linear_kkt(df: DataFrame, model, features: str = "features", label: str = "l
     (features and label by their population deviations, the penalty by the
     label's) is from 0.  Needs standardised features and an intercept."""
     pred = model.getPredictionCol()
-    r = _slopes(model.transform(df.select(features, label)), F.col(pred) - F.col(label).cast("double"), features, label)
+    r = _slopes(model.transform(df.select(features, label)), F.col(pred) - F.col(label).cast("double"), features, label,
+                model.numFeatures)
     coef, sy = model.coefficients.toArray(), float(np.sqrt(r.vy))
     sx = np.sqrt(np.array(r.vx) * (r.n - 1) / r.n)
     live = sx > 0
@@ -61,7 +72,7 @@ def logistic_kkt(df: DataFrame, model, features: str = "features", label: str =
     """The same for a binary logistic elastic net: features scaled by their
     sample deviations, the penalty as given."""
     p = vector_to_array(F.col(model.getProbabilityCol()))[1]
-    r = _slopes(model.transform(df.select(features, label)), p - F.col(label).cast("double"), features, label)
+    r = _slopes(model.transform(df.select(features, label)), p - F.col(label).cast("double"), features, label, model.numFeatures)
     coef, sx = model.coefficients.toArray(), np.sqrt(np.array(r.vx))
     live = sx > 0
     reg, alpha = model.getRegParam(), model.getElasticNetParam()

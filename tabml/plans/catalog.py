@@ -10,6 +10,7 @@ on both sides and doubles are rounded to 4 decimals on both sides.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -1260,6 +1261,21 @@ def _kkt_rows(spark, fits):
     return out
 
 
+@contextlib.contextmanager
+def _assembled(df: DataFrame, cols, stages):
+    """``(label, features)`` of a table that is fitted and scored many times:
+    indexed, encoded and assembled once, and kept in place of the raw columns."""
+    raw = mo.pin(df, cols, SPREAD)
+    try:
+        data = mo.pin(Pipeline(stages=stages).fit(raw).transform(raw), ["label", "features"])
+    finally:
+        raw.unpersist()
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
 _KKT_GRID = [(0.0, 0.0), (0.05, 0.0), (0.05, 0.5), (0.05, 1.0)]
 
 
@@ -1275,8 +1291,7 @@ def enet_kkt(spark, d):
     li = table(spark, d, "lineitem")
     stages = fe.feature_stages(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"], handle_invalid="error")
     t = li.withColumn("label", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    with mo.prepared(t, ["label", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"], SPREAD) as base:
-        data = Pipeline(stages=stages).fit(base).transform(base)
+    with _assembled(t, ["label", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"], stages) as data:
         return mo.small(_kkt_rows(spark, [
             ((reg * 10000.0, a), op.linear_kkt(data, mo.fit_linear(data, reg=reg * 10000.0, enet=a, max_iter=1000, tol=1e-12)))
             for reg, a in _KKT_GRID]))
@@ -1289,8 +1304,7 @@ def logistic_kkt(spark, d):
     stages = fe.feature_stages(["l_returnflag"], ["l_extendedprice", "l_discount", "l_tax"], handle_invalid="error")
     t = li.withColumn("label", (F.col("l_quantity") + 40 * F.col("l_tax") + 10 * (F.col("l_returnflag") == "R").cast("int") >= 28)
                       .cast("double"))
-    with mo.prepared(t, ["label", "l_returnflag", "l_extendedprice", "l_discount", "l_tax"], SPREAD) as base:
-        data = Pipeline(stages=stages).fit(base).transform(base)
+    with _assembled(t, ["label", "l_returnflag", "l_extendedprice", "l_discount", "l_tax"], stages) as data:
         return mo.small(_kkt_rows(spark, [
             ((reg, a), op.logistic_kkt(data, mo.fit_logistic(data, reg=reg, enet=a, max_iter=1000, tol=1e-12)))
             for reg, a in _KKT_GRID]))

@@ -34,6 +34,19 @@ def test_linear_and_logistic(spark):
     assert op.linear_kkt(lin.filter("a > 0"), other).first().violation > 1e-2      # other rows: no minimum there
 
 
+def test_slopes_are_plain_sums_and_equal_the_summarizers(spark, monkeypatch):
+    log = _rows(spark).withColumnRenamed("z", "label")
+    model = mo.fit_logistic(log, reg=0.01, max_iter=2)
+    used, summarize = [], op.Summarizer.mean
+    monkeypatch.setattr(op.Summarizer, "mean", lambda *a: used.append(1) or summarize(*a))
+    few = op.logistic_kkt(log, model).first()
+    assert not used                                            # no vector object per row
+    monkeypatch.setattr(op, "COLUMNS", 3, raising=False)
+    many = op.logistic_kkt(log, model).first()
+    assert used and few.n == many.n == 400 and few.nonzero == many.nonzero
+    assert abs(few.violation - many.violation) < 1e-12 and abs(few.intercept_violation - many.intercept_violation) < 1e-12
+
+
 def test_kmeans_fixed_point(spark):
     df = _rows(spark)
     done = op.kmeans_fixed_point(df, mo.fit_kmeans(df, k=4, seed=2, max_iter=500, tol=0.0)).first()
