@@ -106,16 +106,20 @@ def als_residuals(ratings: DataFrame, model, user: str, item: str, rating: str,
     sums, combined map-side, so a user with very many ratings is no single
     task's work.  Ratings without a vector on either side do not count."""
     rank = model.rank
-    u = model.userFactors.select(F.col("id").alias("_u"), F.col("features").cast("array<double>").alias("_uf"))
-    v = model.itemFactors.select(F.col("id").alias("_i"), F.col("features").cast("array<double>").alias("_vf"))
+    u = model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("_uf"))
+    v = model.itemFactors.select(F.col("id").alias("_i"), F.col("features").alias("_vf"))
+    # the vectors travel as the floats they are
+    exact = u.withColumn("_uf", F.col("_uf").cast("array<double>"))
     rows = ratings.select(F.col(user).cast("int").alias("_u"), F.col(item).cast("int").alias("_i"),
-                          F.col(rating).cast("float").cast("double").alias("_r")) \
-        .join(v, "_i").join(u, "_u").withColumn("_e", dot("_uf", "_vf") - F.col("_r"))
+                          F.col(rating).cast("float").alias("_r")) \
+        .join(v, "_i").join(u, "_u").select("_u", F.col("_uf").cast("array<double>").alias("_uf"),
+                                            F.col("_vf").cast("array<double>").alias("_vf"), F.col("_r").cast("double").alias("_r")) \
+        .withColumn("_e", dot("_uf", "_vf") - F.col("_r"))
     sums = rows.groupBy("_u").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col("_e") * F.get("_vf", F.lit(j))).alias(f"_g{j}") for j in range(rank)],
         *[F.sum(F.col("_r") * F.get("_vf", F.lit(j))).alias(f"_b{j}") for j in range(rank)])
     left = F.array(*[F.abs(F.col(f"_g{j}") + F.lit(float(reg)) * F.col("n") * F.get("_uf", F.lit(j))) for j in range(rank)])
     right = F.array(*[F.abs(F.col(f"_b{j}")) for j in range(rank)])
-    return sums.join(u, "_u").select(F.col("_u").alias("user"), "n",
+    return sums.join(exact, "_u").select(F.col("_u").alias("user"), "n",
                                      (F.array_max(left) / F.greatest(F.array_max(right), F.lit(1e-300))).alias("residual"))

@@ -34,6 +34,8 @@ ITEM_BLOCK = 65536
 USER_CHUNK = 4096
 ITEM_CHUNK = 128
 SEEDS = 8
+#: Ratings of an ALS block up to which there is one for every other task slot.
+BLOCK_RATINGS = 40_000_000
 #: Users a block has at least when blocks are made to fill the task slots.
 LEAST_USERS = 1024
 #: Candidates of a user in one chunk up to which they are scored one by one.
@@ -67,20 +69,27 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
     iterations, lambda 0.1, rank 10).  Ids must fit in a 32-bit int; use
     :func:`id_map` first for wider keys.  ``cold_start='drop'`` removes rows
     with unknown user or item from ``transform`` output."""
-    # Spark's default is 10 user and 10 item blocks whatever the cluster;
-    # each ALS stage has one task per block, so follow the task slots.
-    blocks = blocks or max(2, ratings.sparkSession.sparkContext.defaultParallelism)
-    kw = {"numUserBlocks": blocks, "numItemBlocks": blocks}
-    als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
-              regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
-              checkpointInterval=10, **kw)
     # ALS scans its input twice before it builds (and persists) its own
     # user/item rating blocks; keep the input for the fit only, so the joins
     # that produced the ratings run once.
     with cached(ratings.select(user, item, rating)) as r:
+        blocks = blocks or als_blocks(r)
+        als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
+                  regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
+                  checkpointInterval=10, numUserBlocks=blocks, numItemBlocks=blocks)
         return als.fit(r)
 
 
+def als_blocks(ratings: DataFrame) -> int:
+    """User (and item) blocks of a fit.  Every half step sends a vector to
+    each block that has a rating of it, so what is shuffled grows with the
+    blocks until there are as many as ratings of a user: half the task slots
+    keep the shuffle low, and more are taken only where a block would hold
+    more than BLOCK_RATINGS."""
+    slots = ratings.sparkSession.sparkContext.defaultParallelism
+    return max(2, slots // 2, _block_count(ratings.count(), BLOCK_RATINGS))
+
+
 def score_holdout(model, train: DataFrame, holdout: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     """Score held-out ratings and account for every one of them, one row
     ``(n, scored, unknown_user, unknown_item, unknown_both, rmse, mae)``.

@@ -120,3 +120,32 @@ def test_score_block_passes_over_most_pairs(monkeypatch):
     want_s, want_i = _whole(U, I, np.arange(20000), 5)
     assert (s == want_s).all() and (i == want_i).all()
     assert sum(scored) < 500 * 20000 / 100
+
+
+def test_als_blocks_follow_slots_and_ratings(spark, monkeypatch):
+    """Half the task slots, as each block more is sent every vector once more; more only by size."""
+    r = spark.range(1000).select((F.col("id") % 50).cast("int").alias("u"), (F.col("id") % 37).cast("int").alias("i"),
+                                 (F.col("id") % 5).cast("float").alias("r"))
+    slots, seen = spark.sparkContext.defaultParallelism, []
+
+    def als(*a, **kw):
+        seen.append((kw["numUserBlocks"], kw["numItemBlocks"]))
+        return whole(*a, **kw)
+
+    whole = rc.ALS
+    monkeypatch.setattr(rc, "ALS", als)
+    rc.fit_als(r, "u", "i", "r", rank=2, max_iter=1)
+    monkeypatch.setattr(rc, "BLOCK_RATINGS", 90, raising=False)
+    rc.fit_als(r, "u", "i", "r", rank=2, max_iter=1)
+    rc.fit_als(r, "u", "i", "r", rank=2, max_iter=1, blocks=3)
+    half = max(2, slots // 2)
+    assert seen == [(half, half), (max(half, 12), max(half, 12)), (3, 3)]
+
+
+def test_ratings_are_joined_once_per_holdout(spark, monkeypatch):
+    from tabml.plans import catalog
+    kept, prepared = [], catalog.mo.prepared
+    monkeypatch.setattr(catalog.mo, "prepared", lambda df, *a: kept.append(df.columns) or prepared(df, *a))
+    row = catalog.rating_holdout(spark, "/root/testdata/sf0.001").first()
+    assert kept == [["user", "item", "rating"]]
+    assert row.n == row.scored + row.unknown_user + row.unknown_item + row.unknown_both and 0 < row.mae <= row.rmse
