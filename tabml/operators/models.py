@@ -30,12 +30,12 @@ PART = "16m"
 
 
 @contextlib.contextmanager
-def cached(df: DataFrame):
-    """Persist ``df`` (memory, spilling to disk) for the duration of an
-    iterative fit, unless the caller already did."""
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Persist ``df`` (by default in memory, spilling to disk) for the duration
+    of an iterative fit, unless the caller already did."""
     mine = not df.is_cached
     if mine:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.persist(level)
     try:
         yield df
     finally:
@@ -43,8 +43,9 @@ def cached(df: DataFrame):
             df.unpersist()
 
 
-def pin(df: DataFrame, cols=None, partitions: int | None = None) -> DataFrame:
-    """Project, persist (memory, spilling to disk) and materialise ``df``
+def pin(df: DataFrame, cols=None, partitions: int | None = None,
+        level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Project, persist (by default in memory, spilling to disk) and materialise ``df``
     once; the caller unpersists it.  The scan's partitioning is kept unless
     the caller asks for at least ``partitions``, e.g. for a file of one row
     group that is read by one task; then every row is dealt round-robin before
@@ -52,14 +53,14 @@ def pin(df: DataFrame, cols=None, partitions: int | None = None) -> DataFrame:
     grows with the table.  Only a table too small for ``partitions``
     such parts is dealt once more, into just so many."""
     data = df.select(*cols) if cols else df
-    kept = _keep(data.hint("rebalance") if partitions else data)
+    kept = _keep(data.hint("rebalance") if partitions else data, level)
     if partitions and kept.rdd.getNumPartitions() < partitions:
-        few, kept = kept, _keep(kept.repartition(partitions))
+        few, kept = kept, _keep(kept.repartition(partitions), level)
         few.unpersist()
     return kept
 
 
-def _keep(df: DataFrame) -> DataFrame:
+def _keep(df: DataFrame, level: StorageLevel) -> DataFrame:
     """Persist and fill; a rebalanced table is kept in parts of ``PART``, which
     Spark by default does not let a kept table do."""
     conf = df.sparkSession.conf
@@ -69,7 +70,7 @@ def _keep(df: DataFrame) -> DataFrame:
     try:
         for name, value in wanted.items():
             conf.set(name, value)
-        data = df.persist(StorageLevel.MEMORY_AND_DISK)
+        data = df.persist(level)
         data.write.format("noop").mode("overwrite").save()      # fills the cache inside the JVM
     finally:
         for name, value in before.items():
@@ -78,12 +79,13 @@ def _keep(df: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def prepared(df: DataFrame, cols=None, partitions: int | None = None):
+def prepared(df: DataFrame, cols=None, partitions: int | None = None,
+             level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Pin a job's prepared input (see :func:`pin`) for its several passes
     (index fit, fits, evaluations) and release it when the job is done.
     Without this every pass re-runs the scan and the joins that produced
     the table."""
-    data = pin(df, cols, partitions)
+    data = pin(df, cols, partitions, level)
     try:
         yield data
     finally:

@@ -14,6 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ ITEM_CHUNK = 128
 SEEDS = 8
 #: Ratings of an ALS block up to which there is one for every other task slot.
 BLOCK_RATINGS = 40_000_000
+#: Where ratings, ALS's blocks of them and its vectors are kept.
+KEPT, KEPT_NAME = StorageLevel.DISK_ONLY, "DISK_ONLY"
 #: Users a block has at least when blocks are made to fill the task slots.
 LEAST_USERS = 1024
 #: Candidates of a user in one chunk up to which they are scored one by one.
@@ -71,12 +74,15 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 1
     with unknown user or item from ``transform`` output."""
     # ALS scans its input twice before it builds (and persists) its own
     # user/item rating blocks; keep the input for the fit only, so the joins
-    # that produced the ratings run once.
-    with cached(ratings.select(user, item, rating)) as r:
+    # that produced the ratings run once.  Building a block takes several times
+    # its size in arrays that Spark does not account for, and kept blocks make
+    # no room for them; so what is kept waits on disk.
+    with cached(ratings.select(user, item, rating), KEPT) as r:
         blocks = blocks or als_blocks(r)
         als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
                   regParam=reg, seed=seed, coldStartStrategy=cold_start, implicitPrefs=implicit,
-                  checkpointInterval=10, numUserBlocks=blocks, numItemBlocks=blocks)
+                  checkpointInterval=10, numUserBlocks=blocks, numItemBlocks=blocks,
+                  intermediateStorageLevel=KEPT_NAME, finalStorageLevel=KEPT_NAME)
         return als.fit(r)
 
 

@@ -149,3 +149,28 @@ def test_ratings_are_joined_once_per_holdout(spark, monkeypatch):
     row = catalog.rating_holdout(spark, "/root/testdata/sf0.001").first()
     assert kept == [["user", "item", "rating"]]
     assert row.n == row.scored + row.unknown_user + row.unknown_item + row.unknown_both and 0 < row.mae <= row.rmse
+
+
+def _kept_levels(spark):
+    return {int(i): r.getStorageLevel() for i, r in dict(spark.sparkContext._jsc.getPersistentRDDs()).items()}
+
+
+def test_fits_keep_ratings_and_blocks_on_disk(spark, monkeypatch):
+    """Blocks are built in arrays that Spark does not account for: what is kept must leave the heap to them."""
+    from tabml.plans import catalog
+    before, seen, whole = set(_kept_levels(spark)), [], rc.ALS
+
+    def als(*a, **kw):
+        levels = _kept_levels(spark)
+        seen.append([levels[i].useMemory() for i in levels if i not in before])
+        return whole(*a, **kw)
+
+    monkeypatch.setattr(rc, "ALS", als)
+    catalog.rating_holdout(spark, "/root/testdata/sf0.001")
+    r = spark.range(400).select((F.col("id") % 50).cast("int").alias("u"), (F.col("id") % 37).cast("int").alias("i"),
+                                F.lit(1.0).alias("r"))
+    model = rc.fit_als(r, "u", "i", "r", rank=2, max_iter=2)
+    assert len(seen) == 2 and all(seen) and not any(sum(seen, []))
+    after = _kept_levels(spark)
+    left = {i for i in after if i not in before}
+    assert model.userFactors.count() == 50 and left and not any(after[i].useMemory() for i in left)
