@@ -2,10 +2,9 @@
 
 ALS is Spark ML's blocked alternating least squares.  ``top_k_from_factors``
 scores two factor tables without ever materialising all user x item pairs:
-both sides are hash-blocked, every (user block, item block) pair meets in one
-cogroup, numpy multiplies the two blocks and only each user's top k of the
-block leaves the task; a final per-user top-k merges at most
-``item_blocks * k`` candidates.
+users are hash-blocked, all items stream through each block, longest vectors
+first, numpy multiplies them and only each user's top k leaves the task; a
+final per-user top-k merges at most ``item_blocks * k`` candidates.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
@@ -23,18 +22,19 @@ from .features import dense_index
 from .models import cached
 
 INT_MAX = 2 ** 31 - 1
-# Block sizes of the factor top-k.  Every user is copied once per item block
-# and every item once per user block, so the shuffle is about
-# U*I*(1/ITEM_BLOCK + 1/USER_BLOCK) rows: blocks are made large (short vectors
-# up to USER_VALUES numbers a block), and memory is bounded by scoring a block
-# USER_CHUNK users by ITEM_CHUNK items at a time (by SEEDS * ITEM_CHUNK for the
-# first ones) while each user keeps a running top k.
+# Sizes of the factor top-k.  Every item is copied once per user block, so
+# user blocks are as large as a Python worker can hold (USER_VALUES numbers,
+# and k best of each user beside them).  Items are only parted where the users
+# alone don't fill the task slots (into blocks of ITEM_BLOCK at least), or where
+# a task would read more than ITEM_VALUES numbers of them.
+# Products are taken USER_CHUNK users by ITEM_CHUNK items at a time, and what is
+# told leaves USER_BLOCK users at a time.
 USER_BLOCK = 4096
-USER_VALUES = 1 << 19
+USER_VALUES = 1 << 23
 ITEM_BLOCK = 65536
-USER_CHUNK = 4096
-ITEM_CHUNK = 128
-SEEDS = 8
+ITEM_VALUES = 1 << 27
+USER_CHUNK = 1024
+ITEM_CHUNK = 1024
 #: Ratings of an ALS block up to which there is one for every other task slot.
 BLOCK_RATINGS = 40_000_000
 #: Where ratings, ALS's blocks of them and its vectors are kept.
@@ -219,20 +219,6 @@ def _merge_cells(mask, U, I, ids, best_s, best_i, k):
     return out_s, out_i
 
 
-def _leaves(V: np.ndarray, size: int) -> list[np.ndarray]:
-    """Rows parted by medians of their widest component, ``size`` at most."""
-    out, todo = [], [np.arange(len(V))]
-    while todo:
-        at = todo.pop()
-        if len(at) <= size:
-            out.append(at)
-            continue
-        x = V[at]
-        half = np.argpartition(x[:, np.argmax(x.max(axis=0) - x.min(axis=0))], len(at) // 2)
-        todo += [at[half[:len(at) // 2]], at[half[len(at) // 2:]]]
-    return [at for at in out if len(at)]
-
-
 def _plain(V: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lengths of vectors, and which can be scaled to length 1 in single precision."""
     with np.errstate(invalid="ignore", over="ignore"):
@@ -240,78 +226,112 @@ def _plain(V: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return n, np.isfinite(n) & (n < 1e100)
 
 
+class TopK:
+    """Exact top k items of users, for items that come in batches, the longest
+    vectors first (:meth:`add`); ``scores`` and ``ids`` hold what is best so far.
+
+    A user's k-th score so far, divided by its length, is the least length of
+    an item that can still matter, so a user leaves at the first batch in which
+    none is as long.  For the others products in single precision of vectors
+    scaled to length 1 tell which items reach the k-th score, give or take
+    ``margin``, the most that such a product can be off; those are scored in
+    double precision.  So no item that belongs to the top k is passed over.
+    Vectors of no length, or that are not finite, are scored with everything."""
+
+    def __init__(self, U: np.ndarray, k: int, user_chunk: int = USER_CHUNK):
+        self.U, self.k, self.user_chunk = U, k, user_chunk
+        n, ok = _plain(U)
+        ok &= (n > 1e-100) & (U.shape[1] > 0)
+        self.margin = (U.shape[1] + 4) * 2.0 ** -23
+        self.plain, self.rest = np.flatnonzero(ok), np.flatnonzero(~ok)
+        self.length = n[self.plain]
+        self.unit = np.empty((len(self.plain), U.shape[1]), dtype=np.float32)
+        for lo in range(0, len(self.plain), user_chunk):
+            to = slice(lo, lo + user_chunk)
+            self.unit[to] = U[self.plain[to]] / self.length[to, None]
+        self.scores, self.ids = np.empty((len(U), 0)), np.empty((len(U), 0), dtype=np.int64)
+        self.live = np.arange(len(self.plain))
+
+    @property
+    def done(self) -> bool:
+        """Whether no shorter item can matter to any user."""
+        return not len(self.live) and not len(self.rest)
+
+    def _widen(self, n: int) -> bool:
+        """Make room for ``n`` items more; whether that many were missing."""
+        width = min(self.k, self.scores.shape[1] + n)
+        missing = width - self.scores.shape[1]
+        if missing:
+            self._old = self.scores.shape[1]
+            self.scores = np.concatenate([self.scores, np.empty((len(self.U), missing))], axis=1)
+            self.ids = np.concatenate([self.ids, np.empty((len(self.U), missing), dtype=np.int64)], axis=1)
+        return bool(missing)
+
+    def _best(self, at: np.ndarray, fresh: bool) -> tuple[np.ndarray, np.ndarray]:
+        n = self._old if fresh else self.scores.shape[1]
+        return self.scores[at, :n], self.ids[at, :n]
+
+    def _all(self, users: np.ndarray, I: np.ndarray, ids: np.ndarray, fresh: bool) -> None:
+        for lo in range(0, len(users), LEAST_USERS):
+            at = users[lo:lo + LEAST_USERS]
+            self.scores[at], self.ids[at] = _merge_all(self.U[at], I, ids, *self._best(at, fresh), self.k)
+
+    def add(self, I: np.ndarray, ids: np.ndarray) -> None:
+        """Meet the next items, none of them longer than those before (but for
+        items that are not finite, which may come at any time)."""
+        if not len(I) or self.done:
+            return
+        order = np.argsort(ids, kind="stable")              # ties go to the smaller id
+        I, ids = I[order], ids[order]
+        n, ok = _plain(I)
+        if not ok.all():
+            fresh = self._widen(int((~ok).sum()))
+            self._all(np.arange(len(self.U)), I[~ok], ids[~ok], fresh)
+            I, ids, n = I[ok], ids[ok], n[ok]
+            if not len(I):
+                return
+        fresh = self._widen(len(I))
+        self._all(self.rest, I, ids, fresh)
+        longest = n.max() or 1.0
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            items = (I / longest).astype(np.float32).T.copy()
+            scale = self.length[self.live] * longest
+            limit = np.full(len(self.live), -np.inf) if fresh else self.scores[self.plain[self.live], -1] / scale - self.margin
+        if not fresh:
+            near = ~(limit > 1)
+            live, limit = self.live[near], limit[near].astype(np.float32)
+            if longest > 1e-150:                            # else lengths are not told apart in order
+                self.live = live
+        else:
+            live = self.live
+        c = min(self.k, len(I))
+        for lo in range(0, len(live), self.user_chunk):
+            part = live[lo:lo + self.user_chunk]
+            S = self.unit[part] @ items
+            if fresh:
+                mask = S >= (np.partition(S, S.shape[1] - c, axis=1)[:, -c] - 2 * self.margin)[:, None]
+            else:
+                least = limit[lo:lo + self.user_chunk]
+                hit = np.flatnonzero(S.max(axis=1) >= least)
+                if not len(hit):
+                    continue
+                part, mask = part[hit], S[hit] >= least[hit, None]
+            at = self.plain[part]
+            self.scores[at], self.ids[at] = _merge_cells(mask, self.U[at], I, ids, *self._best(at, fresh), self.k)
+
+
 def score_block(U: np.ndarray, I: np.ndarray, item_ids: np.ndarray, k: int,
                 user_chunk: int = USER_CHUNK, item_chunk: int = ITEM_CHUNK):
-    """Exact top-k items per user row of ``U`` against ``I`` (items sorted by
-    id).  Returns ``(scores, ids)`` of shape (n_users, min(k, n_items)).
-
-    The longest items give every user a first top k.  The others are parted
-    into cells of ITEM_CHUNK near ones; a cell with centre c and radius r meets
-    the users u for whom c.u + r |u|, or its longest vector times |u|, reaches
-    the k-th score so far.  There products in single precision of vectors
-    scaled to length 1 tell which items reach it, give or take ``margin``, the
-    most that such a product can be off; those are scored in double precision.
-    So no item that belongs to the top k is passed over, and most pairs cost
-    no more than a bound of their cell.  Vectors of no length, or that are not
-    finite, are scored with everything."""
-    n_u, n_i, d = len(U), len(I), U.shape[1]
-    kk = min(k, n_i)
-    out_s, out_i = np.empty((n_u, kk)), np.empty((n_u, kk), dtype=np.int64)
-    u_len, u_ok = _plain(U)
-    i_len, i_ok = _plain(I)
-    u_ok &= u_len > 1e-100
-    seeds = max(k, SEEDS * item_chunk)
-    good, odd = np.flatnonzero(i_ok), np.flatnonzero(~i_ok)
-    if not d or not len(good):
-        u_ok[:] = False
-    else:
-        longest = i_len[good].max() or 1.0
-        V = I / longest
-        order = good[np.argsort(-i_len[good], kind="stable")]
-        first, rest = np.sort(order[:seeds]), order[seeds:]
-        cells = [np.sort(rest[at]) for at in _leaves(V[rest], item_chunk)]
-        centre = np.array([V[at].mean(axis=0) for at in cells]).reshape(-1, d)
-        radius = np.array([np.sqrt(((V[at] - c) ** 2).sum(axis=1).max()) for at, c in zip(cells, centre)])
-        top = np.array([i_len[at].max() / longest for at in cells])
-        single = np.where(i_ok[:, None], V, 0.0).astype(np.float32)
-    margin = (d + 4) * 2.0 ** -23
-    users = np.flatnonzero(u_ok)
-    for lo in range(0, len(users), user_chunk):
-        at_u = users[lo:lo + user_chunk]
-        Uc, scale = U[at_u], u_len[at_u]
-        unit = Uc / scale[:, None]
-        u32 = unit.astype(np.float32)
-        S = u32 @ single[first].T
-        c = min(k, len(first))
-        mask = S >= (np.partition(S, S.shape[1] - c, axis=1)[:, -c] - 2 * margin)[:, None]
-        best_s, best_i = _merge_cells(mask, Uc, I[first], item_ids[first], np.empty((len(Uc), 0)),
-                                      np.empty((len(Uc), 0), dtype=np.int64), k)
-        scale = scale * longest
-        if cells:
-            bound = np.minimum(unit @ centre.T + radius, top) + margin
-            for q in np.argsort(-bound.max(axis=0), kind="stable"):
-                limit = best_s[:, -1] / scale - margin
-                on = np.flatnonzero(bound[:, q] >= limit)
-                if not len(on):
-                    continue
-                at = cells[q]
-                mask = u32[on] @ single[at].T >= limit[on, None].astype(np.float32)
-                hit = mask.any(axis=1)
-                if hit.any():
-                    on = on[hit]
-                    best_s[on], best_i[on] = _merge_cells(mask[hit], Uc[on], I[at], item_ids[at], best_s[on], best_i[on], k)
-        for i0 in range(0, len(odd), seeds):
-            at = odd[i0:i0 + seeds]
-            best_s, best_i = _merge_all(Uc, I[at], item_ids[at], best_s, best_i, k)
-        out_s[at_u], out_i[at_u] = best_s, best_i
-    users = np.flatnonzero(~u_ok)
-    for lo in range(0, len(users), user_chunk):
-        at_u = users[lo:lo + user_chunk]
-        best_s, best_i = np.empty((len(at_u), 0)), np.empty((len(at_u), 0), dtype=np.int64)
-        for i0 in range(0, n_i, seeds):
-            best_s, best_i = _merge_all(U[at_u], I[i0:i0 + seeds], item_ids[i0:i0 + seeds], best_s, best_i, k)
-        out_s[at_u], out_i[at_u] = best_s, best_i
-    return out_s, out_i
+    """Exact top-k items per user row of ``U`` against ``I``.  Returns
+    ``(scores, ids)`` of shape (n_users, min(k, n_items)); ties go to the
+    smaller id.  The items meet :class:`TopK` chunk by chunk, longest first."""
+    top = TopK(U, k, user_chunk)
+    n, ok = _plain(I)
+    order = np.argsort(np.where(ok, -n, np.inf), kind="stable")
+    for lo in range(0, len(I), item_chunk):
+        at = order[lo:lo + item_chunk]
+        top.add(I[at], item_ids[at])
+    return top.scores, top.ids
 
 
 def usable_vectors(df: DataFrame, vec: str = "v") -> DataFrame:
@@ -329,50 +349,79 @@ def top_k_from_factors(users: DataFrame, items: DataFrame, k: int = 5,
     tables ``(id, array<double>)``.  Output ``(user, rank, item, score)``;
     ties go to the smaller item id.
 
-    Both sides are hash-blocked (block counts from one count per side, so a
-    block holds about USER_BLOCK users, more of short vectors, and ITEM_BLOCK
-    items whatever the data size); every (user block, item block) pair meets
-    once in a cogroup, where :func:`score_block` scores it chunk by chunk and
-    only each user's top k leaves the task.  A final per-user top k merges ``item_blocks * k``
-    candidates.  No user x item pair is ever materialised as a row.  Rows
-    without a usable vector are left out; a NaN score ranks last."""
-    u = users.select(F.col(user_id).cast("bigint").alias("uid"),
-                     F.col(user_vec).cast("array<double>").alias("v"))
-    i = items.select(F.col(item_id).cast("bigint").alias("iid"),
-                     F.col(item_vec).cast("array<double>").alias("v"))
-    u, i = usable_vectors(u), usable_vectors(i)
+    Users are hash-blocked, up to USER_VALUES numbers a block and at least one
+    block for each task slot, and every block meets all items: they arrive
+    sorted by length, longest first, and stream through :class:`TopK`, so a task
+    holds one block of users and one batch of items, whatever the data size.
+    Where there are too few users to fill the slots, or very many items, these
+    are hash-blocked too.  A final per-user top k merges ``item_blocks * k`` candidates.  No
+    user x item pair is ever materialised as a row.  Rows without a usable
+    vector are left out; a NaN score ranks last."""
+    u, i = _vectors(users, user_id, user_vec), _vectors(items, item_id, item_vec)
     if user_blocks is None or item_blocks is None:
         n_u, wide = u.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
         n_i = i.agg(F.count(F.lit(1))).head()[0]
-        # enough user blocks to fill the task slots (at least ~LEAST_USERS
-        # users each); at scale the size-based count is the larger one
         slots = users.sparkSession.sparkContext.defaultParallelism
-        user_blocks = user_blocks or max(_block_count(n_u, max(USER_BLOCK, USER_VALUES // max(1, wide or 1))),
+        user_blocks = user_blocks or max(_block_count(n_u, max(1, USER_VALUES // max(1, wide or 1))),
                                          min(slots, max(1, n_u // LEAST_USERS)))
-        item_blocks = item_blocks or _block_count(n_i, ITEM_BLOCK)
-    ub = F.pmod(F.xxhash64("uid"), F.lit(user_blocks)).cast("int")
-    ib = F.pmod(F.xxhash64("iid"), F.lit(item_blocks)).cast("int")
-    # every user meets every item block once and vice versa
-    ur = u.withColumn("ub", ub).withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
-    ir = i.withColumn("ib", ib).withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-
-    def score(key, up: pd.DataFrame, ip: pd.DataFrame) -> pd.DataFrame:
-        if up.empty or ip.empty:
-            return pd.DataFrame({"uid": [], "iid": [], "score": []})
-        ip = ip.sort_values("iid", kind="stable")
-        U = np.stack(up["v"].to_numpy()).astype(np.float64)
-        I = np.stack(ip["v"].to_numpy()).astype(np.float64)
-        s, ids = score_block(U, I, ip["iid"].to_numpy(), k, user_chunk, item_chunk)
-        return pd.DataFrame({"uid": np.repeat(up["uid"].to_numpy(), s.shape[1]),
-                             "iid": ids.reshape(-1), "score": s.reshape(-1)})
-
-    cand = (ur.groupBy("ub", "ib").cogroup(ir.groupBy("ub", "ib"))
-            .applyInPandas(score, "uid bigint, iid bigint, score double"))
+        item_blocks = item_blocks or max(_block_count(n_i * max(1, wide or 1), ITEM_VALUES),
+                                         min(_block_count(slots, user_blocks), _block_count(n_i, ITEM_BLOCK)))
+    ub = F.pmod(F.xxhash64("id"), F.lit(user_blocks)).cast("int")
+    ib = F.pmod(F.xxhash64("id"), F.lit(item_blocks)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # every user meets every item block once and vice versa; users come first
+    rows = (u.withColumn("ub", ub).withColumn("ib", every(item_blocks)).withColumn("size", F.lit(None).cast("double"))
+            .unionByName(i.withColumn("ib", ib).withColumn("ub", every(user_blocks)).withColumn(
+                "size", F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))))
+    dealt = (rows.select("id", "v", "size", (F.col("ub") * item_blocks + F.col("ib")).alias("pair"))
+             .repartitionById(user_blocks * item_blocks, "pair").sortWithinPartitions(F.col("size").desc_nulls_first()))
+
+    def score(batches):
+        seen, ids, top = [], [], None
+        for batch in batches:
+            size = batch.column("size")
+            n = size.null_count                             # users stand before the items
+            if n:
+                seen.append(_matrix(batch.column("v").slice(0, n)))
+                ids.append(batch.column("id").slice(0, n).to_numpy())
+            if n == len(batch) or not seen:
+                continue
+            if top is None:
+                U, uid = np.concatenate(seen), np.concatenate(ids)
+                top = TopK(U, k, user_chunk)
+            if top.done:                                    # the rest are shorter; the stream is read to its end
+                continue
+            I, iid = _matrix(batch.column("v").slice(n)), batch.column("id").slice(n).to_numpy()
+            for lo in range(0, len(I), item_chunk):
+                top.add(I[lo:lo + item_chunk], iid[lo:lo + item_chunk])
+        if top is not None:
+            for lo in range(0, len(uid), USER_BLOCK):
+                s, i = top.scores[lo:lo + USER_BLOCK], top.ids[lo:lo + USER_BLOCK]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(uid[lo:lo + USER_BLOCK], s.shape[1])), pa.array(i.reshape(-1)), pa.array(s.reshape(-1))],
+                    names=["uid", "iid", "score"])
+
+    cand = dealt.mapInArrow(score, "uid bigint, iid bigint, score double")
     w = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("iid").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(F.col("uid").alias("user"), "rank", F.col("iid").alias("item"), "score"))
 
 
+def _vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
+    """``(id, v)`` of the rows with a usable vector; floats travel as floats."""
+    floats = df.schema[vec].dataType.simpleString() == "array<float>"
+    return usable_vectors(df.select(F.col(key).cast("bigint").alias("id"),
+                                    (F.col(vec) if floats else F.col(vec).cast("array<double>")).alias("v")))
+
+
+def _matrix(column) -> np.ndarray:
+    """The rows of an Arrow list column as doubles; they must be of one length."""
+    size = np.diff(column.offsets.to_numpy())
+    if (size != size[0]).any():
+        raise ValueError("vectors of different lengths")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), size[0])
+
+
 def with_history(recs: DataFrame, ratings: DataFrame, user: str, item: str,
                  rating: str | None = None) -> DataFrame:
     """Per user, the recommendations beside what the user already rated,

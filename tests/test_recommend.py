@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -174,3 +176,33 @@ def test_fits_keep_ratings_and_blocks_on_disk(spark, monkeypatch):
     after = _kept_levels(spark)
     left = {i for i in after if i not in before}
     assert model.userFactors.count() == 50 and left and not any(after[i].useMemory() for i in left)
+
+
+def test_users_leave_when_no_item_left_is_long_enough():
+    rng = np.random.default_rng(10)
+    U, I = rng.normal(size=(200, 3)), rng.normal(size=(5000, 3))
+    ids = np.arange(5000)
+    order = np.argsort(-np.linalg.norm(I, axis=1))
+    top, met = rc.TopK(U, 5, 64), 0
+    while not top.done:
+        at = order[met:met + 100]
+        top.add(I[at], ids[at])
+        met += 100
+    want_s, want_i = _whole(U, I, ids, 5)
+    assert met < 2500 and (top.scores == want_s).all() and (top.ids == want_i).all()
+
+
+def test_top_k_parts_users_only_as_far_as_they_fit(spark, monkeypatch):
+    """Users are not copied to blocks of items while they fill the slots by themselves."""
+    rng = np.random.default_rng(12)
+    V = rng.integers(-3, 4, size=(3000, 3)).astype(float)
+    U = spark.createDataFrame([(int(i), V[i].tolist()) for i in range(400)], "id bigint, features array<double>")
+    I = spark.createDataFrame([(int(i), V[i].tolist()) for i in range(3000)], "id bigint, features array<float>")
+    monkeypatch.setattr(rc, "LEAST_USERS", 400 // spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(rc, "ITEM_BLOCK", 100)
+    got = rc.top_k_from_factors(U, I, 4)
+    copies = re.findall(r"explode\(sequence\(0, (\d+)", got._jdf.queryExecution().analyzed().toString())
+    assert sorted(map(int, copies)) == [0, spark.sparkContext.defaultParallelism - 1]
+    want_s, want_i = _whole(V[:400], V, np.arange(3000), 4)
+    for r in got.collect():
+        assert (r.item, r.score) == (want_i[r.user, r["rank"] - 1], want_s[r.user, r["rank"] - 1])
